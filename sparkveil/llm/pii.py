@@ -122,7 +122,9 @@ def tagged(spans: list[tuple[int, int]], base: list[tuple[int, int, int]]) -> li
 def learn(docs: DataFrame, sample: int = SAMPLE_DOCUMENTS) -> dict:
     """Log-potentials from counts over a bounded sample of documents, tagged by the patterns: of labels by shape, of
     neighbours on the chain, of mentions that a skip edge joins. Only counts of a bounded number of shapes are gathered."""
-    rows = docs.select(F.col("__id"), F.col("__text")).orderBy(F.xxhash64("__id", "__text")).limit(sample).select("__text")
+    place = F.xxhash64("__id", "__text")
+    last = docs.select(place.alias("place")).orderBy("place").limit(sample).agg(F.max("place")).first()[0]
+    rows = docs.where(place <= F.lit(last)).select("__text")
 
     def start():
         def make(texts):
