@@ -43,7 +43,16 @@ def saved(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/llm-{uuid.uuid4().hex}"
     df.write.parquet(path)
     df.sparkSession.sparkContext._jvm.System.gc()  # the driver frees shuffle files only as it collects garbage
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.saved_path = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes a table of saved() that nothing will read again."""
+    jvm, path = df.sparkSession.sparkContext._jvm, df.saved_path
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def name(column: str) -> str:

@@ -13,12 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from .common import flat_slices, map_slices, name, saved, table
+from .common import discard, flat_slices, map_slices, name, saved, table
 
 WINDOW, ANCHOR = 20, 6
 SHARD_RUNS = 64  # an anchor with more different runs than this is dealt by window instead
 CACHED_WORDS = 300_000
 MULTIPLIER = 0x9E3779B97F4A7C15
+PLACE = np.uint64((1 << 24) - 1)
 INVERSE = pow(MULTIPLIER, -1, 1 << 64)
 
 
@@ -61,7 +62,13 @@ class Hasher:
         spread = self.window - self.anchor + 1
         at = np.arange(len(hashes) - self.anchor + 1)
         grams = self.intervals(hashes, at, at + self.anchor)
-        place = np.lib.stride_tricks.sliding_window_view(grams, spread)[:n].argmin(axis=1) + np.arange(n)
+        # The least of each window by doubling; the place stands in the low bits, so that ties go to the leftmost.
+        low = (grams & ~PLACE) | at.astype(np.uint64)
+        size = 1
+        while 2 * size <= spread:
+            low = np.minimum(low[:-size], low[size:])
+            size *= 2
+        place = (np.minimum(low[:n], low[spread - size : spread - size + n]) & PLACE).astype(np.int64)
         start = np.flatnonzero(np.diff(place, prepend=-1))
         count = np.diff(start, append=n)
         content = self.intervals(hashes * np.uint64(0xD6E8FEB86659FD93), start, start + count + self.window - 1)
@@ -164,6 +171,10 @@ def remove_repeats(docs: DataFrame, text: str = "text", id_column: str = "doc_id
         return make
 
     runs = saved(flat_slices(slim, {"anchor": "bigint", "content": "bigint", "count": "int", "id": "bigint", "row": "bigint", "start": "int"}, find_runs))
+    # Most anchors occur once: a count of anchors alone leaves the runs that may repeat.
+    several = runs.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
+    every, runs = runs, saved(runs.join(several, "anchor", "left_semi"))
+    discard(every)
     distinct = runs.groupBy("anchor", "content", "count").agg(F.min(F.struct(*place)).alias("first"), (F.count("*") > 1).alias("again"))
     distinct = saved(distinct.select("anchor", "content", "count", "first", "again"))
     # Anchors with more than one different run; the counts combine before the shuffle.
