@@ -362,7 +362,7 @@ def _violations(customers: str, products: str) -> str:
 def _checks(t: str, gate: dict) -> str:
     tests = {"customer": "NOT coalesce(starts_with(customer_name, 'Customer CUST-'), false)", "product": "NOT coalesce(contains(product_description, ' Product '), false)", "sku": "NOT coalesce(starts_with(full_sku_code, 'SKU-'), false)"}
     total = lambda xs: " + ".join(f"count(*) FILTER ({x})" for x in xs)
-    rows = {"row_count": "count(*)", "critical_nulls": total(f"{c} IS NULL" for c in gate["critical"]), "row_hash_completeness": "count(*) FILTER (row_hash IS NULL)", "negative_numeric_values": total(f"TRY_CAST({c} AS DOUBLE) < 0" for c in gate["numeric"]), "duplicate_row_hash": "count(*) - count(DISTINCT row_hash)", "required_columns": "0"}
+    rows = {"row_count": "count(*)", "critical_nulls": total(f"{c} IS NULL" for c in gate["critical"]), "row_hash_completeness": "count(*) FILTER (row_hash IS NULL)", "negative_numeric_values": total(f"TRY_CAST({c} AS DOUBLE) < 0" for c in gate["numeric"]), "duplicate_row_hash": "count(*) - count(DISTINCT row_hash)", "required_columns": "0 * count(*)"}
     rows |= {f"{k}_pseudonymization": f"count(*) FILTER ({tests[k]})" for k in gate["pseudonyms"]}
     found = " UNION ALL ".join(f"SELECT '{k}' AS \"check\", ({v})::BIGINT AS n FROM {t}" for k, v in rows.items())
     return f"""SELECT '{BATCH}' AS batch, "check", CASE WHEN "check" = 'row_count' THEN CASE WHEN n = 0 THEN 'failed' ELSE 'passed' END WHEN n = 0 THEN 'passed' WHEN "check" IN ('duplicate_row_hash', 'negative_numeric_values') THEN 'warning' ELSE 'failed' END AS status, n FROM ({found})"""
