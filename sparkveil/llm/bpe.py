@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from .common import name, table
 
-BATCH_CHARS, KEPT_PIECES, LONG_PIECE = 8_000_000, 400_000, 64
+BATCH_CHARS, KEPT_PIECES, LONG_PIECE = 4_000_000, 200_000, 64
+DECODED_IDS = 200_000  # decoded at once
 
 
 class Pieces(dict):
@@ -217,10 +218,10 @@ class BytePairCoder:
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after another, and how many each has."""
         number = self.pieces.__getitem__
-        rows = [np.array(list(map(number, self.find(t))), dtype=np.int64) for t in texts]
+        rows = [np.array(list(map(number, self.find(t))), dtype=np.int32) for t in texts]
         self.learn()
         sizes = np.fromiter(map(len, rows), dtype=np.int64, count=len(rows))
-        flat = np.concatenate(rows) if rows else np.zeros(0, np.int64)
+        flat = np.concatenate(rows) if rows else np.zeros(0, np.int32)
         counts = self.count[flat]
         ids = self.ids[ragged(self.first[flat], counts)]
         ends = np.concatenate([[0], np.cumsum(counts)])[np.cumsum(sizes)]
@@ -232,7 +233,8 @@ class BytePairCoder:
         """Bytes of all rows of ids, one after another, and how many each row has."""
         sizes = self.length[ids]
         ends = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum(counts)]
-        return self.spelling[ragged(self.start[ids], sizes)], np.diff(ends, prepend=0)
+        parts = [self.spelling[ragged(self.start[ids[i : i + DECODED_IDS]], sizes[i : i + DECODED_IDS])] for i in range(0, len(ids), DECODED_IDS)]
+        return np.concatenate(parts) if parts else self.spelling[:0], np.diff(ends, prepend=0)
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
