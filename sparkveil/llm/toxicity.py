@@ -23,7 +23,7 @@ EDGES = re.compile(r"^[^\w]+|[^\w]+$")
 NOT_LETTER = re.compile(r"[\W\d_]+")
 SPACED = re.compile(r"(?<!\S)\w(?:[ .*_-]{1,2}\w){3,}(?!\w)")
 SENTENCE_END = re.compile(r"[.!?\n]+")
-CACHED_WORDS = 400_000
+CACHED_WORDS = 150_000
 # Letters a to z are 1 to 26; the rest share five codes.
 CODE = np.array([ord(chr(i)) - 96 if "a" <= chr(i) <= "z" else 27 + i % 5 for i in range(0x250)], dtype=np.int64)
 
