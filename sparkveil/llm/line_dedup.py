@@ -58,12 +58,12 @@ def remove_repeated_chunks(docs: DataFrame, text: str = "text", id_column: str =
     order = F.struct(F.col("id").isNull().alias("last"), "id", "row", "k")
     repeated = flat_slices(slim, place, digests).groupBy("digest").agg(F.count("*").alias("n"), F.min(order).alias("first")).where("n > 1")
     repeated = saved(repeated.select("digest", "first"))
-    found = saved(flat_slices(slim, {**place, "body": "binary"}, bodies).join(repeated, "digest").withColumn("own", order).select("digest", "id", "row", "k", "body", F.col("own").eqNullSafe(F.col("first")).alias("is_first")))
+    found = saved(flat_slices(slim, {**place, "body": "binary"}, bodies).join(repeated.hint("merge"), "digest").withColumn("own", order).select("digest", "id", "row", "k", "body", F.col("own").eqNullSafe(F.col("first")).alias("is_first")))
     firsts = found.where("is_first").groupBy("digest").agg(F.first("body").alias("first_body"))
     later = found.where("not is_first").join(firsts, "digest").where("body = first_body")
     gone = saved(later.groupBy("id", "row").agg(F.collect_set("k").alias("gone")))
     gone = gone.withColumnsRenamed({"id": "__gone_id", "row": "__gone_row", "gone": "__gone"})
-    joined = given.join(gone, given["__id"].eqNullSafe(gone["__gone_id"]) & (given["__row"] == gone["__gone_row"]), "left")
+    joined = given.join(gone.hint("merge"), given["__id"].eqNullSafe(gone["__gone_id"]) & (given["__row"] == gone["__gone_row"]), "left")
 
     def rebuild():
         def make(*columns):
