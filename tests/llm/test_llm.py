@@ -177,3 +177,58 @@ def test_empty_tables(spark):
     assert embedding_dedup.similar_vectors(vectors).count() == 0
     assert topk_search.top_products(vectors, F.col("vec_id") % 20 == 0, 20).count() == 0
     assert bpe.digests(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN).count() == 0
+
+
+def test_toxicity_fits_alike_however_rows_are_dealt(spark):
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    one, other = (np.array([r.score for r in toxicity.score_toxicity(docs.repartition(n), labels).orderBy("doc_id").collect()]) for n in (1, 7))
+    assert np.abs(one - other).max() < 1e-6
+
+
+def test_held_out_toxicity(spark):
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").where("toxic is not null").select("doc_id", "toxic")
+    out = toxicity.op5_string_kernel_toxicity(spark, "/root/testdata/sf0.1").where("held_out").join(labels, "doc_id").toPandas()
+    assert out.predicted[out.toxic == 1].mean() >= 0.7
+    assert out.predicted[out.toxic == 0].mean() <= 0.05
+
+
+def test_personal_data_of_whole_texts(spark):
+    out = {r.doc_id: r for r in queries.QUERIES["op2_skip_chain_pii"](spark, SF).collect()}
+    kinds = ["email", "ip", "card", "phone"]
+    for d in documents().itertuples():
+        spans = pii.base_spans(d.text)
+        assert [out[d.doc_id][f"n_{k}"] for k in kinds] == [sum(s[1] == i for s in spans) for i in range(4)]
+        assert out[d.doc_id].base_sha256 == hashlib.sha256(",".join(f"{kinds[k]}:{a}:{b}" for a, k, b in spans).encode()).hexdigest()
+
+
+def test_pipeline_equals_brute_force(spark):
+    import tiktoken
+
+    frame = spark.read.parquet(f"{SF}/documents.parquet")
+    toxic = {r.doc_id for r in toxicity.score_toxicity(frame, spark.read.parquet(f"{SF}/labels.parquet"), keep=["doc_id"]).where("predicted = 1").collect()}
+    seen, texts, sources = set(), {}, {}
+    for d in documents().itertuples():
+        if d.doc_id in toxic:
+            continue
+        parts = [(n, c) for n, c in line_dedup.chunks(d.text) if n == 1 or not (c in seen or seen.add(c))]
+        texts[d.doc_id], sources[d.doc_id] = "\n".join(c for _, c in parts), d.source
+    ids = sorted(texts)
+    prints = np.array([simhash.fingerprint(texts[i], 3, 42) for i in ids], dtype=np.int64).view(np.uint64)
+    near, label = np.bitwise_count(prints[:, None] ^ prints[None, :]) <= 2, np.array(ids)
+    while not np.array_equal(new := np.where(near, label[None, :], 1 << 60).min(1), label):
+        label = new
+    kept = {i for i, x in zip(ids, label.tolist(), strict=True) if i == x}
+    out = queries.QUERIES["pipeline"](spark, SF).toPandas()
+    assert set(out.doc_id) == kept
+    copies = out.groupby("doc_id").size()
+    assert copies.max() <= 2
+    words = {i: len(texts[i].split()) for i in kept}
+    for s in {sources[i] for i in kept}:
+        own = [i for i in kept if sources[i] == s]
+        assert sum(copies[i] * words[i] for i in own) <= mixing.REPEATS * sum(words[i] for i in own) + 1e-6
+    ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    other = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    digest = lambda b: hashlib.sha256(b).hexdigest()
+    for r in out.itertuples():
+        tokens = other.encode_ordinary(texts[r.doc_id])
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(tokens), digest(",".join(map(str, tokens)).encode()), digest(texts[r.doc_id].encode()))
