@@ -181,9 +181,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCUMENTS) -> d
 
     Copies would repeat a label's mistakes, so one document counts for those that agree in the least or the largest hash
     of five words: the one with the least hash of its text, so that every run fits alike. A word stands for its sentences:
-    words nearly only in toxic documents are the positive examples,
-    words of the others the negative ones. The driver gathers bounded lists of words with counts, and one value a sampled
-    document; no text.
+    words nearly only in toxic documents are the positive examples, words of the others the negative ones. The driver
+    gathers bounded lists of words with counts, and one value a sampled document; no text.
     """
     chosen = labels.where("doc_id is not null and toxic is not null and crc32(cast(cast(doc_id as string) as binary)) % 5 <> 0").groupBy("doc_id").agg(F.max("toxic").alias("__label"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
