@@ -1,10 +1,12 @@
 """Toxicity by a subsequence string-kernel support vector machine with Nystroem landmarks (operator 5).
 
 The kernel of two strings counts the three-letter subsequences that they share, gaps allowed, each weighted by DECAY to
-the length it spans; strings are normalised. A sentence is as toxic as its worst word, a document as its worst sentence.
+the length it spans; strings are normalised. The machine scores words; a document's score weighs its two worst words
+and the share of all its words that are bad.
 """
 
 import re
+from collections import Counter
 from itertools import combinations
 
 import numpy as np
@@ -17,7 +19,7 @@ from .common import flat_slices, map_slices, name, saved, table
 DECAY, SPAN, WIDTH, SIZE = 0.6, 6, 24, 32**3
 OFFSETS = [(a, b) for a, b in combinations(range(1, SPAN), 2)]
 SAMPLE_DOCUMENTS = 20_000  # bound of the labelled documents that the classifier is fitted on
-HIT = 0.3
+HIT, STRONG = 0.3, 0.8  # decision values of words
 LANDMARKS, NEGATIVE_WORDS, POSITIVE_WORDS = 128, 8_000, 600
 EDGES = re.compile(r"^[^\w]+|[^\w]+$")
 NOT_LETTER = re.compile(r"[\W\d_]+")
@@ -28,10 +30,10 @@ CACHED_WORDS = 150_000
 CODE = np.array([ord(chr(i)) - 96 if "a" <= chr(i) <= "z" else 27 + i % 5 for i in range(0x250)], dtype=np.int64)
 
 
-def words(text: str) -> set[str]:
-    """Distinct lower-case words of the whole text, and letters set apart one by one joined to words."""
+def words(text: str) -> Counter[str]:
+    """Lower-case words of the whole text, and letters set apart one by one joined to words, with their counts."""
     lower = text.lower()
-    found = set(lower.split())
+    found = Counter(lower.split())
     if sum(len(w) == 1 for w in found) >= 3:
         found.update(NOT_LETTER.sub("", m[0]) for m in SPACED.finditer(lower))
     return found
@@ -103,10 +105,9 @@ class Scorer:
     """Decision values of words. The landmark expansion is one vector over subsequences, so that a word's value is a
     sum of its entries; the exact norm is taken for words with a positive sum only, others stay below the bias."""
 
-    def __init__(self, beta: np.ndarray, bias: float, landmarks: list[str]):
-        self.beta, self.bias, self.dense = beta, bias, dense_features(landmarks)
+    def __init__(self, beta: np.ndarray, bias: float):
+        self.beta, self.bias = beta, bias
         self.cache: dict[str, float] = {}
-        self.near: dict[str, tuple[int, float]] = {}  # the nearest toxic landmark of words above HIT
 
     def strings(self, strings: list[str]) -> np.ndarray:
         out = np.full(len(strings), self.bias)
@@ -126,30 +127,41 @@ class Scorer:
             if pieces:
                 np.maximum.at(best, np.array([k for k, _ in pieces]), self.strings([p for _, p in pieces]))
             self.cache.update(zip(some, best.tolist(), strict=True))
-            hits = [(w, p) for w, v in zip(some, best.tolist(), strict=True) if v > HIT for p in forms(w)]
-            if hits:
-                alike = kernel([p for _, p in hits], self.dense)
-                for (w, _), j, v in zip(hits, alike.argmax(1).tolist(), alike.max(1).tolist(), strict=True):
-                    self.near[w] = max(self.near.get(w, (j, 0.0)), (j, v), key=lambda x: x[1])
 
     def texts(self, texts: list[str]) -> np.ndarray:
-        """For each text how close its words come to each toxic landmark (only words above HIT, each counted for its
-        nearest), the highest decision value of a word, the number of words above HIT as a logarithm, and their share."""
+        """For each text the two highest decision values of its words, the share of its words, repeats included, above
+        STRONG, and that of those above HIT, each weighted by how far it is above; shares as logarithms."""
         found = [words(t) for t in texts]
         self.learn(list(set().union(*found).difference(self.cache)))
-        value, near, n = self.cache.__getitem__, self.near, self.dense.shape[1]
-        out = np.zeros((len(texts), n + 3))
+        out = np.zeros((len(texts), 4))
         for k, f in enumerate(found):
-            hits = [near[w] for w in f if w in near]
-            for j, v in hits:
-                out[k, j] = max(out[k, j], v)
-            out[k, n:] = max(map(value, f), default=self.bias), np.log1p(len(hits)), len(hits) / (len(f) + 5)
+            value = np.fromiter(map(self.cache.__getitem__, f), dtype=float, count=len(f))  # none in an empty text
+            n = np.fromiter(f.values(), dtype=float, count=len(f))
+            floored = np.append(value, [self.bias, self.bias])
+            top = np.partition(floored, len(value))[-2:]
+            shares = np.array([(n * (value > STRONG)).sum(), (n * np.clip(value - HIT, 0, 1 - HIT)).sum()])
+            out[k] = *top[::-1], *np.log((shares + 0.1) / (n.sum() + 10))
         if len(self.cache) > CACHED_WORDS:
             self.cache.clear()
-            self.near.clear()
         return out
 
 
+def spread(strings: list[str], weight: np.ndarray, n: int) -> list[str]:
+    """At most n of the strings as landmarks, each the one with the largest weighted part of its kernel that those before
+    it leave unexplained (pivoted Cholesky), so that a large family of similar words does not crowd out the others."""
+    gram = kernel(strings, dense_features(strings))
+    rest, factors, chosen = np.diag(gram).copy(), np.zeros((len(strings), min(n, len(strings)))), []
+    for k in range(factors.shape[1]):
+        i = int((rest * weight).argmax())
+        if rest[i] < 1e-6:
+            break
+        factors[:, k] = (gram[:, i] - factors @ factors[i]) / np.sqrt(rest[i])
+        rest = np.maximum(0.0, rest - factors[:, k] ** 2)
+        rest[i] = 0.0
+        chosen.append(strings[i])
+    return chosen
+
+
 def support_vectors(x: np.ndarray, y: np.ndarray, weight: np.ndarray, cost: float = 5000.0, steps: int = 40) -> np.ndarray:
     """Weights of a linear machine with squared hinge loss, by Newton steps over the examples within the margin."""
     w, weight = np.zeros(x.shape[1]), cost * weight / weight.sum()
@@ -216,7 +228,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCUMENTS) -> d
     examples = [r.word for r in positive] + list(negative)
     y = np.array([1.0] * len(positive) + [-1.0] * len(negative))
     weight = np.concatenate([x / x.sum() for x in (np.array([r.n1 for r in positive], float), np.log1p(np.array(list(negative.values()), float)))])
-    landmarks = [r.word for r in positive[: LANDMARKS // 2]]
+    landmarks = spread([r.word for r in positive], np.array([r.n1 for r in positive], float), LANDMARKS // 2)
     landmarks += [r.word for r in common[: LANDMARKS - len(landmarks)]]
     dense = dense_features(landmarks)
     gram = kernel(landmarks, dense)
@@ -226,8 +238,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCUMENTS) -> d
     w = support_vectors(x, y, weight)
     row, key, value = features(landmarks)
     beta = np.bincount(key, weights=(root @ w[:-1])[row] * value, minlength=SIZE)
-    model = {"beta": beta, "bias": float(w[-1]), "landmarks": [r.word for r in positive[: LANDMARKS // 2]]}
-    scorer = lambda: (lambda one: lambda _, text: (one.texts(text).tolist(),))(Scorer(beta, float(w[-1]), model["landmarks"]))
+    model = {"beta": beta, "bias": float(w[-1])}
+    scorer = lambda: (lambda one: lambda _, text: (one.texts(text).tolist(),))(Scorer(beta, float(w[-1])))
     scored = map_slices(given, {"value": "array<double>"}, scorer, keep=["label"]).collect()
     model["slope"], model["offset"] = logistic(np.array([r.value for r in scored]), np.array([r.label for r in scored], float))
     return model
@@ -245,7 +257,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", id_co
 
     def start():
         m = model.value
-        scorer = None if m["beta"] is None else Scorer(m["beta"], m["bias"], m["landmarks"])
+        scorer = None if m["beta"] is None else Scorer(m["beta"], m["bias"])
 
         def make(*columns):
             values = scorer.texts([x or "" for x in columns[-1]]) @ m["slope"] if scorer else np.zeros(len(columns[-1]))

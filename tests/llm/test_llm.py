@@ -179,6 +179,19 @@ def test_empty_tables(spark):
     assert bpe.digests(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN).count() == 0
 
 
+def test_landmarks_cover_every_family():
+    family = [f"blockhead{x}" for x in "abcdefghij"]
+    chosen = toxicity.spread([*family, "dimwit", "numskull"], np.array([9.0] * 10 + [3.0, 3.0]), 4)
+    assert {"dimwit", "numskull"} < set(chosen) and len(toxicity.spread(["same", "same"], np.ones(2), 2)) == 1
+
+
+def test_share_of_bad_words_counts_repeats_and_empty_texts():
+    scorer = toxicity.Scorer(np.zeros(toxicity.SIZE), -1.0)
+    scorer.cache.update({"dimwit": 1.0})
+    once, often, empty = scorer.texts(["dimwit table river", "dimwit dimwit dimwit table river", ""])
+    assert (often[2:] > once[2:]).all() and once[0] == 1.0 and once[1] == -1.0 and empty[:2].tolist() == [-1.0, -1.0]
+
+
 def test_toxicity_fits_alike_however_rows_are_dealt(spark):
     docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
     one, other = (np.array([r.score for r in toxicity.score_toxicity(docs.repartition(n), labels).orderBy("doc_id").collect()]) for n in (1, 7))
@@ -188,7 +201,7 @@ def test_toxicity_fits_alike_however_rows_are_dealt(spark):
 def test_held_out_toxicity(spark):
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").where("toxic is not null").select("doc_id", "toxic")
     out = toxicity.op5_string_kernel_toxicity(spark, "/root/testdata/sf0.1").where("held_out").join(labels, "doc_id").toPandas()
-    assert out.predicted[out.toxic == 1].mean() >= 0.7
+    assert out.predicted[out.toxic == 1].mean() >= 0.85
     assert out.predicted[out.toxic == 0].mean() <= 0.05
 
 
