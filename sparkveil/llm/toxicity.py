@@ -6,7 +6,7 @@ and the share of all its words that are bad.
 """
 
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from itertools import combinations
 
 import numpy as np
@@ -34,15 +34,15 @@ def words(text: str) -> Counter[str]:
     """Lower-case words of the whole text, and letters set apart one by one joined to words, with their counts."""
     lower = text.lower()
     found = Counter(lower.split())
-    if sum(len(w) == 1 for w in found) >= 3:
+    if sum(map((1).__eq__, map(len, found))) >= 3:
         found.update(NOT_LETTER.sub("", m[0]) for m in SPACED.finditer(lower))
     return found
 
 
 def forms(word: str) -> list[str]:
     """What of a word is compared: it without outer marks, it without all marks, in overlapping pieces if it is long."""
-    bare = EDGES.sub("", word)
-    letters = NOT_LETTER.sub("", bare)
+    bare = word if word.isalpha() else EDGES.sub("", word)
+    letters = bare if bare.isalpha() else NOT_LETTER.sub("", bare)
     out = [bare] if letters == bare else [bare, letters]
     return [p for w in out if len(w) >= 3 for p in ([w] if len(w) <= WIDTH else [w[i : i + WIDTH] for i in range(0, len(w) - WIDTH // 2, WIDTH // 2)])]
 
@@ -55,17 +55,21 @@ def extremes(text: str) -> tuple[int, int]:
 
 
 def codes(strings: list[str]) -> np.ndarray:
-    raw = np.frombuffer("".join(s.ljust(WIDTH, "\0") for s in strings).encode("utf-32-le", "replace"), dtype=np.uint32).reshape(len(strings), WIDTH)
+    """Letters as numbers, a row for each string, as wide as the longest."""
+    width = max(map(len, strings))
+    raw = np.frombuffer("".join(s.ljust(width, "\0") for s in strings).encode("utf-32-le", "replace"), dtype=np.uint32).reshape(len(strings), width)
     out = np.where(raw < len(CODE), CODE[np.minimum(raw, len(CODE) - 1)], 27 + raw % 5)
     return np.where(raw == 0, 0, out).astype(np.int64)
 
 
 def subsequences(c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Numbers of the subsequences of each string and their weights, zero where there is none."""
-    keys, weights = [], []
+    keys, weights, width = [], [], c.shape[1]
     for a, b in OFFSETS:
+        if b >= width:
+            continue
         last = c[:, b:]
-        keys.append(c[:, : WIDTH - b] * 1024 + c[:, a : WIDTH - b + a] * 32 + last)
+        keys.append(c[:, : width - b] * 1024 + c[:, a : width - b + a] * 32 + last)
         weights.append((last > 0) * DECAY ** (b + 1))
     return np.concatenate(keys, axis=1), np.concatenate(weights, axis=1)
 
@@ -110,10 +114,12 @@ class Scorer:
         self.cache: dict[str, float] = {}
 
     def strings(self, strings: list[str]) -> np.ndarray:
-        out = np.full(len(strings), self.bias)
-        if strings:
-            keys, weights = subsequences(codes(strings))
-            some = np.flatnonzero((self.beta[keys] * weights).sum(1) > 0)
+        out, by_length = np.full(len(strings), self.bias), defaultdict(list)
+        for i, s in enumerate(strings):
+            by_length[len(s)].append(i)
+        for places in by_length.values():  # so that short words are not padded to the width of long ones
+            keys, weights = subsequences(codes([strings[i] for i in places]))
+            some = np.array(places)[(self.beta[keys] * weights).sum(1) > 0]
             if len(some):
                 row, key, value = features([strings[i] for i in some])
                 out[some] += np.bincount(row, weights=self.beta[key] * value, minlength=len(some))
