@@ -245,3 +245,36 @@ def test_pipeline_equals_brute_force(spark):
     for r in out.itertuples():
         tokens = other.encode_ordinary(texts[r.doc_id])
         assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(tokens), digest(",".join(map(str, tokens)).encode()), digest(texts[r.doc_id].encode()))
+
+
+def five_words(text):
+    w = text.lower().split()
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b)
+
+
+def test_near_copies_leave_the_pipeline(spark):
+    rng = random.Random(11)
+    draw = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    rows = []
+    for i in range(30):  # near copies, at 0.8 and over, of which three-word fingerprints lie further apart than two bits
+        w = draw(300)
+        rows += [(10 * i, " ".join(w)), (10 * i + 1, " ".join("other" if k in (50, 120, 200) else x for k, x in enumerate(w))), (10 * i + 2, " ".join(draw(20) + w[20:])), (10 * i + 3, " ".join(draw(90) + w[90:]))]
+    group = draw(200)  # a large group, each with its own changed word
+    rows += [(1000 + i, " ".join(f"own{i}" if k == i else x for k, x in enumerate(group))) for i in range(150)] + [(2000, None), (2001, ""), (2002, "few words"), (2003, "few words")]
+    docs = spark.createDataFrame([(i, t, "en", "a", 0, "") for i, t in rows], DOCS)
+    sets = {i: five_words(t or "") for i, t in rows}
+    kept, want = [], {}
+    for i in sorted(sets):
+        near = next((k for k in kept if jaccard(sets[i], sets[k]) >= 0.8), None)
+        want.update({i: near}) if near is not None else kept.append(i)
+    assert len(want) > 200
+    got = {r.doc_id: r.kept_id for r in simhash.removed_copies(docs).collect()}
+    assert got == want
+    import corpus_pipeline
+
+    assert sorted(r.doc_id for r in corpus_pipeline.simhash_stage(spark, docs, SF).collect()) == kept
+    assert simhash.removed_copies(hard_documents(spark)).count() and not simhash.removed_copies(docs.limit(0)).count()
