@@ -1,4 +1,4 @@
-"""Repeated passages of lines, found as content-defined chunks (operator 8)."""
+"""Repeated passages of lines (operator 8)."""
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -6,13 +6,13 @@ from xxhash import xxh3_128_digest, xxh64_intdigest
 
 from .common import flat_slices, map_slices, name, saved, table
 
-MEAN_LINES = 3  # a chunk ends where the rolling hash of two lines is a multiple of this
+MEAN_LINES = 3  # of chunks(): a chunk ends where the rolling hash of two lines is a multiple of this
 MASK = (1 << 64) - 1
 
 
 def chunks(text: str, mean_lines: int = MEAN_LINES) -> list[tuple[int, str]]:
-    """(number of lines, text) of consecutive chunks; joined by line feeds they are the text. Where a chunk ends depends on
-    its last two lines alone, so that boundaries shift with the text."""
+    """(number of lines, text) of consecutive chunks; joined by line feeds they are the text. A chunk ends
+    where its last two lines say so, or after the line behind that where it would be of one line alone."""
     out, held, before = [], [], 0
     for line in text.split("\n"):
         held.append(line)
@@ -27,14 +27,21 @@ def chunks(text: str, mean_lines: int = MEAN_LINES) -> list[tuple[int, str]]:
     return out
 
 
-def remove_repeated_chunks(docs: DataFrame, text: str = "text", id_column: str = "doc_id", mean_lines: int = MEAN_LINES) -> DataFrame:
-    """docs with text less the chunks of two lines or more that stand earlier, in a smaller doc_id or earlier in the same
+def line_pairs(text: str) -> list[str]:
+    """Each two lines that follow each other, which are the shortest passages."""
+    lines = text.split("\n")
+    return ["\n".join(x) for x in zip(lines, lines[1:])]
+
+
+def remove_repeated_chunks(docs: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
+    """docs with text less all passages of two lines or more that stand earlier, in a smaller doc_id or earlier in the same
     document; then n_lines and n_removed, lines of the text before and removed.
 
-    Chunks with equal digests are compared byte by byte with the first of them. Single lines stay. A null text stays null
-    and has no lines; an empty one is one empty line. Null ids come after all others. Rows equal in id and text count as
-    one document: both keep what is first there. A document of which nothing is left stays, with an empty text. Columns of
-    docs named n_lines or n_removed are replaced.
+    A passage stands earlier as far as each two neighbouring lines of it do. Pairs of lines with equal digests are compared
+    byte by byte with the first of them. Single lines stay. A null text stays null and has no lines; an empty one is one
+    empty line. Null ids come after all others. Rows equal in id and text count as one document: both keep what is first
+    there. A document of which nothing is left stays, with an empty text. Columns of docs named n_lines or n_removed are
+    replaced.
     """
     kept = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     given = docs.select(*(docs[name(c)] for c in kept), docs[name(id_column)].alias("__id"), F.xxhash64(docs[name(text)]).alias("__row"), docs[name(text)].alias("__text"))
@@ -42,40 +49,47 @@ def remove_repeated_chunks(docs: DataFrame, text: str = "text", id_column: str =
 
     def digests():
         def make(ids, rows, texts):
-            found = [(i, r, k, xxh3_128_digest(c.encode("utf-8", "surrogatepass"))) for i, r, t in zip(ids, rows, texts, strict=True) for k, (n, c) in enumerate(chunks(t, mean_lines)) if n > 1]
+            found = [(i, r, k, xxh3_128_digest(p.encode("utf-8", "surrogatepass"))) for i, r, t in zip(ids, rows, texts, strict=True) for k, p in enumerate(line_pairs(t))]
             return [list(x) for x in zip(*found, strict=True)] if found else [[], [], [], []]
 
         return make
 
     def bodies():
-        def make(ids, rows, texts):
-            found = [(i, r, k, xxh3_128_digest(b := c.encode("utf-8", "surrogatepass")), b) for i, r, t in zip(ids, rows, texts, strict=True) for k, (n, c) in enumerate(chunks(t, mean_lines)) if n > 1]
+        def make(ids, rows, texts, places):
+            found = []
+            for i, r, t, ks in zip(ids, rows, texts, places, strict=True):
+                pairs = line_pairs(t)
+                found += [(i, r, k, xxh3_128_digest(b := pairs[k].encode("utf-8", "surrogatepass")), b) for k in ks]
             return [list(x) for x in zip(*found, strict=True)] if found else [[], [], [], [], []]
 
         return make
 
+    def at_places(rows: DataFrame, by_row: DataFrame, column: str) -> DataFrame:
+        """rows with column of by_row (id, row, column), null where it has none."""
+        other = by_row.select(F.col("id").alias("__other_id"), F.col("row").alias("__other_row"), F.col(column).alias(f"__{column}"))
+        return rows.join(other.hint("merge"), rows["__id"].eqNullSafe(other["__other_id"]) & (rows["__row"] == other["__other_row"]), "left")
+
     place = {"id": "bigint", "row": "bigint", "k": "int", "digest": "binary"}
     order = F.struct(F.col("id").isNull().alias("last"), "id", "row", "k")
-    repeated = flat_slices(slim, place, digests).groupBy("digest").agg(F.count("*").alias("n"), F.min(order).alias("first")).where("n > 1")
-    repeated = saved(repeated.select("digest", "first"))
-    found = saved(flat_slices(slim, {**place, "body": "binary"}, bodies).join(repeated.hint("merge"), "digest").withColumn("own", order).select("digest", "id", "row", "k", "body", F.col("own").eqNullSafe(F.col("first")).alias("is_first")))
+    pairs = saved(flat_slices(slim, place, digests))
+    repeated = pairs.groupBy("digest").agg(F.count("*").alias("n"), F.min(order).alias("first")).where("n > 1").select("digest", "first")
+    placed = pairs.join(repeated.hint("merge"), "digest").groupBy("id", "row").agg(F.collect_set("k").alias("places"))
+    found = flat_slices(at_places(slim, placed, "places").where("__places is not null").select("__id", "__row", "__text", "__places"), {**place, "body": "binary"}, bodies)
+    found = saved(found.join(repeated.hint("merge"), "digest").withColumn("own", order).select("digest", "id", "row", "k", "body", F.col("own").eqNullSafe(F.col("first")).alias("is_first")))
     firsts = found.where("is_first").groupBy("digest").agg(F.first("body").alias("first_body"))
-    later = found.where("not is_first").join(firsts, "digest").where("body = first_body")
+    later = found.where("not is_first").join(firsts.hint("merge"), "digest").where("body = first_body")
     gone = saved(later.groupBy("id", "row").agg(F.collect_set("k").alias("gone")))
-    gone = gone.withColumnsRenamed({"id": "__gone_id", "row": "__gone_row", "gone": "__gone"})
-    joined = given.join(gone.hint("merge"), given["__id"].eqNullSafe(gone["__gone_id"]) & (given["__row"] == gone["__gone_row"]), "left")
+    joined = at_places(given, gone, "gone")
 
     def rebuild():
         def make(*columns):
             texts, lines, removed = [], [], []
             for t, gone_ in zip(columns[-2], columns[-1], strict=True):
-                if t is None:
-                    parts, away = [], set()
-                else:
-                    parts, away = chunks(t, mean_lines), set(gone_ or ())
-                texts.append(None if t is None else "\n".join(c for k, (_, c) in enumerate(parts) if k not in away) if away else t)
-                lines.append(sum(n for n, _ in parts))
-                removed.append(sum(n for k, (n, _) in enumerate(parts) if k in away))
+                parts = [] if t is None else t.split("\n")
+                away = {k + d for k in gone_ or () for d in (0, 1)}
+                texts.append("\n".join(x for k, x in enumerate(parts) if k not in away) if away else t)
+                lines.append(len(parts))
+                removed.append(len(away))
             return texts, lines, removed
 
         return make

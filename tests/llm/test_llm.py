@@ -278,3 +278,22 @@ def test_near_copies_leave_the_pipeline(spark):
 
     assert sorted(r.doc_id for r in corpus_pipeline.simhash_stage(spark, docs, SF).collect()) == kept
     assert simhash.removed_copies(hard_documents(spark)).count() and not simhash.removed_copies(docs.limit(0)).count()
+
+
+def test_repeated_passages_of_lines_leave_whole(spark):
+    rng = random.Random(7)
+    line = lambda: " ".join(f"w{rng.randrange(10**6)}" for _ in range(30))
+    runs = {n: [[line() for _ in range(n)] for _ in range(10)] for n in range(2, 7)}
+    rows, want, at = [], {}, 0
+    for n, group in runs.items():
+        for passage in group:  # the second and third stand between lines of their own, a part of the passage in the fourth
+            for k, part in enumerate((passage, passage, passage, passage[1:])):
+                before, after = [line() for _ in range(rng.randint(0, 3))], [line()]
+                rows.append((at, "\n".join(before + part + after)))
+                gone = k > 0 and len(part) > 1
+                want[at] = (len(part) if gone else 0, "\n".join(before + after) if gone else rows[-1][1])
+                at += 1
+    rows += [(at, "a\nb\nc\na\nb\na"), (at + 1, "x x\nx x\nx x"), (at + 2, None)]
+    want |= {at: (2, "a\nb\nc\na"), at + 1: (2, "x x"), at + 2: (0, None)}
+    out = line_dedup.remove_repeated_chunks(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert {r.doc_id: (r.n_removed, r.text) for r in out.collect()} == want
