@@ -18,7 +18,6 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
 NOT_DIGIT = re.compile(r"[^0-9]+")
 NUMBER = re.compile(r"[+(]?[0-9](?:[ ().\-]{0,3}[0-9])+")
-SAMPLE_DOCUMENTS = 4000  # bound of the rows from which potentials are learned
 ROUNDS, BELIEF = 8, 0.9
 
 
@@ -119,12 +118,10 @@ def tagged(spans: list[tuple[int, int]], base: list[tuple[int, int, int]]) -> li
     return labels
 
 
-def learn(docs: DataFrame, sample: int = SAMPLE_DOCUMENTS) -> dict:
-    """Log-potentials from counts over a bounded sample of documents, tagged by the patterns: of labels by shape, of
-    neighbours on the chain, of mentions that a skip edge joins. Only counts of a bounded number of shapes are gathered."""
-    place = F.xxhash64("__id", "__text")
-    last = docs.select(place.alias("place")).orderBy("place").limit(sample).agg(F.max("place")).first()[0]
-    rows = docs.where(place <= F.lit(last)).select("__text")
+def learn(docs: DataFrame) -> dict:
+    """Log-potentials from counts over all documents, tagged by the patterns: of labels by shape, of neighbours on the
+    chain, of mentions that a skip edge joins. Only counts of a bounded number of shapes are gathered."""
+    rows = docs.select("__text")
 
     def start():
         def make(texts):
@@ -197,7 +194,7 @@ def added_spans(text: str, base: list[tuple[int, int, int]], model: dict) -> lis
     return [(a, int(p[i, 1:].argmax()), b) for i, (a, b) in enumerate(spans) if i in joined and not labels[i] and p[i, 1:].max() >= BELIEF]
 
 
-def find_pii(docs: DataFrame, text: str = "text", id_column: str = "doc_id", keep: list[str] | None = None, sample: int = SAMPLE_DOCUMENTS) -> DataFrame:
+def find_pii(docs: DataFrame, text: str = "text", id_column: str = "doc_id", keep: list[str] | None = None) -> DataFrame:
     """keep columns of docs (all unless given), then n_email, n_ip, n_card, n_phone, base (the patterns' spans) and spans
     (with those that the field adds), each span kind:start:end in code points, comma-joined.
 
@@ -206,7 +203,7 @@ def find_pii(docs: DataFrame, text: str = "text", id_column: str = "doc_id", kee
     """
     outputs = {**{f"n_{k}": "bigint" for k in KINDS}, "base": "string", "spans": "string"}
     kept = [c for c in (docs.columns if keep is None else keep) if c not in outputs]
-    model = docs.sparkSession.sparkContext.broadcast(learn(docs.select(docs[name(id_column)].alias("__id"), docs[name(text)].alias("__text")), sample))
+    model = docs.sparkSession.sparkContext.broadcast(learn(docs.select(docs[name(text)].alias("__text"))))
 
     def start():
         def put(spans):

@@ -297,3 +297,9 @@ def test_repeated_passages_of_lines_leave_whole(spark):
     want |= {at: (2, "a\nb\nc\na"), at + 1: (2, "x x"), at + 2: (0, None)}
     out = line_dedup.remove_repeated_chunks(spark.createDataFrame(rows, "doc_id bigint, text string"))
     assert {r.doc_id: (r.n_removed, r.text) for r in out.collect()} == want
+
+
+def test_potentials_count_all_documents(spark):
+    rows = [(i, "no number" if i >= 14 else f"number {'1' * (7 + i)} here") for i in range(9000)]
+    model = pii.learn(spark.createDataFrame(rows, "__id bigint, __text string"))
+    assert {pii.shape("1" * (7 + i)) for i in range(14)} <= set(model["node"])
