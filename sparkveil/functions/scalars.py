@@ -13,6 +13,32 @@ def clean(c) -> Column:
     return F.upper(strip(c))
 
 
+def required(c: Column, message: str, key: Column | None = None) -> Column:
+    """c, where a null ends the job with the message and the row's key. It is a part of the plan, so that no second pass
+    over the rows is needed and none can leave unseen."""
+    text = F.lit(message) if key is None else F.concat(F.lit(f"{message}: "), F.coalesce(key.cast("string"), F.lit("null")))
+    return F.coalesce(c, F.raise_error(text))
+
+
+def real_null(c: Column) -> Column:
+    """Null for text that stands for it in imported tables: nan in any case, or blank."""
+    return F.when(~F.lower(strip(c)).isin("nan", ""), c)
+
+
+def iso_text(c: Column) -> Column:
+    return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
+
+
+def batch_stamp(c: Column) -> Column:
+    """Batch id of a moment, to the microsecond."""
+    return F.date_format(c, "yyyyMMdd_HHmmss_SSSSSS")
+
+
+def batch_of(name: Column) -> Column:
+    """Batch id to the second in a file name, null without one."""
+    return F.nullif(F.regexp_extract(name, r"(\d{8}_\d{6})", 1), F.lit(""))
+
+
 def zero_pad(c: Column, width: int) -> Column:
     """Zeros on the left up to width; longer values stay whole, which lpad alone would cut."""
     text = c.cast("string")
@@ -30,8 +56,9 @@ def initials(c: Column, empty: str = "X") -> Column:
 
 
 def business_key(*columns: str) -> Column:
-    """MD5 of the cleaned values, joined by bars. Nulls are refused beforehand."""
-    return F.md5(F.concat_ws("|", *(clean(c) for c in columns)))
+    """MD5 of the cleaned values, joined by bars. A null ends the job: concat_ws would skip it, and different values
+    could share a key."""
+    return F.md5(F.concat_ws("|", *(required(clean(c), f"null in identity column {c}") for c in columns)))
 
 
 def row_hash(columns: list[str]) -> Column:

@@ -1,35 +1,45 @@
 """Stable pseudo identities: profiles, numbering, mapping tables and backfills."""
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as X
 from ..plans.contracts import CUSTOMER_MAPPING, PRODUCT_MAPPING, UNKNOWN
 from ..sources.tables import materialized
-from .schema import ContractError, require_columns
+from .schema import ContractError, require_columns, require_unique, unused
 
 IDENTITY = ["source_customer_code", "ship_to_customer_code", "customer_name"]
+PRODUCT = ["full_sku_code", "first_half_sku_code", "unique_sku_code", "product_description", "product_category"]
+TIERS = ("full", "first_half", "unique")
 
 
-def numbered(df: DataFrame, order: list[str], groups: list[str] = (), out: str = "seq", prefix: int = 4) -> DataFrame:
-    """df with its place, from 1, by order within groups, without one task that sorts a whole group.
+def numbered(df: DataFrame, order: list[str], groups: list[str] = (), out: str = "seq") -> DataFrame:
+    """df with its place, from 1, by order within groups; null groups are groups, and no row is left out.
 
-    Rows are ranked among those that share the first characters of the first order column, and the places of such
-    buckets are counted up in a table of one row a bucket: text order follows prefixes, so that the sum is the rank.
+    Rows are dealt by ranges of (groups, order), which are of like size however many rows share a group or a prefix of the
+    key, and written, so that the ranges are fixed. Each is ranked by itself; a table of one row a range and group says
+    how many rows of the group stand in earlier ranges.
     """
-    bucketed = df.withColumn("__bucket", F.substring(F.col(order[0]).cast("string"), 1, prefix))
-    counts = bucketed.groupBy(*groups, "__bucket").agg(F.count("*").alias("__n"))
-    before = Window.partitionBy(*groups).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*groups, "__bucket", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
-    within = Window.partitionBy(*groups, "__bucket").orderBy(*order)
-    ranked = bucketed.withColumn("__rank", F.row_number().over(within))
-    return ranked.join(offsets, [*groups, "__bucket"]).withColumn(out, (F.col("__rank") + F.col("__before")).cast("bigint")).drop("__bucket", "__rank", "__before")
+    part, before, n = (unused(df, x) for x in ("range_part", "range_before", "range_rows"))
+    ranged = materialized(df.repartitionByRange(*groups, *order).withColumn(part, F.spark_partition_id()))
+    counts = ranged.groupBy(part, *groups).agg(F.count("*").alias(n))
+    earlier = Window.partitionBy(*groups).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    keys = [part, *groups]
+    offsets = counts.withColumn(before, F.coalesce(F.sum(n).over(earlier), F.lit(0))).select(*(F.col(k).alias(f"offset_{k}") for k in keys), before)
+    ranked = ranged.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    same = [F.col(k).eqNullSafe(F.col(f"offset_{k}")) for k in keys]
+    return ranked.join(offsets, same).withColumn(out, (F.col(out) + F.col(before)).cast("bigint")).select(*df.columns, out)
+
+
+def null_counts(df: DataFrame, columns: list[str]) -> DataFrame:
+    return df.agg(*(F.count_if(F.col(c).isNull()).alias(c) for c in columns))
 
 
 def refuse_nulls(df: DataFrame, columns: list[str]) -> None:
-    row = df.agg(*(F.count_if(F.col(c).isNull()).alias(c) for c in columns)).first()
+    """An error with the counts of nulls; the functions below refuse them in the plan as well."""
+    row = null_counts(df, columns).first()
     if bad := {c: row[c] for c in columns if row[c]}:
-        raise ContractError(f"null identity values: {bad}")
+        raise ContractError(f"null values: {bad}")
 
 
 def with_customer_key(df: DataFrame) -> DataFrame:
@@ -37,16 +47,16 @@ def with_customer_key(df: DataFrame) -> DataFrame:
 
 
 def profile_customers(history: DataFrame) -> DataFrame:
-    """One row a customer: the key and the cleaned values it is made of. Rows with a null identity value are refused by
-    refuse_nulls beforehand, and left out here."""
-    named = history.where(" AND ".join(f"{c} IS NOT NULL" for c in IDENTITY)).select(*(X.clean(c).alias(c) for c in IDENTITY))
+    """One row a customer: the key and the cleaned values it is made of. A null identity value ends the job."""
+    require_columns(history, IDENTITY)
+    named = history.select(*(X.required(X.clean(c), f"null in identity column {c}").alias(c) for c in IDENTITY))
     return with_customer_key(named).select("customer_hash_key", *IDENTITY).distinct()
 
 
 def profile_products(history: DataFrame) -> DataFrame:
-    """One row a SKU; of several descriptions or categories the least pair."""
-    cols = ["full_sku_code", "first_half_sku_code", "unique_sku_code", "product_description", "product_category"]
-    rows = history.where("full_sku_code IS NOT NULL").select(*(X.strip(c).alias(c) for c in cols[:4]), X.clean("product_category").alias("product_category"))
+    """One row a SKU; of several descriptions or categories the least pair. A null in a product column ends the job."""
+    require_columns(history, PRODUCT)
+    rows = history.select(*(X.required(X.clean(c) if c == "product_category" else X.strip(c), f"null in product column {c}", F.col("full_sku_code")).alias(c) for c in PRODUCT))
     return rows.groupBy("full_sku_code").agg(F.min(F.struct("product_description", "product_category", "first_half_sku_code", "unique_sku_code")).alias("v")).select("full_sku_code", "v.first_half_sku_code", "v.unique_sku_code", "v.product_description", "v.product_category")
 
 
@@ -54,8 +64,48 @@ def category_profile(products: DataFrame) -> DataFrame:
     return products.groupBy("product_category").agg(F.count("*").alias("products")).orderBy(F.desc("products"), "product_category")
 
 
-def last_number(existing: DataFrame, c: Column, groups: list[str] = ()) -> DataFrame:
-    return existing.groupBy(*groups).agg(F.coalesce(F.max(X.trailing_number(c)), F.lit(0)).alias("last"))
+def sequence_state(existing: DataFrame, column: str, groups: list[str] = ()) -> DataFrame:
+    """rows, malformed (codes without a number at their end) and last (the highest number) of a column of codes."""
+    n = X.trailing_number(F.col(column))
+    return existing.groupBy(*groups).agg(F.count("*").alias("rows"), F.count_if(F.col(column).isNotNull() & n.isNull()).alias("malformed"), F.max(n).alias("last"))
+
+
+def last_number(existing: DataFrame, column: str, strict: bool = True) -> int:
+    """The highest number of a column of codes, 0 without rows. strict refuses any malformed code; else the column is
+    refused if none of its codes has a number, as numbering would begin anew."""
+    state = sequence_state(existing, column).first()
+    if state is None or not state.rows:
+        return 0
+    if strict and state.malformed or not strict and state.last is None:
+        raise ContractError(f"{column}: {state.malformed} of {state.rows} codes have no number at their end")
+    return state.last or 0
+
+
+def last_numbers(existing: DataFrame, column: str, group: str) -> DataFrame:
+    """group, last: as last_number for each group; a malformed code ends the job."""
+    state = sequence_state(existing, column, [group])
+    wrong = F.raise_error(F.concat(F.lit(f"{column}: codes without a number in "), F.coalesce(group, F.lit("null"))))
+    return state.select(group, F.when(F.col("malformed") > 0, wrong).otherwise(F.coalesce("last", F.lit(0))).alias("last"))
+
+
+def require_mapping(mapping: DataFrame, key: str, values: list[str]) -> None:
+    """Refuses a mapping with a repeated key or a null in key or values; one aggregate."""
+    row = mapping.agg(F.count("*").alias("rows"), F.count_distinct(key).alias("keys"), *(F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in [key, *values])).first()
+    nulls = {c: row[f"null_{c}"] for c in [key, *values] if row[f"null_{c}"]}
+    if nulls or row["rows"] != row["keys"]:
+        raise ContractError(f"mapping by {key}: {row['rows']} rows, {row['keys']} keys, nulls: {nulls}")
+
+
+def require_one_to_one(products: DataFrame) -> None:
+    """Refuses SKU tiers in which a key has two codes or a code two keys: then the counts of keys, of codes and of their
+    pairs differ. One aggregate for the three tiers."""
+    counts = {}
+    for t in TIERS:
+        key, code = f"{t}_sku_code", f"pseudo_{t}_sku_code"
+        counts |= {f"{t} keys": F.count_distinct(key), f"{t} codes": F.count_distinct(code), f"{t} pairs": F.count_distinct(key, code)}
+    row = products.agg(*(v.alias(k) for k, v in counts.items())).first().asDict()
+    if bad := {k: v for k, v in row.items() if v != row[k.split()[0] + " pairs"]}:
+        raise ContractError(f"SKU codes are not one-to-one: {bad} against {row}")
 
 
 def map_customers(base: DataFrame, existing: DataFrame | None = None) -> DataFrame:
@@ -63,19 +113,30 @@ def map_customers(base: DataFrame, existing: DataFrame | None = None) -> DataFra
     new, start = base, 0
     if existing is not None:
         new = base.join(existing.select("customer_hash_key"), "customer_hash_key", "left_anti")
-        start = last_number(existing, F.col("pseudo_customer_name")).first()["last"]
+        start = last_number(existing, "pseudo_customer_name", strict=False)
     name = F.concat(F.lit("Customer CUST-"), X.zero_pad(F.col("seq") + F.lit(start), 6))
-    added = numbered(materialized(new), ["customer_hash_key"], prefix=3).withColumn("pseudo_customer_name", name).select(*CUSTOMER_MAPPING)
-    return materialized(added if existing is None else existing.select(*CUSTOMER_MAPPING).unionByName(added))
+    added = numbered(new, ["customer_hash_key"]).withColumn("pseudo_customer_name", name).select(*CUSTOMER_MAPPING)
+    out = materialized(added if existing is None else existing.select(*CUSTOMER_MAPPING).unionByName(added))
+    require_mapping(out, "customer_hash_key", ["pseudo_customer_name"])
+    return out
+
+
+def unmapped_categories(products: DataFrame, categories: DataFrame) -> DataFrame:
+    """product_category, products: categories that the lookup lacks, null among them."""
+    return products.join(categories, "product_category", "left_anti").groupBy("product_category").agg(F.count("*").alias("products"))
 
 
 def map_products(base: DataFrame, categories: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    """Pseudo category and description for each SKU: new ones numbered within their category after its last number."""
+    """Pseudo category and description for each SKU: new ones numbered within their category after its last number. A
+    category that the lookup lacks ends the job; a lookup with a repeated category is refused."""
+    require_columns(base, PRODUCT)
+    require_unique(categories, "product_category", "category lookup")
     new = base if existing is None else base.join(existing.select("full_sku_code"), "full_sku_code", "left_anti")
-    named = materialized(new.join(categories, "product_category", "left"))
+    known = categories.select("product_category", F.col("pseudo_category").alias("found"))
+    named = new.join(known, "product_category", "left").withColumn("pseudo_category", X.required(F.col("found"), "category without a pseudo category", F.col("product_category"))).drop("found")
     ranked = numbered(named, ["product_description", "full_sku_code"], ["pseudo_category"])
     if existing is not None:
-        ranked = ranked.join(last_number(existing, F.col("pseudo_product_description"), ["pseudo_category"]), "pseudo_category", "left")
+        ranked = ranked.join(last_numbers(existing, "pseudo_product_description", "pseudo_category"), "pseudo_category", "left")
     else:
         ranked = ranked.withColumn("last", F.lit(0))
     text = F.concat(F.col("pseudo_category"), F.lit(" Product "), X.initials(F.col("pseudo_category")), F.lit("-"), X.zero_pad(F.col("seq") + F.coalesce("last", F.lit(0)), 3))
@@ -86,7 +147,8 @@ def map_products(base: DataFrame, categories: DataFrame, existing: DataFrame | N
 
 
 def sku_prefixes(products: DataFrame, known: DataFrame | None = None) -> DataFrame:
-    """pseudo_category, sku_prefix: initials, numbered from the second category with the same ones. Known pairs stay."""
+    """pseudo_category, sku_prefix: initials, numbered from the second category with the same ones. Known pairs stay. Two
+    categories with one prefix, as initials may end in a digit themselves, end the job."""
     found = products.where("pseudo_category IS NOT NULL").select("pseudo_category").distinct().withColumn("base", X.initials(F.col("pseudo_category")))
     taken = F.lit(0)
     if known is not None:
@@ -95,7 +157,9 @@ def sku_prefixes(products: DataFrame, known: DataFrame | None = None) -> DataFra
         taken = F.coalesce("taken", F.lit(0))
     place = F.row_number().over(Window.partitionBy("base").orderBy("pseudo_category")) + taken
     added = found.select("pseudo_category", F.when(place == 1, F.col("base")).otherwise(F.concat("base", place.cast("string"))).alias("sku_prefix"))
-    return added if known is None else known.unionByName(added)
+    out = added if known is None else known.unionByName(added)
+    twice = F.count("*").over(Window.partitionBy("sku_prefix")) > 1
+    return out.withColumn("sku_prefix", F.when(twice, F.raise_error(F.concat(F.lit("prefix of several categories: "), "sku_prefix"))).otherwise(F.col("sku_prefix")))
 
 
 def known_prefixes(products: DataFrame) -> DataFrame:
@@ -106,43 +170,61 @@ def known_prefixes(products: DataFrame) -> DataFrame:
 def stable_codes(df: DataFrame, key: str, pseudo: str, prefix: str, pad: int) -> DataFrame:
     """key, pseudo of every key of df: codes it has stay, keys without are numbered after the highest, by key."""
     have = df.where(F.col(pseudo).isNotNull()).groupBy(key).agg(F.min(pseudo).alias(pseudo))
-    new = materialized(df.where(F.col(key).isNotNull()).select(key).distinct().join(have, key, "left_anti"))
-    start = last_number(have, F.col(pseudo))
-    start = start.first()["last"]
+    new = df.where(F.col(key).isNotNull()).select(key).distinct().join(have, key, "left_anti")
+    start = last_number(df.where(F.col(pseudo).isNotNull()), pseudo)
     return have.unionByName(numbered(new, [key]).select(key, F.concat(F.lit(prefix), X.zero_pad(F.col("seq") + F.lit(start), pad)).alias(pseudo)))
 
 
 def map_skus(products: DataFrame) -> DataFrame:
-    """The three tiers of SKU pseudonyms; those that rows already have never change."""
+    """The three tiers of SKU pseudonyms; those that rows already have never change. Text that stands for null counts as
+    null; a product without category or key ends the job; the result is checked for unique, one-to-one codes."""
     for c in PRODUCT_MAPPING[7:]:
         if c not in products.columns:
             products = products.withColumn(c, F.lit(None).cast("string"))
-    products = materialized(products)
-    prefixes = sku_prefixes(products, known_prefixes(products))
+    checked = {c: X.required(X.real_null(F.col(c)), f"null in {c}", F.col("full_sku_code")) for c in ("full_sku_code", "first_half_sku_code", "unique_sku_code", "pseudo_category")}
+    products = materialized(products.withColumns(checked))
+    prefixes = sku_prefixes(products, known_prefixes(products)).withColumnRenamed("pseudo_category", "prefix_category")
     have, new = products.where("pseudo_full_sku_code IS NOT NULL"), products.where("pseudo_full_sku_code IS NULL")
     # Descriptions end in padded numbers, so that their numbers decide beyond the padding.
-    placed = numbered(new.withColumn("__d", X.zero_pad(X.trailing_number(F.col("pseudo_product_description")), 18)), ["__d", "full_sku_code"], ["pseudo_category"], prefix=15)
-    placed = placed.join(last_number(have, F.col("pseudo_full_sku_code"), ["pseudo_category"]), "pseudo_category", "left").join(prefixes, "pseudo_category")
-    code = F.concat(F.lit("SKU-"), F.col("sku_prefix"), F.lit("-"), X.zero_pad(F.col("seq") + F.coalesce("last", F.lit(0)), 6))
+    placed = numbered(new.withColumn("description_number", X.trailing_number(F.col("pseudo_product_description"))), ["description_number", "full_sku_code"], ["pseudo_category"])
+    placed = placed.join(last_numbers(have, "pseudo_full_sku_code", "pseudo_category"), "pseudo_category", "left").join(prefixes, F.col("pseudo_category") == F.col("prefix_category"), "left")
+    prefix = X.required(F.col("sku_prefix"), "category without prefix", F.col("pseudo_category"))
+    code = F.concat(F.lit("SKU-"), prefix, F.lit("-"), X.zero_pad(F.col("seq") + F.coalesce("last", F.lit(0)), 6))
     out = materialized(have.select(*PRODUCT_MAPPING).unionByName(placed.withColumn("pseudo_full_sku_code", code).select(*PRODUCT_MAPPING)))
     groups = stable_codes(out, "first_half_sku_code", "pseudo_first_half_sku_code", "SKU-GRP-", 5)
     bases = stable_codes(out, "unique_sku_code", "pseudo_unique_sku_code", "SKU-BASE-", 5)
     full = out.drop("pseudo_first_half_sku_code", "pseudo_unique_sku_code").join(groups, "first_half_sku_code", "left").join(bases, "unique_sku_code", "left").select(*PRODUCT_MAPPING)
-    return materialized(full)
+    full = materialized(full)
+    require_mapping(full, "full_sku_code", ["pseudo_full_sku_code", "pseudo_first_half_sku_code", "pseudo_unique_sku_code"])
+    require_one_to_one(full)
+    return full
 
 
 def backfill_customers(orders: DataFrame, customers: DataFrame) -> DataFrame:
     return map_customers(profile_customers(orders), customers)
 
 
+def unknown_state(products: DataFrame) -> DataFrame:
+    """rows, prefixes and last of the unknown category: its products, the prefixes of their codes, the last number of
+    their descriptions."""
+    own = products.where(F.col("pseudo_category") == UNKNOWN)
+    prefix = F.nullif(F.regexp_extract("pseudo_full_sku_code", r"^SKU-([A-Z0-9]+)-\d+$", 1), F.lit(""))
+    return own.agg(F.count("*").alias("rows"), F.count_distinct(prefix).alias("prefixes"), F.coalesce(F.max(X.trailing_number(F.col("pseudo_product_description"), r"-(\d+)$")), F.lit(0)).alias("last"))
+
+
 def backfill_products(found: DataFrame, products: DataFrame) -> DataFrame:
     """products and the SKUs of found that it lacks, under the unknown category: descriptions and codes go on after its
-    last numbers, group and base codes are shared with known halves."""
+    last numbers, group and base codes are shared with known halves. A null SKU ends the job; where the unknown category
+    has products, their codes must have one prefix."""
     require_columns(found, PRODUCT_MAPPING[:4])
-    new = found.where("full_sku_code IS NOT NULL").groupBy("full_sku_code").agg(F.min(F.struct("product_description", "first_half_sku_code", "unique_sku_code")).alias("v"))
-    new = materialized(new.select("full_sku_code", "v.*").join(products.select("full_sku_code"), "full_sku_code", "left_anti"))
-    seen = products.where(F.col("pseudo_category") == UNKNOWN).agg(F.max(X.trailing_number(F.col("pseudo_product_description")))).first()[0] or 0
-    text = F.concat(F.lit(f"{UNKNOWN} Product UC-"), X.zero_pad(F.col("seq") + F.lit(seen), 3))
+    require_columns(products, PRODUCT_MAPPING)
+    state = unknown_state(products).first()
+    if state["rows"] and state.prefixes != 1:
+        raise ContractError(f"{UNKNOWN}: codes of {state['rows']} products have {state.prefixes} prefixes")
+    named = found.select(X.required(F.col("full_sku_code"), "null in full_sku_code").alias("full_sku_code"), *PRODUCT_MAPPING[1:4])
+    new = named.groupBy("full_sku_code").agg(F.min(F.struct("product_description", "first_half_sku_code", "unique_sku_code")).alias("v"))
+    new = new.select("full_sku_code", "v.*").join(products.select("full_sku_code"), "full_sku_code", "left_anti")
+    text = F.concat(F.lit(f"{UNKNOWN} Product UC-"), X.zero_pad(F.col("seq") + F.lit(state.last), 3))
     added = numbered(new, ["full_sku_code"]).select("full_sku_code", "first_half_sku_code", "unique_sku_code", "product_description", F.lit("UNKNOWN").alias("product_category"), F.lit(UNKNOWN).alias("pseudo_category"), text.alias("pseudo_product_description"))
     return map_skus(products.unionByName(added, allowMissingColumns=True))
 

@@ -1,11 +1,15 @@
 """Facts under pseudonyms: guarded joins, replaced values, row hashes, no identifiers left."""
 
-from pyspark.sql import DataFrame
+import warnings
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import scalars as X
 from ..plans.contracts import HISTORY_HASH, INVENTORY_HASH, OPEN_HASH
-from .identity import with_customer_key
+from .identity import IDENTITY, with_customer_key
+from .schema import ContractError, constant, require_absent, require_columns, require_rows, require_unique
 
 LOOKUP = ["pseudo_category", "pseudo_product_description", "pseudo_full_sku_code", "pseudo_first_half_sku_code", "pseudo_unique_sku_code"]
 
@@ -27,20 +31,45 @@ def unmapped(joined: DataFrame, key: str, pseudo: str) -> DataFrame:
     return joined.where(F.col(pseudo).isNull()).select(key).distinct()
 
 
+def first_unmapped(joined: DataFrame, key: str, pseudo: str, n: int = 20) -> DataFrame:
+    """The first n keys without a pseudonym, for a message."""
+    return unmapped(joined, key, pseudo).orderBy(key).limit(n)
+
+
 def hashed(df: DataFrame, columns: list[str], run_time: str) -> DataFrame:
+    """row_hash over those of the columns that df has; missing ones are warned of."""
+    if missing := [c for c in columns if c not in df.columns]:
+        warnings.warn(f"row hash without columns: {missing}", stacklevel=2)
     return df.withColumn("row_hash", X.row_hash([c for c in columns if c in df.columns])).withColumn("pseudonymized_at", F.lit(run_time))
 
 
-def pseudonymize_orders(facts: DataFrame, products: DataFrame, customers: DataFrame, run_time: str, kind: str = "history") -> DataFrame:
+def mapped(pseudo: str, key: str) -> F.Column:
+    """A pseudonym, where a fact without one ends the job."""
+    return X.required(F.col(pseudo), f"no pseudonym for {key}", F.col(key))
+
+
+def pseudonymize_orders(facts: DataFrame, products: DataFrame, customers: DataFrame, run_time: str, kind: str = "history", counted: bool = False) -> DataFrame:
     """Order lines with pseudonyms in place of names, SKUs and descriptions. Open orders take their category from the
-    mapping. Joins keep one row a fact: mapping keys are unique, which fanout_keys shows."""
+    mapping.
+
+    Refused: missing columns, no rows, mappings with a repeated key. A null identity value or a fact that a mapping lacks
+    ends the job. Left joins to unique keys keep one row a fact, which written_whole counts: facts that it counts are not
+    looked at for rows beforehand.
+    """
+    require_columns(facts, [*IDENTITY, "full_sku_code", "first_half_sku_code", "unique_sku_code", "product_description", "order_number"])
+    require_columns(products, ["full_sku_code", *LOOKUP])
+    require_columns(customers, ["customer_hash_key", "pseudo_customer_name"])
+    if not counted:
+        require_rows(facts, f"{kind} facts")
+    require_unique(products, "full_sku_code", "product mapping")
+    require_unique(customers, "customer_hash_key", "customer mapping")
     joined = with_customers(with_products(facts, products), customers)
     new = {
-        "customer_name": F.col("pseudo_customer_name"),
-        "full_sku_code": F.col("pseudo_full_sku_code"),
+        "customer_name": mapped("pseudo_customer_name", "customer_hash_key"),
+        "full_sku_code": mapped("pseudo_full_sku_code", "full_sku_code"),
         "first_half_sku_code": F.col("pseudo_first_half_sku_code"),
         "unique_sku_code": F.col("pseudo_unique_sku_code"),
-        "product_description": F.col("pseudo_product_description"),
+        "product_description": mapped("pseudo_product_description", "full_sku_code"),
         "product_category": F.col("pseudo_category"),
         "original_customer_removed": F.lit(True),
         "original_sku_removed": F.lit(True),
@@ -48,10 +77,35 @@ def pseudonymize_orders(facts: DataFrame, products: DataFrame, customers: DataFr
         **({"original_user_removed": F.lit(True)} if kind == "history" else {"product_category_derived": F.lit(True)}),
     }
     out = hashed(joined.withColumns(new), HISTORY_HASH if kind == "history" else OPEN_HASH, run_time)
-    return out.drop("source_customer_code", "ship_to_customer_code", "created_by_user", "customer_hash_key", "pseudo_customer_name", *LOOKUP)
+    away = ["source_customer_code", "ship_to_customer_code", "created_by_user", "customer_hash_key", "pseudo_customer_name", *LOOKUP]
+    out = out.drop(*away)
+    require_absent(out, away)
+    return out
 
 
 def pseudonymize_inventory(inventory: DataFrame, products: DataFrame, run_time: str) -> DataFrame:
-    joined = with_products(inventory.withColumn("full_sku_code", X.full_sku(F.col("raw_sku"))), products)
-    new = {"full_sku_code": F.col("pseudo_full_sku_code"), "product_description": F.col("pseudo_product_description"), "product_category": F.col("pseudo_category"), "product_category_derived": F.lit(True), "original_sku_removed": F.lit(True), "original_product_removed": F.lit(True)}
-    return hashed(joined.withColumns(new), INVENTORY_HASH, run_time).drop("raw_sku", *LOOKUP)
+    """Stock lines with pseudonyms, SKUs rebuilt from their numbers. Refused: missing columns, no rows or several snapshot
+    dates, a mapping with a repeated key. A null SKU or one that the mapping lacks ends the job."""
+    require_columns(inventory, ["raw_sku", "product_description", "warehouse_code", "snapshot_date"])
+    require_columns(products, ["full_sku_code", *LOOKUP])
+    constant(inventory, "snapshot_date")
+    require_unique(products, "full_sku_code", "product mapping")
+    joined = with_products(inventory.withColumn("full_sku_code", X.full_sku(X.required(F.col("raw_sku"), "null in raw_sku"))), products)
+    new = {"full_sku_code": mapped("pseudo_full_sku_code", "full_sku_code"), "product_description": mapped("pseudo_product_description", "full_sku_code"), "product_category": F.col("pseudo_category"), "product_category_derived": F.lit(True), "original_sku_removed": F.lit(True), "original_product_removed": F.lit(True)}
+    out = hashed(joined.withColumns(new), INVENTORY_HASH, run_time).drop("raw_sku", *LOOKUP)
+    require_absent(out, ["raw_sku", *LOOKUP])
+    return out
+
+
+def written_whole(facts: DataFrame, make: Callable[[DataFrame], DataFrame], path: str) -> DataFrame:
+    """make(facts) written to path and read again; refused unless it has as many rows as facts, and some. Both are counted
+    while the rows pass, in the same job."""
+    given, made = Observation(), Observation()
+    out = make(facts.observe(given, F.count(F.lit(1)).alias("rows"))).observe(made, F.count(F.lit(1)).alias("rows"))
+    out.write.parquet(path)
+    written = facts.sparkSession.read.schema(out.schema).parquet(path)
+    require_rows(written, path)  # an empty plan observes nothing
+    before, after = given.get["rows"], made.get["rows"]
+    if before != after:
+        raise ContractError(f"{before} facts became {after} rows")
+    return written

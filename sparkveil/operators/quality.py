@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as X
-from ..plans.contracts import GATES
+from ..plans.contracts import GATES, VALIDATED
 from .schema import ContractError, require_columns, require_rows
 
 PSEUDONYM = {"customer": ("customer_name", X.is_customer_pseudonym), "product": ("product_description", X.is_product_pseudonym), "sku": ("full_sku_code", X.is_sku_pseudonym)}
@@ -30,6 +30,10 @@ def mapping_violations(customers: DataFrame, products: DataFrame) -> DataFrame:
     for tier in ("full", "first_half", "unique"):
         key = f"{tier}_sku_code"
         parts += [one_to_one(products, key, f"pseudo_{key}"), null_values(products, [key, f"pseudo_{key}"])]
+    parts.append(null_values(products, ["pseudo_category"]))
+    for mapping, kind, column in ((customers, "customer", "pseudo_customer_name"), (products, "product", "pseudo_product_description")):
+        count = mapping.agg(F.count_if(~PSEUDONYM[kind][1](F.col(column))).alias("n"))
+        parts.append(count.select(F.lit(f"format {column}").alias("rule"), F.lit(None).cast("string").alias("value"), "n").where("n > 0"))
     for mapping, key in ((customers, "customer_hash_key"), (products, "full_sku_code")):
         parts.append(mapping.groupBy(key).agg(F.count("*").alias("n")).where("n > 1").select(F.lit(f"repeated {key}").alias("rule"), F.col(key).alias("value"), "n"))
     return reduce(DataFrame.unionByName, parts)
@@ -37,7 +41,7 @@ def mapping_violations(customers: DataFrame, products: DataFrame) -> DataFrame:
 
 def validate_mappings(customers: DataFrame, products: DataFrame) -> None:
     require_columns(customers, ["customer_hash_key", "pseudo_customer_name"])
-    require_columns(products, ["full_sku_code", "pseudo_full_sku_code", "first_half_sku_code", "pseudo_first_half_sku_code", "unique_sku_code", "pseudo_unique_sku_code"])
+    require_columns(products, ["full_sku_code", "pseudo_full_sku_code", "first_half_sku_code", "pseudo_first_half_sku_code", "unique_sku_code", "pseudo_unique_sku_code", "pseudo_category", "pseudo_product_description"])
     require_rows(customers, "customer mapping")
     require_rows(products, "product mapping")
     if found := mapping_violations(customers, products).limit(20).collect():
@@ -65,6 +69,35 @@ def duplicate_rows(df: DataFrame, key: str = "row_hash") -> DataFrame:
     return df.withColumn("occurrences", F.count("*").over(Window.partitionBy(key))).where("occurrences > 1")
 
 
+def export_duplicates(df: DataFrame, path: str, key: str = "row_hash") -> DataFrame:
+    """Rows whose key occurs more than once, written in the order of the key, for inspection."""
+    duplicate_rows(df, key).repartitionByRange(key).sortWithinPartitions(key).write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def validated_counts(dataset: str, df: DataFrame) -> DataFrame:
+    """One row: rows, rows without each pseudonym of the dataset, rows without hash, hashes beyond their first."""
+    kinds = GATES[dataset]["pseudonyms"]
+    by_hash = df.groupBy("row_hash").agg(F.count("*").alias("rows"), *(F.count_if(~PSEUDONYM[k][1](F.col(PSEUDONYM[k][0]))).alias(f"bad_{k}_rows") for k in kinds))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    missing = total(F.when(F.col("row_hash").isNull(), F.col("rows")).otherwise(0)).alias("missing_hashes")
+    return by_hash.agg(total(F.col("rows")).alias("rows"), *(total(F.col(f"bad_{k}_rows")).alias(f"bad_{k}_rows") for k in kinds), missing, total(F.col("rows") - 1).alias("duplicates"))
+
+
+def validate_pseudonymized(dataset: str, df: DataFrame, export: str | None = None) -> dict[str, int]:
+    """Counts of a pseudonymised table; values that are no pseudonyms, missing hashes, missing columns or no rows are
+    refused. Repeated hashes are no fault: their rows are written to export, if given."""
+    require_columns(df, VALIDATED[dataset])
+    row = validated_counts(dataset, df).first().asDict()
+    if not row["rows"]:
+        raise ContractError(f"{dataset}: no rows to validate")
+    if bad := {k: n for k, n in row.items() if n and k not in ("rows", "duplicates")}:
+        raise ContractError(f"{dataset}: {bad}")
+    if row["duplicates"] and export:
+        export_duplicates(df, export)
+    return row
+
+
 def quality_checks(dataset: str, df: DataFrame, batch: str) -> DataFrame:
     """batch, check, status, n: one row a check, from one aggregate over the batch and one over its hashes."""
     gate = GATES[dataset]
@@ -96,6 +129,20 @@ def roll_up(checks: DataFrame) -> DataFrame:
     return checks.groupBy("batch").agg(status.alias("overall_status"), names(failed).alias("failed_checks"), names(warned).alias("warning_checks"))
 
 
+def write_report(checks: DataFrame, root: str, dataset: str) -> DataFrame:
+    """checks and their roll-up under root, by dataset and batch; a second report of a batch replaces the first. Returns
+    the roll-up as written."""
+    for name, rows in (("quality_checks", checks), ("quality_reports", roll_up(checks))):
+        rows.withColumn("dataset", F.lit(dataset)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dataset", "batch").parquet(f"{root}/{name}")
+    kept = checks.sparkSession.read.schema("overall_status string, failed_checks string, warning_checks string, dataset string, batch string").parquet(f"{root}/quality_reports")
+    return kept.where(F.col("dataset") == dataset).select("batch", "overall_status", "failed_checks", "warning_checks")
+
+
+def unauthorized(facts: DataFrame, reports: DataFrame, key: str = "batch_id") -> DataFrame:
+    """Batches of facts, a null one among them, that no report of their own authorises."""
+    return facts.select(key).distinct().join(reports.where(F.col("overall_status").isin("passed", "passed_with_warnings")).select(F.col("batch").alias(key)), key, "left_anti")
+
+
 def authorized(facts: DataFrame, reports: DataFrame, key: str = "batch_id") -> DataFrame:
     """Facts of batches whose own report passed."""
     return facts.join(reports.where(F.col("overall_status").isin("passed", "passed_with_warnings")).select(F.col("batch").alias(key)), key, "left_semi")

@@ -1,5 +1,6 @@
 """Column names and contracts: normalise, rename, drop, drift, required columns."""
 
+import warnings
 from collections import Counter
 
 from pyspark.sql import DataFrame
@@ -26,6 +27,14 @@ def require_distinct(names: list[str]) -> None:
         raise ContractError(f"column names that occur more than once: {twice}")
 
 
+def unused(df: DataFrame, base: str) -> str:
+    """A name that starts with base and that df does not use."""
+    taken, name = {c.lower() for c in df.columns}, base
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def require_columns(df: DataFrame, needed: list[str]) -> None:
     if missing := [c for c in needed if c not in df.columns]:
         raise ContractError(f"missing columns: {missing}")
@@ -36,6 +45,25 @@ def require_rows(df: DataFrame, what: str) -> None:
         raise ContractError(f"{what} has no rows")
 
 
+def require_absent(df: DataFrame, columns: list[str]) -> None:
+    if left := [c for c in columns if c in df.columns]:
+        raise ContractError(f"identifier columns left: {left}")
+
+
+def require_unique(mapping: DataFrame, key: str, what: str) -> None:
+    """Refuses a lookup that would repeat rows in a join."""
+    if found := mapping.groupBy(key).agg(F.count("*").alias("n")).where("n > 1").orderBy(key).limit(20).collect():
+        raise ContractError(f"{what}: {key} occurs more than once: {[(r[0], r.n) for r in found]}")
+
+
+def constant(df: DataFrame, column: str) -> str:
+    """The one value of a column; several values, nulls or no rows are refused."""
+    row = df.agg(F.min(column).alias("a"), F.max(column).alias("b"), F.count_if(F.col(column).isNull()).alias("nulls")).first()
+    if row.a is None or row.a != row.b or row.nulls:
+        raise ContractError(f"{column} is not one value: {row.a} to {row.b}, {row.nulls} nulls")
+    return row.a
+
+
 def drift(columns: list[str], contract: dict[str, str], drops: list[str] = ()) -> list[tuple[str, str]]:
     """(column, unknown or missing) for columns the contract does not know or expects in vain."""
     known = set(contract) | set(drops)
@@ -43,8 +71,11 @@ def drift(columns: list[str], contract: dict[str, str], drops: list[str] = ()) -
 
 
 def standardize(df: DataFrame, contract: dict[str, str], run_time: str, drops: list[str] = (), extra: list[str] = ()) -> DataFrame:
-    """df under the contract's names, deliberate drops gone; unknown columns are refused."""
+    """df under the contract's names, deliberate drops gone; unknown columns are refused, missing ones warned of."""
     df = normalize_names(df, "plain")
-    if unknown := [c for c, kind in drift([c for c in df.columns if c not in extra], contract, drops) if kind == "unknown"]:
+    found = drift([c for c in df.columns if c not in extra], contract, drops)
+    if unknown := [c for c, kind in found if kind == "unknown"]:
         raise ContractError(f"columns outside the contract: {unknown}")
+    if missing := [c for c, kind in found if kind == "missing"]:
+        warnings.warn(f"columns of the contract that the extract lacks: {missing}", stacklevel=2)
     return df.drop(*drops).withColumnsRenamed({k: v for k, v in contract.items() if k in df.columns}).withColumn("standardized_at", F.lit(run_time))

@@ -63,6 +63,11 @@ GATES = {
         "pseudonyms": ["product", "sku"],
     },
 }
+VALIDATED = {
+    "history": ["customer_name", "product_description", "product_category", "row_hash", "pseudonymized_at"],
+    "open": ["customer_name", "product_description", "product_category", "row_hash", "pseudonymized_at"],
+    "inventory": ["product_description", "product_category", "full_sku_code", "row_hash", "pseudonymized_at"],
+}
 CUSTOMER_MAPPING = ["customer_hash_key", "source_customer_code", "ship_to_customer_code", "customer_name", "pseudo_customer_name"]
 PRODUCT_MAPPING = ["full_sku_code", "first_half_sku_code", "unique_sku_code", "product_description", "product_category", "pseudo_category", "pseudo_product_description", "pseudo_full_sku_code", "pseudo_first_half_sku_code", "pseudo_unique_sku_code"]
 CATEGORIES = [("STANDARD", "Frozen Potato"), ("SMALL", "Fresh Produce"), ("LARGE", "Dry Goods"), ("PROMO", "Dairy Goods"), ("ECONOMY", "Widgets"), ("MEDIUM", "Unit Cases")]

@@ -21,11 +21,16 @@ def _money(c: str) -> F.Column:
     return F.col(c).cast("decimal(18,2)").cast("string")
 
 
+# Lines of the history; all others are open orders, so that no line is left out. A brand and some customers are met in
+# open orders alone, which gives the backfills work.
+IN_HISTORY = "coalesce(o_orderstatus <> 'O' AND p_brand <> 'Brand#25' AND NOT (c_mktsegment = 'MACHINERY' AND c_acctbal < 1000), false)"
+
+
 def _lines(spark: SparkSession, sf_dir: str, where: str) -> DataFrame:
     """Order lines with their customer and part; the joins' strategy is left to Spark."""
-    orders = read(spark, sf_dir, "orders").where(where)
+    orders = read(spark, sf_dir, "orders")
     lines = read(spark, sf_dir, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(read(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(read(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-    return lines.withColumn("__sku", X.full_sku(_sku_number("p_partkey").cast("string")))
+    return lines.where(where).withColumn("__sku", X.full_sku(_sku_number("p_partkey").cast("string")))
 
 
 def _day(c: str) -> F.Column:
@@ -44,18 +49,21 @@ def _common() -> dict[str, F.Column]:
 
 def raw_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = {"ordrte": F.lit("R1"), "orpoq": _money("l_quantity"), "00015": F.col("__sku"), "orpoq2": F.lit("0.00"), "00022": F.lit("0.00"), "00025": F.col("p_type")}
-    return _lines(spark, sf_dir, "o_orderstatus = 'F' AND o_orderdate < '1996-07-01'").select(*(v.alias(k) for k, v in {**_common(), **own}.items()))
+    return _lines(spark, sf_dir, IN_HISTORY).select(*(v.alias(k) for k, v in {**_common(), **own}.items()))
 
 
 def raw_open(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = {"orpewt": F.lit("2.00"), "rtname": F.lit("North"), "rtnumb": F.lit("R2"), "orrqdt": _day("l_shipdate"), "orrvdt": _day("l_shipdate"), "00011": F.col("__sku"), "orpval": _money("l_extendedprice")}
-    return _lines(spark, sf_dir, "o_orderstatus = 'O' AND o_orderdate >= '2001-01-01'").select(*(v.alias(k) for k, v in {**_common(), **own}.items()))
+    return _lines(spark, sf_dir, f"NOT {IN_HISTORY}").select(*(v.alias(k) for k, v in {**_common(), **own}.items()))
 
 
 def raw_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sku = F.concat(_sku_number("p_partkey").cast("string"), F.when(F.col("p_partkey") % 10 == 0, F.lit(".0")).otherwise(F.lit("")))
-    cols = {"sku": sku, "description": F.concat_ws(" ", "p_name", "p_brand"), "pallet_no.": F.col("p_partkey").cast("string"), "lot_no.": F.lit("L1"), "slot": F.lit("S1"), "pallet_held": F.lit("N"), "prod'n_date": F.lit("20231201"), "bb_date": F.lit("20241201"), "res_qty": F.lit("0"), "qty": F.col("p_size").cast("string"), "wgt": _money("p_retailprice"), "warehouse_code": F.lit("305"), "snapshot_date": F.lit("20240101")}
-    return read(spark, sf_dir, "part").select(*(v.alias(k) for k, v in cols.items()))
+    """The stock of parts, and a sample of each supplier, which no order holds."""
+    parts = read(spark, sf_dir, "part").select(_sku_number("p_partkey").alias("number"), F.col("p_partkey").alias("key"), F.concat_ws(" ", "p_name", "p_brand").alias("text"), F.col("p_partkey").cast("string").alias("pallet"), F.col("p_size").cast("string").alias("size"), _money("p_retailprice").alias("price"))
+    samples = read(spark, sf_dir, "supplier").select((_sku_number("s_suppkey") + 20000000).alias("number"), F.col("s_suppkey").alias("key"), F.concat_ws(" ", "s_name", F.lit("sample")).alias("text"), F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("pallet"), F.lit("1").alias("size"), _money("s_acctbal").alias("price"))
+    sku = F.concat(F.col("number").cast("string"), F.when(F.col("key") % 10 == 0, F.lit(".0")).otherwise(F.lit("")))
+    cols = {"sku": sku, "description": F.col("text"), "pallet_no.": F.col("pallet"), "lot_no.": F.lit("L1"), "slot": F.lit("S1"), "pallet_held": F.lit("N"), "prod'n_date": F.lit("20231201"), "bb_date": F.lit("20241201"), "res_qty": F.lit("0"), "qty": F.col("size"), "wgt": F.col("price"), "warehouse_code": F.lit("305"), "snapshot_date": F.lit("20240101")}
+    return parts.unionByName(samples).select(*(v.alias(k) for k, v in cols.items()))
 
 
 def categories(spark: SparkSession) -> DataFrame:

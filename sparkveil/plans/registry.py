@@ -1,4 +1,7 @@
-"""Registered queries and their DuckDB SQL. Each reads the given tables whole."""
+"""Registered queries and their DuckDB SQL. Each reads the given tables whole; history and open orders share out all lines."""
+
+import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,6 +12,7 @@ from ..operators import privacy as P
 from ..operators import quality as Q
 from ..operators import schema as S
 from ..sources import ingest as G
+from ..sources import tables as T
 from . import contracts as C
 from . import fixtures as D
 from .fixtures import BATCH, RUN_TIME
@@ -26,12 +30,35 @@ def inventory(spark, d) -> DataFrame:
     return S.standardize(D.raw_inventory(spark, d), C.INVENTORY, RUN_TIME, extra=["warehouse_code", "snapshot_date"])
 
 
+_published: dict[tuple[str, str, str], tuple[DataFrame, str]] = {}
+
+
+def published(name: str) -> Callable:
+    """A mapping is made once in an application for given tables; later queries read the written version, as the stages
+    of a run would. A version that was deleted meanwhile is made again."""
+
+    def wrap(make: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+        def read(spark: SparkSession, d: str) -> DataFrame:
+            key = (spark.sparkContext.applicationId, d, name)
+            if key not in _published or not T.exists(spark, f"{_published[key][1]}/versions"):
+                root = f"{T.shared_folder(spark)}/mapping-{name}-{uuid.uuid4().hex}"
+                G.publish(make(spark, d), root, 0)
+                _published[key] = (G.current(spark, root), root)
+            return _published[key][0]
+
+        return read
+
+    return wrap
+
+
+@published("customers_first")
 def customers_first(spark, d) -> DataFrame:
     return I.map_customers(I.profile_customers(history(spark, d)))
 
 
 def _early(df: DataFrame) -> DataFrame:
-    return df.where("order_date < '19950101'")
+    """Lines of an earlier batch, after which the incremental queries take in the rest."""
+    return df.where("order_date < '19960101'")
 
 
 def customers_incremental(spark, d) -> DataFrame:
@@ -43,6 +70,7 @@ def products_first(spark, d) -> DataFrame:
     return I.map_products(I.profile_products(history(spark, d)), D.categories(spark))
 
 
+@published("skus_first")
 def skus_first(spark, d) -> DataFrame:
     return I.map_skus(products_first(spark, d))
 
@@ -53,14 +81,17 @@ def skus_incremental(spark, d) -> DataFrame:
     return I.map_skus(I.map_products(I.profile_products(facts), D.categories(spark), before))
 
 
+@published("products_open")
 def products_open(spark, d) -> DataFrame:
     return I.backfill_products(open_orders(spark, d), skus_first(spark, d))
 
 
+@published("products_all")
 def products_all(spark, d) -> DataFrame:
     return I.backfill_products(I.inventory_products(inventory(spark, d)), products_open(spark, d))
 
 
+@published("customers_all")
 def customers_all(spark, d) -> DataFrame:
     return I.backfill_customers(open_orders(spark, d), customers_first(spark, d))
 
@@ -196,14 +227,132 @@ def report(dataset, df, checks=False) -> DataFrame:
 
 
 def land_authorized(spark, d) -> DataFrame:
-    out = history_out(spark, d).withColumn("batch_id", F.concat(F.substring("order_date", 1, 4), F.lit("0101_000000")))
+    out = _by_year(history_out(spark, d))
     digit = F.substring("batch", 4, 1).cast("int") % 3
     status = F.when(digit == 0, "failed").when(digit == 1, "passed").otherwise("passed_with_warnings")
     reports = out.select(F.col("batch_id").alias("batch")).distinct().select("batch", status.alias("overall_status"))
     return Q.authorized(out, reports).groupBy("batch_id").agg(F.count("*").alias("rows"), F.count_distinct("row_hash").alias("hashes"))
 
 
+def _holes(spark, d) -> DataFrame:
+    """History with nulls put in by rule."""
+    n = F.col("order_number").cast("bigint")
+    holes = {"customer_name": 29, "ship_to_customer_code": 31, "product_description": 37, "product_category": 41}
+    return history(spark, d).withColumns({c: F.when(n % m == 0, F.lit(None)).otherwise(F.col(c)) for c, m in holes.items()})
+
+
+def unmapped_categories(spark, d) -> DataFrame:
+    """Categories of products that a lookup without PROMO lacks; nulls among them."""
+    filled = _holes(spark, d).select("full_sku_code", "product_category").distinct()
+    return I.unmapped_categories(filled, D.categories(spark).where("product_category <> 'PROMO'"))
+
+
+def sequence_state(spark, d) -> DataFrame:
+    """Customer codes of which every seventh has lost its number."""
+    c = customers_first(spark, d)
+    cut = F.regexp_replace("pseudo_customer_name", r"\d+$", "X")
+    return I.sequence_state(c.withColumn("pseudo_customer_name", F.when(X.trailing_number(F.col("pseudo_customer_name")) % 7 == 0, cut).otherwise(F.col("pseudo_customer_name"))), "pseudo_customer_name")
+
+
+def numbering_keeps_nulls(spark, d) -> DataFrame:
+    """Lines of the history numbered within their category; lines without one are numbered among themselves."""
+    lines = _holes(spark, d).groupBy("product_category", "order_number", "full_sku_code").agg(F.count("*").alias("lines"))
+    return I.numbered(lines, ["order_number", "full_sku_code"], ["product_category"])
+
+
+def text_nulls(spark, d) -> DataFrame:
+    """Brand columns of an imported table with nulls written as text."""
+    n = F.col("p_partkey")
+    text = F.when(n % 3 == 0, F.lit(" NaN ")).when(n % 3 == 1, F.lit("  ")).otherwise(F.col("p_brand"))
+    return D.read(spark, d, "part").select("p_partkey", X.real_null(text).alias("brand"))
+
+
+def times(spark, d) -> DataFrame:
+    """Batch ids and times of orders as text, and batch ids read back from file names."""
+    stamp = X.batch_stamp(F.col("o_orderdate"))
+    named = F.when(F.col("o_orderkey") % 3 == 0, F.lit("history.csv")).otherwise(F.concat(F.lit("history_"), stamp, F.lit(".csv")))
+    return D.read(spark, d, "orders").select("o_orderkey", stamp.alias("stamp"), X.iso_text(F.col("o_orderdate")).alias("iso"), X.batch_of(named).alias("batch"))
+
+
+def _dropped(spark, d, name: str, df: DataFrame) -> tuple[str, str]:
+    """A drop folder with df as CSV files in a folder of that name, and the root of a store. Both are new."""
+    folder = f"{T.shared_folder(spark)}/drop-{uuid.uuid4().hex}"
+    df.write.option("header", True).csv(f"{folder}/{name}")
+    return folder, f"{folder}-store"
+
+
+def ingested_history(spark, d) -> DataFrame:
+    """The history dropped as CSV files, found, ingested and read as the latest committed batch."""
+    folder, root = _dropped(spark, d, "orH_1", D.raw_history(spark, d).drop("batch_id", "ingested_at"))
+    G.ingest(spark, "history", G.find_extract(spark, folder, "orH"), root, BATCH, RUN_TIME)
+    return S.standardize(G.latest_batch(G.committed(spark, "history", root)), C.HISTORY, RUN_TIME)
+
+
+def ingested_inventory(spark, d) -> DataFrame:
+    """Two stock extracts, of which the second is ingested twice, by force; rows by snapshot."""
+    stock = D.raw_inventory(spark, d).drop("warehouse_code", "snapshot_date")
+    folder, root = _dropped(spark, d, "inventory_20240101", stock)
+    stock.where("qty <> '1'").write.option("header", True).csv(f"{folder}/inventory_20240108")
+    for name, force in (("inventory_20240101", False), ("inventory_20240108", False), ("inventory_20240108", True)):
+        out = G.ingest_inventory(spark, f"{folder}/{name}", root, RUN_TIME, force)
+    return out.groupBy("warehouse_code", "snapshot_date").agg(F.count("*").alias("rows"), F.count_distinct("sku").alias("skus"))
+
+
+def manifest_records(spark, d) -> DataFrame:
+    """Rows and columns of each dataset as its manifest has them."""
+    folder, root = _dropped(spark, d, "open_1", D.raw_open(spark, d).drop("batch_id", "ingested_at"))
+    D.raw_history(spark, d).drop("batch_id", "ingested_at").write.option("header", True).csv(f"{folder}/orH_1")
+    for dataset, name in (("open", "open_1"), ("history", "orH_1")):
+        G.ingest(spark, dataset, f"{folder}/{name}", root, BATCH, RUN_TIME)
+    return G.read_manifest(spark, root).groupBy("dataset", "batch_id", "column_count").agg(F.sum("rows").alias("rows"))
+
+
+def _by_year(out: DataFrame) -> DataFrame:
+    return out.withColumn("batch_id", F.concat(F.substring("order_date", 1, 4), F.lit("0101_000000")))
+
+
+def report_sink(spark, d) -> DataFrame:
+    """The dirty history's report, written and read again."""
+    return Q.write_report(report("history", _dirty(spark, d), checks=True), f"{T.shared_folder(spark)}/reports-{uuid.uuid4().hex}", "history")
+
+
+def landed(spark, d) -> DataFrame:
+    """Batches by year with reports, landed as files; rows by batch as they arrived."""
+    out = _by_year(history_out(spark, d))
+    reports = out.select(F.col("batch_id").alias("batch")).distinct().select("batch", F.lit("passed").alias("overall_status"))
+    target = f"{T.shared_folder(spark)}/land-{uuid.uuid4().hex}"
+    G.land(out, reports, target, "history")
+    arrived = spark.read.schema(out.schema).parquet(f"{target}/landing/history")
+    return arrived.groupBy("batch_id").agg(F.count("*").alias("rows"), F.count_distinct("row_hash").alias("hashes"))
+
+
+def whole_history(spark, d) -> DataFrame:
+    """Pseudonymised history, written with its rows counted on the way; hashes that occur once and more often."""
+    products, customers = skus_first(spark, d), customers_first(spark, d)
+    out = P.written_whole(history(spark, d), lambda facts: P.pseudonymize_orders(facts, products, customers, RUN_TIME, counted=True), f"{T.shared_folder(spark)}/whole-{uuid.uuid4().hex}")
+    return out.groupBy("row_hash").agg(F.count("*").alias("n")).groupBy("n").agg(F.count("*").alias("hashes"))
+
+
 QUERIES = {
+    "null_identities": lambda s, d: I.null_counts(_holes(s, d), I.IDENTITY),
+    "critical_product_nulls": lambda s, d: I.null_counts(_holes(s, d), I.PRODUCT),
+    "unmapped_categories": unmapped_categories,
+    "sequence_state": sequence_state,
+    "unknown_category_state": lambda s, d: I.unknown_state(products_open(s, d)),
+    "numbering_keeps_nulls": numbering_keeps_nulls,
+    "first_unmapped_skus": lambda s, d: P.first_unmapped(P.with_products(open_orders(s, d), skus_first(s, d)), "full_sku_code", "pseudo_full_sku_code"),
+    "text_nulls": text_nulls,
+    "time_and_batch_ids": times,
+    "ingested_history": ingested_history,
+    "ingested_inventory": ingested_inventory,
+    "manifest_records": manifest_records,
+    "validated_dirty": lambda s, d: Q.validated_counts("history", _dirty(s, d)),
+    "validated_history": lambda s, d: Q.validated_counts("history", history_out(s, d)),
+    "validated_open": lambda s, d: Q.validated_counts("open", open_out(s, d)),
+    "validated_inventory": lambda s, d: Q.validated_counts("inventory", inventory_out(s, d)),
+    "report_sink": report_sink,
+    "landed": landed,
+    "whole_history": whole_history,
     "standardize_history": history,
     "standardize_open": open_orders,
     "standardize_inventory": inventory,
@@ -305,8 +454,8 @@ def _backfill(name: str, found: str, old: str) -> str:
    'SKU-UC2-' || lpad((i + s)::VARCHAR, 6, '0'), NULL, NULL FROM {name}n, {name}m)""" + _tiers(name, f"{name}f")
 
 
-_CTE = f"""WITH raw_h AS (SELECT {_COMMON} {_JOIN} WHERE o_orderstatus = 'F' AND o_orderdate < '1996-07-01'),
- raw_o AS (SELECT {_COMMON} {_JOIN} WHERE o_orderstatus = 'O' AND o_orderdate >= '2001-01-01'),
+_CTE = f"""WITH raw_h AS (SELECT {_COMMON} {_JOIN} WHERE {D.IN_HISTORY}),
+ raw_o AS (SELECT {_COMMON} {_JOIN} WHERE NOT {D.IN_HISTORY}),
  h AS MATERIALIZED (SELECT orcomp AS company_code, orsocs AS source_customer_code, orshcs AS ship_to_customer_code, orshnm AS customer_name, orpo AS purchase_order_number, ornum AS order_number, ortype AS order_type,
    orodt8 AS order_date, orsdt8 AS scheduled_ship_date, orsdt8 AS shipped_date, oruser AS created_by_user, 'R1' AS delivery_route, orstat AS order_status, q AS ordered_quantity, sku AS full_sku_code, sku[1:6] AS first_half_sku_code,
    sku[8:] AS unique_sku_code, ordes1 AS product_description, '0.00' AS secondary_order_quantity, q AS final_order_quantity, q AS shipped_order_quantity, '0.00' AS quantity_short, '1.00' AS shipped_order_weight, amt AS order_amount,
@@ -315,20 +464,21 @@ _CTE = f"""WITH raw_h AS (SELECT {_COMMON} {_JOIN} WHERE o_orderstatus = 'F' AND
    orstat AS order_status, sku[1:6] AS first_half_sku_code, sku[8:] AS unique_sku_code, ordes1 AS product_description, q AS final_order_quantity, q AS shipped_order_quantity, ortype AS order_type, '2.00' AS estimated_order_weight,
    'North' AS delivery_route_name, 'R2' AS delivery_route, orsdt8 AS customer_requested_date, orsdt8 AS revised_delivery_date, '1.00' AS shipped_order_weight, sku AS full_sku_code, amt AS order_amount, '{BATCH}' AS batch_id,
    '{RUN_TIME}' AS ingested_at_datetime, '{RUN_TIME}' AS standardized_at FROM raw_o),
- iv AS (SELECT num::VARCHAR || CASE WHEN p_partkey % 10 = 0 THEN '.0' ELSE '' END AS raw_sku, p_name || ' ' || p_brand AS product_description, p_partkey::VARCHAR AS pallet_number, 'L1' AS lot_number, 'S1' AS slot_location, 'N' AS pallet_held_flag,
-   '20231201' AS production_date, '20241201' AS best_before_date, '0' AS reserved_quantity, p_size::VARCHAR AS quantity_on_hand, p_retailprice::DECIMAL(18,2)::VARCHAR AS weight, '305' AS warehouse_code, '20240101' AS snapshot_date,
+ iv AS (SELECT num::VARCHAR || CASE WHEN key % 10 = 0 THEN '.0' ELSE '' END AS raw_sku, text AS product_description, pallet AS pallet_number, 'L1' AS lot_number, 'S1' AS slot_location, 'N' AS pallet_held_flag,
+   '20231201' AS production_date, '20241201' AS best_before_date, '0' AS reserved_quantity, size AS quantity_on_hand, price::DECIMAL(18,2)::VARCHAR AS weight, '305' AS warehouse_code, '20240101' AS snapshot_date,
    '{RUN_TIME}' AS standardized_at, lpad(num::VARCHAR, 11, '0')[1:6] AS first_half_sku_code, lpad(num::VARCHAR, 11, '0')[7:] AS unique_sku_code, lpad(num::VARCHAR, 11, '0')[1:6] || '-' || lpad(num::VARCHAR, 11, '0')[7:] AS full_sku_code
-   FROM (SELECT *, (p_partkey % 97 + 1) * 100000 + p_partkey // 97 + 1 AS num FROM part)),
+   FROM (SELECT (p_partkey % 97 + 1) * 100000 + p_partkey // 97 + 1 AS num, p_partkey AS key, p_name || ' ' || p_brand AS text, p_partkey::VARCHAR AS pallet, p_size::VARCHAR AS size, p_retailprice AS price FROM part
+   UNION ALL SELECT (s_suppkey % 97 + 201) * 100000 + s_suppkey // 97 + 1, s_suppkey, s_name || ' sample', 'S' || s_suppkey, '1', s_acctbal FROM supplier)),
  categories AS (SELECT * FROM (VALUES {", ".join(f"('{a}', '{b}')" for a, b in C.CATEGORIES)}) t(product_category, pseudo_category)),
  cb AS (SELECT DISTINCT {_KEY.format("")} AS customer_hash_key, * FROM (SELECT source_customer_code, ship_to_customer_code, upper(customer_name) AS customer_name FROM h)),
- cbe AS (SELECT DISTINCT {_KEY.format("")} AS customer_hash_key, * FROM (SELECT source_customer_code, ship_to_customer_code, upper(customer_name) AS customer_name FROM h WHERE order_date < '19950101')),
+ cbe AS (SELECT DISTINCT {_KEY.format("")} AS customer_hash_key, * FROM (SELECT source_customer_code, ship_to_customer_code, upper(customer_name) AS customer_name FROM h WHERE order_date < '19960101')),
  cbo AS (SELECT DISTINCT {_KEY.format("")} AS customer_hash_key, * FROM (SELECT source_customer_code, ship_to_customer_code, upper(customer_name) AS customer_name FROM o)),
  cm AS (SELECT *, 'Customer CUST-' || lpad((row_number() OVER (ORDER BY customer_hash_key))::VARCHAR, 6, '0') AS pseudo_customer_name FROM cb),
  cme AS (SELECT *, 'Customer CUST-' || lpad((row_number() OVER (ORDER BY customer_hash_key))::VARCHAR, 6, '0') AS pseudo_customer_name FROM cbe),
  cmi AS (SELECT * FROM cme UNION ALL SELECT *, 'Customer CUST-' || lpad(((SELECT count(*) FROM cme) + row_number() OVER (ORDER BY customer_hash_key))::VARCHAR, 6, '0') FROM cb WHERE customer_hash_key NOT IN (SELECT customer_hash_key FROM cme)),
  cma AS (SELECT * FROM cm UNION ALL SELECT *, 'Customer CUST-' || lpad(((SELECT count(*) FROM cm) + row_number() OVER (ORDER BY customer_hash_key))::VARCHAR, 6, '0') FROM cbo WHERE customer_hash_key NOT IN (SELECT customer_hash_key FROM cm)),
  pb AS (SELECT DISTINCT full_sku_code, first_half_sku_code, unique_sku_code, product_description, product_category FROM h),
- pbe AS (SELECT DISTINCT full_sku_code, first_half_sku_code, unique_sku_code, product_description, product_category FROM h WHERE order_date < '19950101'),
+ pbe AS (SELECT DISTINCT full_sku_code, first_half_sku_code, unique_sku_code, product_description, product_category FROM h WHERE order_date < '19960101'),
  prefixes AS (SELECT pseudo_category, b || CASE WHEN i > 1 THEN i::VARCHAR ELSE '' END AS sku_prefix FROM (SELECT pseudo_category, b, row_number() OVER (PARTITION BY b ORDER BY pseudo_category) AS i
    FROM (SELECT DISTINCT pseudo_category, {_INIT.format("pseudo_category")} AS b FROM pb JOIN categories USING (product_category))))
  {_products("pm", "pb", None)} {_products("pe", "pbe", None)} {_products("pi", "pb", "pe")} {_backfill("po", "o", "pm")} {_backfill("pa", "iv", "po")},
@@ -344,6 +494,8 @@ _CTE = f"""WITH raw_h AS (SELECT {_COMMON} {_JOIN} WHERE o_orderstatus = 'F' AND
    CASE WHEN order_number::BIGINT % 17 = 0 THEN '-' || order_amount WHEN order_number::BIGINT % 19 = 0 THEN 'n/a' ELSE order_amount END AS order_amount) FROM ho),
  dirty AS (SELECT * FROM dirty0 UNION ALL SELECT * FROM dirty0 WHERE order_number::BIGINT % 23 = 0),
  c2 AS (SELECT * REPLACE (CASE WHEN n % 10 = 0 THEN NULL WHEN n % 10 = 1 THEN 'Customer CUST-000002' ELSE pseudo_customer_name END AS pseudo_customer_name) FROM (SELECT *, right(pseudo_customer_name, 6)::BIGINT AS n FROM cm)),
+ holes AS (SELECT * REPLACE (CASE WHEN order_number::BIGINT % 29 = 0 THEN NULL ELSE customer_name END AS customer_name, CASE WHEN order_number::BIGINT % 31 = 0 THEN NULL ELSE ship_to_customer_code END AS ship_to_customer_code,
+   CASE WHEN order_number::BIGINT % 37 = 0 THEN NULL ELSE product_description END AS product_description, CASE WHEN order_number::BIGINT % 41 = 0 THEN NULL ELSE product_category END AS product_category) FROM h),
  p2 AS (SELECT * FROM pm UNION ALL SELECT * REPLACE ('SKU-GRP-99999' AS pseudo_first_half_sku_code) FROM pm WHERE full_sku_code < '000003')
  """
 _MAP = ", ".join(C.PRODUCT_MAPPING)
@@ -355,6 +507,9 @@ def _violations(customers: str, products: str) -> str:
     for t, k, p in [(customers, "customer_hash_key", "pseudo_customer_name"), *((products, f"{x}_sku_code", f"pseudo_{x}_sku_code") for x in ("full", "first_half", "unique"))]:
         parts += [f"SELECT 'split {k}' AS rule, {k} AS value, count(DISTINCT {p}) AS n FROM {t} GROUP BY {k} HAVING count(DISTINCT {p}) > 1", f"SELECT 'collision {p}', {p}, count(DISTINCT {k}) FROM {t} GROUP BY {p} HAVING count(DISTINCT {k}) > 1"]
         parts += [f"SELECT 'null {c}', NULL, count(*) FROM {t} WHERE {c} IS NULL HAVING count(*) > 0" for c in (k, p)]
+    parts += [f"SELECT 'null pseudo_category', NULL, count(*) FROM {products} WHERE pseudo_category IS NULL HAVING count(*) > 0"]
+    for t, c, test in ((customers, "pseudo_customer_name", "starts_with(pseudo_customer_name, 'Customer CUST-')"), (products, "pseudo_product_description", "contains(pseudo_product_description, ' Product ')")):
+        parts.append(f"SELECT 'format {c}', NULL, count(*) FROM {t} WHERE NOT coalesce({test}, false) HAVING count(*) > 0")
     parts += [f"SELECT 'repeated {k}', {k}, count(*) FROM {t} GROUP BY {k} HAVING count(*) > 1" for t, k in ((customers, "customer_hash_key"), (products, "full_sku_code"))]
     return " UNION ALL ".join(parts)
 
@@ -373,7 +528,34 @@ def _report(t: str, gate: dict) -> str:
  coalesce(string_agg("check", ',' ORDER BY "check") FILTER (status = 'failed'), '') AS failed_checks, coalesce(string_agg("check", ',' ORDER BY "check") FILTER (status = 'warning'), '') AS warning_checks FROM ({_checks(t, gate)}) GROUP BY batch"""
 
 
+def _validated(t: str, kinds: dict[str, str]) -> str:
+    bad = "".join(f", count(*) FILTER (NOT coalesce({test}, false)) AS bad_{k}_rows" for k, test in kinds.items())
+    return f"SELECT count(*) AS rows{bad}, count(*) FILTER (row_hash IS NULL) AS missing_hashes, count(*) - count(DISTINCT row_hash) AS duplicates FROM {t}"
+
+
+_IS = {"customer": "starts_with(customer_name, 'Customer CUST-')", "product": "contains(product_description, ' Product ')", "sku": "starts_with(full_sku_code, 'SKU-')"}
+_ORDER_KINDS, _STOCK_KINDS = {k: _IS[k] for k in ("customer", "product")}, {k: _IS[k] for k in ("product", "sku")}
+
 _SELECT = {
+    "null_identities": "SELECT " + ", ".join(f"count(*) FILTER ({c} IS NULL) AS {c}" for c in ("source_customer_code", "ship_to_customer_code", "customer_name")) + " FROM holes",
+    "critical_product_nulls": "SELECT " + ", ".join(f"count(*) FILTER ({c} IS NULL) AS {c}" for c in ("full_sku_code", "first_half_sku_code", "unique_sku_code", "product_description", "product_category")) + " FROM holes",
+    "unmapped_categories": "SELECT product_category, count(*) AS products FROM (SELECT DISTINCT full_sku_code, product_category FROM holes) WHERE product_category IS NULL OR product_category = 'PROMO' GROUP BY 1",
+    "sequence_state": "SELECT count(*) AS rows, count(*) FILTER (n % 7 = 0) AS malformed, max(n) FILTER (n % 7 <> 0) AS last FROM (SELECT right(pseudo_customer_name, 6)::BIGINT AS n FROM cm)",
+    "unknown_category_state": "SELECT count(*) AS rows, count(DISTINCT pseudo_full_sku_code[5:7]) AS prefixes, coalesce(max(regexp_extract(pseudo_product_description, '(\\d+)$', 1)::BIGINT), 0) AS last FROM po WHERE pseudo_category = 'Unknown Category'",
+    "numbering_keeps_nulls": "SELECT *, row_number() OVER (PARTITION BY product_category ORDER BY order_number, full_sku_code) AS seq FROM (SELECT product_category, order_number, full_sku_code, count(*) AS lines FROM holes GROUP BY 1, 2, 3)",
+    "first_unmapped_skus": "SELECT DISTINCT full_sku_code FROM o WHERE full_sku_code NOT IN (SELECT full_sku_code FROM pm) ORDER BY 1 LIMIT 20",
+    "text_nulls": "SELECT p_partkey, CASE WHEN p_partkey % 3 = 2 THEN p_brand END AS brand FROM part",
+    "time_and_batch_ids": "SELECT o_orderkey, strftime(o_orderdate, '%Y%m%d_%H%M%S_%f') AS stamp, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS iso, CASE WHEN o_orderkey % 3 <> 0 THEN strftime(o_orderdate, '%Y%m%d_%H%M%S') END AS batch FROM orders",
+    "ingested_history": "SELECT * FROM h",
+    "ingested_inventory": "SELECT '305' AS warehouse_code, day AS snapshot_date, count(*) AS rows, count(DISTINCT raw_sku) AS skus FROM iv, (VALUES ('20240101'), ('20240108')) t(day) WHERE day = '20240101' OR quantity_on_hand <> '1' GROUP BY 2",
+    "manifest_records": f"SELECT 'history' AS dataset, '{BATCH}' AS batch_id, 27 AS column_count, count(*) AS rows FROM h UNION ALL SELECT 'open', '{BATCH}', 28, count(*) FROM o",
+    "validated_dirty": _validated("dirty", _ORDER_KINDS),
+    "validated_history": _validated("ho", _ORDER_KINDS),
+    "validated_open": _validated("oo", _ORDER_KINDS),
+    "validated_inventory": _validated("io", _STOCK_KINDS),
+    "report_sink": _report("dirty", C.GATES["history"]),
+    "landed": "SELECT order_date[1:4] || '0101_000000' AS batch_id, count(*) AS rows, count(DISTINCT row_hash) AS hashes FROM ho GROUP BY 1",
+    "whole_history": "SELECT n, count(*) AS hashes FROM (SELECT count(*) AS n FROM ho GROUP BY row_hash) GROUP BY n",
     "standardize_history": "SELECT * FROM h",
     "standardize_open": "SELECT * FROM o",
     "standardize_inventory": "SELECT * EXCLUDE (first_half_sku_code, unique_sku_code, full_sku_code) FROM iv",
@@ -381,7 +563,7 @@ _SELECT = {
     "dataset_summary": f"SELECT (SELECT count(*) FROM h) AS rows, {len(_HIST)}::BIGINT AS columns, name, filled FROM (" + " UNION ALL ".join(f"SELECT '{c}' AS name, count({c}) AS filled FROM h" for c in _HIST) + ")",
     "latest_batch": "SELECT max(order_date[1:4]) || '0101_000000' AS batch_id, count(*) AS rows FROM h WHERE order_date[1:4] = (SELECT max(order_date[1:4]) FROM h)",
     "batch_metadata": "SELECT order_date[1:4] || '0101_000000' AS batch_id, count(*) AS rows, md5(min(order_number) || '|' || max(order_number)) AS digest FROM h GROUP BY 1",
-    "scalar_functions": f"SELECT pallet_number AS pallet, full_sku_code AS sku, first_half_sku_code AS first_half, unique_sku_code AS second_half, {_INIT.format('product_description')} AS initials, upper(product_description) AS cleaned, regexp_extract(product_description, '(\\d+)$', 1)::BIGINT AS brand_number, NULL::BIGINT AS no_number, lpad(quantity_on_hand, 5, '0') AS padded, md5(raw_sku || '|' || upper(product_description)) AS key, best_before_date AS date, NULL::VARCHAR AS no_date FROM iv",
+    "scalar_functions": f"SELECT pallet_number AS pallet, full_sku_code AS sku, first_half_sku_code AS first_half, unique_sku_code AS second_half, {_INIT.format('product_description')} AS initials, upper(product_description) AS cleaned, TRY_CAST(regexp_extract(product_description, '(\\d+)$', 1) AS BIGINT) AS brand_number, NULL::BIGINT AS no_number, lpad(quantity_on_hand, 5, '0') AS padded, md5(raw_sku || '|' || upper(product_description)) AS key, best_before_date AS date, NULL::VARCHAR AS no_date FROM iv",
     "snapshot_dates": "SELECT CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE strftime(o_orderdate, '%Y%m%d') END AS snapshot, count(*) AS files FROM orders GROUP BY 1",
     "newest_file": "SELECT max_by('extract_' || o_orderkey, struct_pack(a := o_orderdate, b := 'extract_' || o_orderkey)) AS file_name FROM orders WHERE o_orderkey % 5 <> 0",
     "new_files": "SELECT o_orderkey AS id, md5(o_custkey::VARCHAR) AS source_file_hash FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)",

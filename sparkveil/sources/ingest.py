@@ -1,24 +1,32 @@
 """Extracts in, batches committed by manifest, mappings versioned, authorised landing."""
 
+import csv
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.quality import authorized
-from ..operators.schema import ContractError, normalize_names, require_rows
+from ..operators.quality import authorized, unauthorized
+from ..operators.schema import ContractError, normalize_names, require_distinct, require_rows
+from .tables import exists
 
-MANIFEST = "dataset string, batch_id string, source_file_hash string, rows bigint, column_names array<string>"
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+MANIFEST = "dataset string, batch_id string, source_file string, source_file_hash string, rows bigint, column_count int, column_names array<string>, ingested_at string, duration_seconds double"
+WAREHOUSE = "305"  # the extract holds this warehouse alone
 
 
 def read_manifest(spark: SparkSession, root: str) -> DataFrame:
     path = f"{root}/manifest"
-    return spark.read.schema(MANIFEST).parquet(path) if _exists(spark, path) else spark.createDataFrame([], MANIFEST)
+    return spark.read.schema(MANIFEST).parquet(path) if exists(spark, path) else spark.createDataFrame([], MANIFEST)
+
+
+def extracts(spark: SparkSession, folder: str, prefix: str = "") -> DataFrame:
+    """file_name, path, modified of the files and folders of part files in a drop folder whose names start with prefix."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(folder)
+    found = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(target)
+    rows = [(s.getPath().getName(), s.getPath().toString(), s.getModificationTime()) for s in found]
+    return spark.createDataFrame(rows, "file_name string, path string, modified bigint").where(F.col("file_name").startswith(prefix) | F.col("file_name").startswith(f"~${prefix}"))
 
 
 def newest_file(files: DataFrame) -> DataFrame:
@@ -26,13 +34,20 @@ def newest_file(files: DataFrame) -> DataFrame:
     return files.where(~F.col("file_name").startswith("~$")).agg(F.max_by("file_name", F.struct("modified", "file_name")).alias("file_name"))
 
 
+def find_extract(spark: SparkSession, folder: str, prefix: str = "") -> str:
+    name = newest_file(extracts(spark, folder, prefix)).first().file_name
+    if name is None:
+        raise ContractError(f"no extract {prefix}* in {folder}")
+    return f"{folder.rstrip('/')}/{name}"
+
+
 def snapshot_date(file_name: F.Column) -> F.Column:
     day = F.regexp_extract(file_name, r"(\d{8})", 1)
     return F.when(F.try_to_timestamp(day, F.lit("yyyyMMdd")).isNotNull(), day)
 
 
 def file_hashes(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.format("binaryFile").load(path).select("path", F.md5("content").alias("source_file_hash"))
+    return spark.read.format("binaryFile").load(path).where("length > 0").select("path", F.md5("content").alias("source_file_hash"))
 
 
 def new_files(hashes: DataFrame, manifest: DataFrame, dataset: str) -> DataFrame:
@@ -40,26 +55,75 @@ def new_files(hashes: DataFrame, manifest: DataFrame, dataset: str) -> DataFrame
     return hashes.join(manifest.where(F.col("dataset") == dataset).select("source_file_hash"), "source_file_hash", "left_anti")
 
 
+def read_extract(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """CSV files with a header or Parquet files, all columns as text. A name that a CSV header holds twice is refused:
+    the reader would number such columns."""
+    if all(p.endswith(".parquet") for p in paths):
+        rows = spark.read.parquet(*paths)
+        return rows.select(*(F.col(f"`{c}`").cast("string").alias(c) for c in rows.columns))
+    head = F.substring_index(F.decode(F.substring("content", 1, 65536), "UTF-8"), "\n", 1)
+    for h in spark.read.format("binaryFile").load(paths).select(head.alias("head")).distinct().collect():  # as a rule one
+        require_distinct([c.strip().lower() for c in next(csv.reader([h.head]))])
+    return spark.read.option("header", True).csv(paths)
+
+
+def append_manifest(record: DataFrame, root: str) -> None:
+    record.coalesce(1).write.mode("append").parquet(f"{root}/manifest")
+
+
+def _commit(rows: DataFrame, hashes: DataFrame, dataset: str, batch_id: str, root: str, run_time: str, began: float) -> None:
+    """The manifest rows of a batch, one a file, with the file's own count."""
+    counts = rows.select(F.col("_metadata.file_path").alias("file")).groupBy("file").agg(F.count("*").alias("rows"))
+    same = F.regexp_replace(hashes["path"], "^file:/+", "/") == F.regexp_replace(counts["file"], "^file:/+", "/")
+    fixed = hashes.join(counts, same, "left")
+    record = fixed.select(F.lit(dataset).alias("dataset"), F.lit(batch_id).alias("batch_id"), F.col("path").alias("source_file"), "source_file_hash", F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows"), F.lit(len(rows.columns) + 2).alias("column_count"), F.array(*map(F.lit, rows.columns)).alias("column_names"), F.lit(run_time).alias("ingested_at"), F.lit(round(time.time() - began, 3)).alias("duration_seconds"))
+    append_manifest(record, root)
+
+
 def ingest(spark: SparkSession, dataset: str, path: str, root: str, batch_id: str, run_time: str, force: bool = False) -> DataFrame:
-    """A CSV extract as a batch: its rows first, its manifest row last. A batch without manifest row is not seen, so that
-    a failed run can be repeated. Content taken in before is refused unless force is set."""
-    hashes, manifest = file_hashes(spark, path), read_manifest(spark, root)
-    if not force and new_files(hashes, manifest, dataset).isEmpty():
+    """The files of an extract as a batch: rows first, manifest rows last. A batch without manifest rows is not seen, so
+    that a failed run can be repeated. Of several files those are taken whose content this dataset has not taken in yet;
+    if that is none, the extract is refused. force takes all."""
+    began = time.time()
+    hashes = file_hashes(spark, path)
+    if not force:
+        hashes = new_files(hashes, read_manifest(spark, root), dataset)
+    found = [(r.path, r.source_file_hash) for r in hashes.collect()]  # one row a file of the extract
+    if not found:
         raise ContractError(f"{path} has been ingested as {dataset}")
-    rows = normalize_names(spark.read.option("header", True).csv(path))
+    rows = read_extract(spark, [p for p, _ in found])
     require_rows(rows, path)
-    out = rows.withColumns({"batch_id": F.lit(batch_id), "ingested_at": F.lit(run_time)})
-    target = f"{root}/{dataset}/batch_id={batch_id}"
-    out.drop("batch_id").write.mode("overwrite").parquet(target)
-    n = spark.read.parquet(target).count()
-    record = hashes.select(F.lit(dataset).alias("dataset"), F.lit(batch_id).alias("batch_id"), "source_file_hash", F.lit(n).cast("bigint").alias("rows"), F.array(*map(F.lit, out.columns)).alias("column_names"))
-    record.write.mode("append").parquet(f"{root}/manifest")
+    out = normalize_names(rows).withColumn("ingested_at", F.lit(run_time))
+    out.write.mode("overwrite").parquet(f"{root}/{dataset}/batch_id={batch_id}")
+    _commit(rows, spark.createDataFrame(found, "path string, source_file_hash string"), dataset, batch_id, root, run_time, began)
     return committed(spark, dataset, root)
 
 
-def committed(spark: SparkSession, dataset: str, root: str) -> DataFrame:
-    found = spark.read.option("basePath", f"{root}/{dataset}").parquet(f"{root}/{dataset}").withColumn("batch_id", F.col("batch_id").cast("string"))
-    return found.join(read_manifest(spark, root).where(F.col("dataset") == dataset).select("batch_id"), "batch_id", "left_semi")
+def ingest_inventory(spark: SparkSession, path: str, root: str, run_time: str, force: bool = False) -> DataFrame:
+    """A stock extract as the snapshot of the date in its name. A snapshot that is there already is refused; force
+    replaces it, that one alone."""
+    began = time.time()
+    day = spark.range(1).select(snapshot_date(F.lit(path.rstrip("/").rsplit("/", 1)[-1])).alias("day")).first().day
+    if day is None:
+        raise ContractError(f"no date yyyyMMdd in the name of {path}")
+    before = read_manifest(spark, root).where((F.col("dataset") == "inventory") & (F.col("batch_id") == day))
+    if not force and not before.isEmpty():
+        raise ContractError(f"snapshot {day} has been ingested")
+    found = [(r.path, r.source_file_hash) for r in file_hashes(spark, path).collect()]
+    if not found:
+        raise ContractError(f"{path} has no files")
+    rows = read_extract(spark, [p for p, _ in found])
+    require_rows(rows, path)
+    out = normalize_names(rows, "stage").withColumns({"warehouse_code": F.lit(WAREHOUSE), "snapshot_date": F.lit(day)})
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("snapshot_date").parquet(f"{root}/inventory")
+    _commit(rows, spark.createDataFrame(found, "path string, source_file_hash string"), "inventory", day, root, run_time, began)
+    return committed(spark, "inventory", root, "snapshot_date")
+
+
+def committed(spark: SparkSession, dataset: str, root: str, key: str = "batch_id") -> DataFrame:
+    folder = f"{root}/{dataset}"
+    found = spark.read.option("basePath", folder).parquet(folder).withColumn(key, F.col(key).cast("string"))
+    return found.join(read_manifest(spark, root).where(F.col("dataset") == dataset).select(F.col("batch_id").alias(key)).distinct(), key, "left_semi")
 
 
 def latest_batch(df: DataFrame, key: str = "batch_id") -> DataFrame:
@@ -71,7 +135,7 @@ def publish(mapping: DataFrame, root: str, base_version: int) -> int:
     """mapping as version base_version + 1, in a folder of its own; a version published meanwhile is an error."""
     spark, version = mapping.sparkSession, base_version + 1
     versions = f"{root}/versions"
-    if _exists(spark, versions) and spark.read.parquet(versions).agg(F.max("version")).first()[0] != base_version:
+    if exists(spark, versions) and spark.read.parquet(versions).agg(F.max("version")).first()[0] != base_version:
         raise ContractError("the mapping has been published meanwhile")
     folder = f"{root}/v={version}-{uuid.uuid4().hex}"
     mapping.write.parquet(folder)
@@ -83,9 +147,18 @@ def current(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(spark.read.parquet(f"{root}/versions").agg(F.max_by("folder", "version")).first()[0])
 
 
+def write_profiles(customers: DataFrame, products: DataFrame, categories: DataFrame, root: str) -> None:
+    """The bases of the mappings and the products of each category."""
+    for name, df in (("customer_base", customers), ("product_base", products), ("category_profile", categories)):
+        df.write.mode("overwrite").parquet(f"{root}/{name}")
+
+
 def land(facts: DataFrame, reports: DataFrame, destination: str, dataset: str, key: str = "batch_id") -> None:
-    """Facts and their report under the destination, for batches that their own report authorises; else an error."""
-    allowed = authorized(facts, reports, key)
-    require_rows(allowed, f"{dataset}: no batch with an authorising report")
-    allowed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(f"{destination}/landing/{dataset}")
-    reports.withColumnRenamed("batch", key).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(f"{destination}/quality_reports/{dataset}")
+    """Facts and their reports under the destination, by batch. Refused as a whole if any batch lacks a report of its own
+    that authorises it; reports of other batches are not landed."""
+    require_rows(facts, dataset)
+    if bad := [r[0] for r in unauthorized(facts, reports, key).limit(20).collect()]:
+        raise ContractError(f"{dataset}: batches without an authorising report: {bad}")
+    own = reports.join(facts.select(F.col(key).alias("batch")).distinct(), "batch", "left_semi")
+    for name, rows in (("landing", authorized(facts, reports, key)), ("quality_reports", own.withColumnRenamed("batch", key))):
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(f"{destination}/{name}/{dataset}")

@@ -3,19 +3,49 @@
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 _own: list[str] = []
+_written: list[tuple[str, str]] = []  # (application, path) of the tables of this process
 
 
-def materialized(df: DataFrame) -> DataFrame:
-    """df as a table in spark.checkpoint.dir (a temporary folder only where that is unset), read again. Mapping tables are
-    used many times over; plans stay short and a lost executor loses nothing."""
-    folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir. Where that is unset a temporary one serves local mode, as in tests; executors
+    on other machines could not read it, so that a cluster without the setting is refused."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set: a cluster needs a folder that all its machines share")
         if not _own:
-            _own.append(tempfile.mkdtemp(prefix="spark-mapping-"))
+            _own.append(tempfile.mkdtemp(prefix="spark-tables-"))
         folder = f"file://{_own[0]}"
-    path = f"{folder.rstrip('/')}/table-{uuid.uuid4().hex}"
+    return folder.rstrip("/")
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def materialized(df: DataFrame) -> DataFrame:
+    """df as a table in the shared folder, read again. Mapping tables are used many times over; plans stay short and a
+    lost executor loses nothing."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    _written.append((spark.sparkContext.applicationId, path))
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> int:
+    """Deletes the tables that this application has materialized; to be called once its results are written."""
+    own = [x for x in _written if x[0] == spark.sparkContext.applicationId]
+    for entry in own:
+        delete(spark, entry[1])
+        _written.remove(entry)
+    return len(own)
