@@ -1,6 +1,5 @@
 """Shared folders, Arrow helpers and connected components."""
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -8,6 +7,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.tables import delete, shared_folder
+
 ARROW = {
     "bigint": pa.int64(),
     "int": pa.int32(),
@@ -21,23 +22,10 @@ ARROW = {
     "array<string>": pa.list_(pa.string()),
 }
 
-_own_folder: list[str] = []
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a temporary one only where that is unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not _own_folder:
-            _own_folder.append(tempfile.mkdtemp(prefix="spark-llm-"))
-        folder = f"file://{_own_folder[0]}"
-    return folder.rstrip("/")
-
-
 def saved(df: DataFrame) -> DataFrame:
     """df written as a table in the shared folder and read again: lineage ends there and lost executors lose nothing."""
     path = f"{shared_folder(df.sparkSession)}/llm-{uuid.uuid4().hex}"
@@ -48,17 +36,28 @@ def saved(df: DataFrame) -> DataFrame:
     return out
 
 
-def discard(df: DataFrame) -> None:
-    """Deletes a table of saved() that nothing will read again."""
-    jvm, path = df.sparkSession.sparkContext._jvm, df.saved_path
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables of saved() that nothing will read again."""
+    for df in tables:
+        delete(df.sparkSession, df.saved_path)
 
 
 def name(column: str) -> str:
     return "`" + column.replace("`", "``") + "`"
 
 
+class Carried:
+    """Columns that an operator hands through, under names of its own until the end, so that no column of the caller's
+    can clash with those that it makes. Results replace columns of the same name, whatever their case."""
+
+    def __init__(self, df: DataFrame, keep: list[str] | None, results: list[str]):
+        taken = {c.lower() for c in results}
+        self.names = [c for c in (df.columns if keep is None else keep) if c.lower() not in taken]
+        self.inner = [f"carried_{i}" for i in range(len(self.names))]
+        self.columns = [df[name(c)].alias(k) for c, k in zip(self.names, self.inner, strict=True)]
+        self.back = [F.col(k).alias(c) for c, k in zip(self.names, self.inner, strict=True)]
+
+
 def map_slices(df: DataFrame, outputs: dict[str, str], start: Callable[[], Callable], keep: list[str] | None = None, rows: int = 256) -> DataFrame:
     """keep columns of df, then outputs (name to type), made in Arrow batches of a few rows.
 

@@ -1,4 +1,9 @@
-"""Personal data in texts: patterns, and a skip-chain conditional random field over number and address mentions (operator 2)."""
+"""Personal data in texts: patterns, and a skip-chain conditional random field over their mentions (operator 2).
+
+A mention is a number, an address or an opaque run of letters and digits. It is a node of a linear chain; its potential sees
+its shape, its first digit, and the words before and behind it. Mentions that are equal or similar share a skip edge,
+however far apart. Potentials are counts over all documents, labelled by the patterns.
+"""
 
 import re
 from collections import Counter, defaultdict
@@ -6,10 +11,12 @@ from collections import Counter, defaultdict
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from xxhash import xxh32_intdigest
 
-from .common import flat_slices, map_slices, name, table
+from .common import Carried, flat_slices, map_slices, name, table
 
 KINDS = ("email", "ip", "card", "phone")
+LABELS = ("none", *KINDS, "secret")  # of the field
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 EMAIL_CHAR = re.compile(r"[A-Za-z0-9._%+@-]+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
@@ -17,8 +24,14 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
 NOT_DIGIT = re.compile(r"[^0-9]+")
-NUMBER = re.compile(r"[+(]?[0-9](?:[ ().\-]{0,3}[0-9])+")
-ROUNDS, BELIEF = 8, 0.9
+LETTER = re.compile(r"[A-Za-z]")
+QUAD = r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}"
+# Runs around an @; opaque runs; long numbers and numbers with dots, each by itself; other numbers with their separators.
+MENTION = re.compile(rf"""[^\s<>()\[\]{{}},;:"'@]*@[^\s<>()\[\]{{}},;:"']*|[A-Za-z0-9_+/-]*[A-Za-z_/][A-Za-z0-9_+/-]*+|[0-9]{{13,}}|(?<![0-9.]){QUAD}(?![0-9])|[+(]?[0-9](?:(?![ ().-]{{0,3}}(?:[0-9]{{13}}|{QUAD}(?![0-9])))[ ().-]{{0,3}}[0-9])*+""")
+WORD = re.compile(r"[^\W\d_]+")
+NAMED = re.compile(r"(?:token|secret|key|passw\w*|pwd|auth\w*|credential\w*)[\"']?\s{0,3}[:=]\s{0,3}[\"']?\Z", re.I)
+LEAST_NUMBER, LEAST_OPAQUE, BUCKETS = 7, 20, 1024  # characters of a number, of an opaque run; hashed words
+ROUNDS, BELIEF = 50, 0.9
 
 
 def luhn(digits: str) -> bool:
@@ -60,30 +73,38 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def mentions(text: str) -> list[tuple[int, int]]:
-    """Spans that may be personal data: runs of digits with separators, and words around an @."""
+    """Spans that may be personal data, in order and apart from each other."""
+    if not DIGIT.search(text) and "@" not in text:
+        return []
     found = []
-    if DIGIT.search(text):
-        found = [(m.start(), m.end()) for m in NUMBER.finditer(text) if m.end() - m.start() >= 7]
-    at = text.find("@")
-    while at >= 0:
-        first, last = at, at + 1
-        while first and not text[first - 1].isspace() and text[first - 1] not in "<>()[]{},;:\"'":
-            first -= 1
-        while last < len(text) and not text[last].isspace() and text[last] not in "<>()[]{},;:\"'":
-            last += 1
-        found.append((first, last))
-        at = text.find("@", last)
-    return sorted(found)
+    for m in MENTION.finditer(text):
+        size, own = m.end() - m.start(), m[0]
+        if "@" in own or (size >= LEAST_NUMBER if not LETTER.search(own) else size >= LEAST_OPAQUE and DIGIT.search(own)):
+            found.append((m.start(), m.end()))
+    return found
 
 
 def shape(text: str) -> str:
-    """What a node's potential sees of a mention: a bounded number of shapes."""
-    digits = NOT_DIGIT.sub("", text)
+    """What a potential sees of a mention's form, one of a bounded number. A leading plus is held back: it is what the
+    pattern for phones goes by, and a phone without it is for the field to find."""
     if "@" in text:
         return f"@{int(bool(re.search(r'@[A-Za-z0-9-]+[.][A-Za-z0-9-]', text)))}{int(text[0] == '@')}"
-    dots = text.count(".")
-    dotted = dots == 3 and NOT_DIGIT.sub(".", text) == text and text[0].isdigit()
-    return f"{min(len(digits), 20)}{'+' if text[0] == '+' else ''}{'i' if dotted and ip_ok(text) else 'd' if dotted else ''}{'c' if card_ok(digits) else ''}{int(dots > 0)}{int('-' in text)}{int(' ' in text)}"
+    digits = NOT_DIGIT.sub("", text)
+    if LETTER.search(text):
+        return f"x{min(len(text) // 8, 8)}{min(4 * len(digits) // len(text), 3)}{int(text == text.lower())}"
+    dotted = re.fullmatch(QUAD, text) is not None
+    return f"{min(len(digits), 20)}{'i' if dotted and ip_ok(text) else 'd' if dotted else ''}{'c' if card_ok(digits) else ''}{int('-' in text or ' ' in text)}"
+
+
+def observed(text: str, a: int, b: int) -> list[str]:
+    """The features of a mention: shape, first digit of a number, hashed words before and behind."""
+    own, before, behind = text[a:b], WORD.findall(text[max(0, a - 24) : a]), WORD.search(text, b, b + 24)
+    hashed = lambda w: xxh32_intdigest(w.lower()) % BUCKETS
+    lead = NOT_DIGIT.sub("", own)[:1] if not LETTER.search(own) and len(own) >= 13 and own.isdigit() else "-"
+    return [f"s{shape(own)}", f"d{lead}", f"b{hashed(before[-1]) if before else '-'}", f"f{hashed(behind[0]) if behind else '-'}"]
+
+
+WEIGHTS = (1.0, 1.0, 0.5, 0.5)  # of the features; neighbouring words are many and rare, and count half
 
 
 def core(text: str) -> str:
@@ -91,7 +112,7 @@ def core(text: str) -> str:
     if "@" in text:
         return text.lower().strip(".")
     digits = NOT_DIGIT.sub("", text)
-    return digits[-9:] if len(digits) >= 9 else text
+    return digits[-9:] if len(digits) >= 9 and not LETTER.search(text) else text
 
 
 def neighbours(text: str, spans: list[tuple[int, int]]) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
@@ -101,62 +122,86 @@ def neighbours(text: str, spans: list[tuple[int, int]]) -> tuple[list[tuple[int,
     skip = []
     for i, (a, b) in enumerate(spans):
         key = core(text[a:b])
-        if key in last and (last[key], i) not in chain:
+        if key in last:
             skip.append((last[key], i))
         last[key] = i
     return chain, skip
 
 
-def tagged(spans: list[tuple[int, int]], base: list[tuple[int, int, int]]) -> list[int]:
-    """Label of each mention: 0 for none, else 1 + the kind of the first base span that it overlaps. Both are sorted."""
-    labels, k = [], 0
-    longest = max((e - s for s, _, e in base), default=0)
+def tagged(text: str, spans: list[tuple[int, int]], base: list[tuple[int, int, int]]) -> list[int]:
+    """Label of each mention: 1 + the kind of the first base span that it overlaps, or that of a secret where it is an
+    opaque run that is named one, else 0. Spans that end before a mention are passed once; the rest are looked at in order
+    of their start, so that a long span hides none."""
+    labels, k, open_ = [], 0, []
     for a, b in spans:
-        while k < len(base) and base[k][0] + longest <= a:
+        while k < len(base) and base[k][0] < b:
+            open_.append(base[k])
             k += 1
-        labels.append(next((1 + kind for s, kind, e in base[k : k + 8] if s < b and e > a), 0))
+        open_ = [x for x in open_ if x[2] > a]
+        kind = next((1 + kind for s, kind, e in open_ if s < b and e > a), 0)
+        if not kind and LETTER.search(text, a, b) and "@" not in text[a:b] and NAMED.search(text[max(0, a - 24) : a]):
+            kind = len(LABELS) - 1
+        labels.append(kind)
     return labels
 
 
+def unobserved(text: str, spans: list[tuple[int, int]], labels: list[int]) -> list[bool]:
+    """Mentions without a label that are like one with a label: whether they are personal data is open, so that they are
+    no evidence of the label none."""
+    known = {core(text[a:b]) for (a, b), y in zip(spans, labels, strict=True) if y}
+    return [not y and core(text[a:b]) in known for (a, b), y in zip(spans, labels, strict=True)]
+
+
 def learn(docs: DataFrame) -> dict:
-    """Log-potentials from counts over all documents, tagged by the patterns: of labels by shape, of neighbours on the
-    chain, of mentions that a skip edge joins. Only counts of a bounded number of shapes are gathered."""
-    rows = docs.select("__text")
+    """Log-potentials from counts over all documents, as the patterns label them: of features by label, of neighbours on
+    the chain, of mentions that a skip edge joins. Only counts of a bounded number of features are gathered."""
+    rows = docs.select("text")
+    size = len(LABELS)
 
     def start():
         def make(texts):
             counts: Counter = Counter()
             for text in texts:
                 spans = mentions(text or "")
-                if spans:
-                    labels = tagged(spans, base_spans(text))
-                    counts.update(f"n {shape(text[a:b])} {y}" for (a, b), y in zip(spans, labels, strict=True))
-                    for kind, edges in zip("cs", neighbours(text, spans), strict=True):
-                        counts.update(f"{kind} {labels[i]} {labels[j]}" for i, j in edges)
+                if not spans:
+                    continue
+                labels = tagged(text, spans, base_spans(text))
+                away = unobserved(text, spans, labels)
+                for (a, b), y, out in zip(spans, labels, away, strict=True):
+                    if not out:
+                        counts[f"y {y}"] += 1
+                        counts.update(f"n {x} {y}" for x in observed(text, a, b))
+                for kind, edges in zip("cs", neighbours(text, spans), strict=True):
+                    counts.update(f"{kind} {labels[i]} {labels[j]}" for i, j in edges if not away[i] and not away[j])
             return list(counts), list(counts.values())
 
         return make
 
     counted = flat_slices(rows, {"what": "string", "n": "bigint"}, start).groupBy("what").agg(F.sum("n").alias("n")).collect()
-    nodes: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(5))
-    edges = {"c": np.ones((5, 5)), "s": np.ones((5, 5))}
+    nodes: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(size))
+    # Before any count, neighbours are independent and similar mentions agree.
+    edges, total = {"c": np.ones((size, size)), "s": np.ones((size, size)) + 20 * np.eye(size)}, np.ones(size)
     for what, n in counted:
-        kind, a, b = what.split(" ", 2)
-        if kind == "n":
-            nodes[a][int(b)] += n
+        kind, *rest = what.split(" ")
+        if kind == "y":
+            total[int(rest[0])] += n
+        elif kind == "n":
+            nodes[rest[0]][int(rest[1])] += n
         else:
-            edges[kind][int(a), int(b)] += n
-            edges[kind][int(b), int(a)] += n
-    prior = sum(nodes.values(), np.zeros(5)) + 1
-    prior /= prior.sum()
-    out = {"node": {k: np.log((v + 2 * prior) / (v.sum() + 2)) for k, v in nodes.items()}, "rare": np.log(prior)}
+            a, b = map(int, rest)
+            edges[kind][a, b] += n
+            edges[kind][b, a] += n
+    # A feature's potential is log P(feature | label), smoothed towards its share of all mentions.
+    share = lambda v: (v.sum() + 0.5) / (total.sum() + 1)
+    out = {"prior": np.log(total / total.sum()), "node": {k: np.log((v + 2 * share(v)) / (total + 2)) for k, v in nodes.items()}, "rare": np.log(1 / (total + 2))}
     for kind, m in edges.items():
         out[kind] = np.log(m / m.sum()) - np.log(m.sum(0) / m.sum())[:, None] - np.log(m.sum(1) / m.sum())[None, :]
     return out
 
 
 def beliefs(node: np.ndarray, edges: list[tuple[int, int, np.ndarray]], rounds: int = ROUNDS) -> np.ndarray:
-    """Sum-product message passing on a graph with loops, with damping: each node's label probabilities."""
+    """Sum-product message passing on a graph with loops, with damping, until messages stay: each node's label
+    probabilities. On a tree they are exact."""
     if edges:
         source = np.array([e[0] for e in edges] + [e[1] for e in edges])
         target = np.array([e[1] for e in edges] + [e[0] for e in edges])
@@ -167,8 +212,12 @@ def beliefs(node: np.ndarray, edges: list[tuple[int, int, np.ndarray]], rounds:
             total = node.copy()
             np.add.at(total, target, message)
             out = total[source] - message[back]
-            out = np.log(np.einsum("ea,eab->eb", np.exp(out - out.max(1, keepdims=True)), weight) + 1e-12)
-            message = 0.5 * message + 0.5 * (out - out.max(1, keepdims=True))
+            out = np.log(np.einsum("ea,eab->eb", np.exp(out - out.max(1, keepdims=True)), weight) + 1e-30)
+            out -= out.max(1, keepdims=True)
+            step = np.abs(out - message).max()
+            message = 0.3 * message + 0.7 * out
+            if step < 1e-6:
+                break
         node = node.copy()
         np.add.at(node, target, message)
     p = np.exp(node - node.max(1, keepdims=True))
@@ -176,54 +225,65 @@ def beliefs(node: np.ndarray, edges: list[tuple[int, int, np.ndarray]], rounds:
 
 
 def added_spans(text: str, base: list[tuple[int, int, int]], model: dict) -> list[tuple[int, int, int]]:
-    """Mentions outside all base spans that the field labels with BELIEF or more."""
+    """(start, kind number, end) of mentions outside all base spans: secrets that are named so, and those that the field
+    gives a label of personal data with BELIEF or more. The patterns' labels are fixed in the field."""
     spans = mentions(text)
-    if not spans or not base:
-        return []  # without an entity in the document no belief passes from one mention to another
-    labels = tagged(spans, base)
-    if all(labels):
+    if not spans:
         return []
-    node = np.array([model["node"].get(shape(text[a:b]), model["rare"]) for a, b in spans])
-    for i, y in enumerate(labels):
-        if y:
-            node[i] = -12.0
-            node[i, y] = 0.0
-    chain, skip = neighbours(text, spans)
-    p = beliefs(node, [(i, j, model["c"]) for i, j in chain] + [(i, j, model["s"]) for i, j in skip])
-    joined = {i for e in skip for i in e}
-    return [(a, int(p[i, 1:].argmax()), b) for i, (a, b) in enumerate(spans) if i in joined and not labels[i] and p[i, 1:].max() >= BELIEF]
+    labels = tagged(text, spans, base)
+    if all(labels):
+        p = np.zeros((len(spans), len(LABELS)))
+    else:
+        node = np.stack([model["prior"] + sum(w * model["node"].get(x, model["rare"]) for w, x in zip(WEIGHTS, observed(text, a, b), strict=True)) for a, b in spans])
+        for i, y in enumerate(labels):
+            if y:
+                node[i] = -30.0
+                node[i, y] = 0.0
+        chain, skip = neighbours(text, spans)
+        p = beliefs(node, [(i, j, model["c"]) for i, j in chain] + [(i, j, model["s"]) for i, j in skip])
+    out = []
+    for i, (a, b) in enumerate(spans):
+        if labels[i] == len(LABELS) - 1:
+            out.append((a, len(KINDS), b))
+        elif not labels[i] and p[i, 1:].max() >= BELIEF:
+            out.append((a, int(p[i, 1:].argmax()), b))
+    return out
 
 
 def find_pii(docs: DataFrame, text: str = "text", id_column: str = "doc_id", keep: list[str] | None = None) -> DataFrame:
-    """keep columns of docs (all unless given), then n_email, n_ip, n_card, n_phone, base (the patterns' spans) and spans
-    (with those that the field adds), each span kind:start:end in code points, comma-joined.
+    """keep columns of docs (all unless given), then n_email, n_ip, n_card, n_phone (of the patterns' spans), base (the
+    patterns' spans), spans (with those that the field adds, secrets among them) and n_added, the number of those. A span is
+    kind:start:end in code points, comma-joined by start, then kind.
 
-    A null text counts as empty: no spans, zero counts. A null id is kept. Repeated rows get equal results. Columns of
-    docs with the names of results are replaced.
+    A null or empty text has no spans. A null id is kept. Repeated rows get equal results; a text of any length is one
+    graph. Without rows there are none. Columns of docs with the names of results are replaced, others may have any name.
     """
-    outputs = {**{f"n_{k}": "bigint" for k in KINDS}, "base": "string", "spans": "string"}
-    kept = [c for c in (docs.columns if keep is None else keep) if c not in outputs]
-    model = docs.sparkSession.sparkContext.broadcast(learn(docs.select(docs[name(text)].alias("__text"))))
+    outputs = {**{f"n_{k}": "bigint" for k in KINDS}, "base": "string", "spans": "string", "n_added": "bigint"}
+    carried = Carried(docs, keep, list(outputs))
+    model = docs.sparkSession.sparkContext.broadcast(learn(docs.select(docs[name(text)].alias("text"))))
 
     def start():
+        kinds = LABELS[1:]
+
         def put(spans):
-            return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in spans)
+            return ",".join(f"{kinds[k]}:{a}:{b}" for a, k, b in spans)
 
         def make(*columns):
             out: list[list] = [[] for _ in outputs]
             for x in columns[-1]:
                 base = base_spans(x or "")
-                more = added_spans(x, base, model.value) if base else []
+                more = added_spans(x or "", base, model.value)
                 n = Counter(k for _, k, _ in base)
-                for values, v in zip(out, (*(n[k] for k in range(4)), put(base), put(sorted(base + more))), strict=True):
+                for values, v in zip(out, (*(n[k] for k in range(4)), put(base), put(sorted(base + more)), len(more)), strict=True):
                     values.append(v)
             return out
 
         return make
 
-    return map_slices(docs.select(*(docs[name(c)] for c in kept), docs[name(text)].alias("__text")), outputs, start, keep=kept)
+    found = map_slices(docs.select(*carried.columns, docs[name(text)].alias("text")), outputs, start, keep=carried.inner)
+    return found.select(*carried.back, *outputs)
 
 
 def op2_skip_chain_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_pii(table(spark, sf_dir, "documents"), keep=["doc_id"])
-    return found.select("doc_id", *(f"n_{k}" for k in KINDS), F.sha2("base", 256).alias("base_sha256"), "spans")
+    return found.select("doc_id", *(f"n_{k}" for k in KINDS), F.sha2("base", 256).alias("base_sha256"), "spans", "n_added")
