@@ -1,15 +1,21 @@
-"""Main text of web pages by consensus paths of their host (operator 10)."""
+"""Main text of web pages by consensus of their host (operator 10).
+
+A page's containers are scored and its best one votes with its path of tags and classes; a host's pages are extracted at the
+path with most votes. The host decides in the same way what is left out within: containers at a path whose text is the same
+on most of its pages, or nearly all links, and those that are named as what the article excludes.
+"""
 
 import html
 import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
-from .common import map_slices, name, saved, table
+from .common import Carried, flat_slices, map_slices, name, saved, table
 
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*'|[\"'])*+)(?:>|\Z)", re.S)
-ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 # Element names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes".split())
@@ -19,15 +25,19 @@ BLOCK = frozenset(
 DROPPED = frozenset("head nav header footer aside form script style noscript iframe template svg canvas button select textarea title object menu dialog xmp noembed noframes".split())
 CONTAINER = frozenset("article main section div body td center".split())
 ENDS_P = BLOCK - {"option", "summary", "caption", "tbody", "thead", "tfoot", "tr", "td", "th", "dd", "dt", "li", "body", "html"} | {"li", "dd", "dt"}
-UNWANTED = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|sponsors?|sponsored|promos?|banners?|cookies?|consent|notices?|alerts?|popups?|modals?|overlay|sidebars?|menus?|nav|navbar|navigation|breadcrumbs?|footers?|masthead|topbar|comments?|disqus|respond|replies|related|recommended|share|sharing|social|newsletter|subscribe|signup|login|pagination|pager|skip|widgets?|toolbar)(?:$|[\s_0-9-])",
-    re.I,
+# Words of class names. A name is unwanted if it holds a word of the first list, and others of these lists alone.
+UNWANTED = frozenset(
+    "ad ads advert adverts advertisement advertisements advertising sponsor sponsors sponsored promo promos banner banners cookie cookies consent gdpr notice notices alert alerts popup popups modal modals overlay sidebar sidebars menu menus nav navbar navigation breadcrumb breadcrumbs footer masthead topbar comment comments disqus respond replies related recommended share sharing social newsletter subscribe signup login pagination pager skip widget widgets toolbar".split()
 )
+GENERIC = frozenset("area bar bottom box block blocks btn button buttons col column container content form group header inner icons item items left link links list main message panel post posts reader right section site slot text title top unit user wrap wrapper".split())
+WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
+LEAST_PAGES, LEAST_SHARE = 3, 0.02  # pages of a host, and of all its pages, that a path must stand on to be judged
+SAME, LINKS = 0.5, 0.8  # of a path's containers: different texts at most, letters in links at least, to be left out
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar form".split())
 
 
 class Node:
-    __slots__ = ("blocks", "links", "parent", "path", "score", "tag", "unwanted")
+    __slots__ = ("blocks", "links", "parent", "path", "score", "tag", "unwanted")  # blocks: (place, text) beneath
 
     def __init__(self, tag: str, path: str, parent: "Node | None", unwanted: bool):
         self.tag, self.path, self.parent, self.unwanted = tag, path, parent, unwanted
@@ -42,11 +52,22 @@ def attributes(text: str) -> dict[str, str]:
 def generalised(tag: str, classes: str) -> str:
     """tag.class: the first class, digits as #."""
     first = classes.split()[0] if classes.split() else ""
-    return f"{tag}.{re.sub(r'[0-9]+', '#', first)[:40]}" if first else tag
+    return f"{tag}.{re.sub(r'[0-9]+', '#', first)}" if first else tag
+
+
+def named_unwanted(names: str) -> bool:
+    """Whether one of the class names or ids says that this is no part of an article: cookie-notice does, alert-level and
+    share-price-table do not."""
+    for one in names.split():
+        words = [w.lower() for w in WORDS.findall(one) if not w.isdigit()]
+        if not UNWANTED.isdisjoint(words) and all(w in UNWANTED or w in GENERIC for w in words):
+            return True
+    return False
 
 
-def parse(page: str) -> list[Node]:
-    """Wanted containers in page order, each with the blocks under it: (place, text). The root is the last resort."""
+def parse(page: str, away: frozenset[str] = frozenset()) -> list[Node]:
+    """Wanted containers in page order, each with the blocks under it; those at a path of away are unwanted, with all
+    beneath. The root is the last resort."""
     root = Node("html", "html", None, False)
     stack, nodes, out = [root], [root], []
     buffer: list[str] = []
@@ -131,14 +152,16 @@ def parse(page: str) -> list[Node]:
         if tag in VOID or m[3].endswith("/") and tag in ("svg", "hr"):
             continue
         own = attributes(m[3])
-        named = f"{own.get('class', '')} {own.get('id', '')}"
-        bad = tag in DROPPED or "hidden" in own or own.get("aria-hidden", "") == "true" or own.get("role", "").lower() in ROLES or tag not in ("body", "html", "article", "main") and bool(named.strip() and UNWANTED.search(named))
+        hidden = "hidden" in own or own.get("aria-hidden", "") == "true" or "display:none" in own.get("style", "").lower().replace(" ", "")
+        named = tag not in ("body", "html", "article", "main") and named_unwanted(f"{own.get('class', '')} {own.get('id', '')}")
+        bad = tag in DROPPED or hidden or named or own.get("role", "").lower() in ROLES
         if tag in ("html", "body") and len(stack) > 1:
             continue
         if tag == "html":
             continue
         parent = stack[-1]
-        node = Node(tag, f"{parent.path}/{generalised(tag, own.get('class', ''))}" if tag in CONTAINER else parent.path, parent, parent.unwanted or bad)
+        path = f"{parent.path}/{generalised(tag, own.get('class', ''))}" if tag in CONTAINER else parent.path
+        node = Node(tag, path, parent, parent.unwanted or bad or tag in CONTAINER and path in away)
         stack.append(node)
         if tag in CONTAINER and not node.unwanted:
             nodes.append(node)
@@ -155,56 +178,84 @@ def best(nodes: list[Node]) -> Node | None:
     return max(enumerate(nodes), key=lambda x: (x[1].score, x[0]))[1] if nodes else None
 
 
-def text_at(page: str, path: str | None) -> str:
-    """Blocks of the containers at path, without those much poorer than the best of them; where there is none, of the
-    page's own best container."""
-    nodes = parse(page)
+def joined(nodes: list[Node]) -> str:
+    blocks = dict(b for n in nodes for b in n.blocks)
+    return "\n".join(blocks[k] for k in sorted(blocks))
+
+
+def linked(node: Node) -> bool:
+    return node.links >= LINKS * max(1, sum(len(t) for _, t in node.blocks))
+
+
+def text_at(page: str, path: str | None, away: list[str] | None = None) -> str:
+    """Blocks of the containers at path but those of links alone, without what is at paths of away; where there are none,
+    of the page's own best container."""
+    nodes = parse(page, frozenset(away or ()))
     chosen = [n for n in nodes if n.path == path]
-    if chosen:
-        least = 0.2 * max(n.score for n in chosen)
-        chosen = [n for n in chosen if n.score >= least]
-    elif nodes:
+    chosen = [n for n in chosen if not linked(n)] or chosen
+    if not chosen and nodes:
         chosen = [best(nodes)]
-    blocks = dict(b for n in chosen for b in n.blocks)
-    return "\n".join(blocks[k] for k in sorted(blocks))
+    return joined(chosen)
 
 
-def extract_text(pages: DataFrame, url: str = "url", html_column: str = "html", keep: list[str] | None = None) -> DataFrame:
-    """keep columns of pages (all unless given), then text: the article's blocks joined by line feeds.
+def verdicts(given: DataFrame) -> DataFrame:
+    """host, path, away: the path with most votes of a host's pages, and the paths beneath it that are left out. Equal votes
+    go to the longer text, then to the smaller path.
 
-    First pass: each page's best container votes with its generalised path, and votes are counted by host. Second pass:
-    each page is extracted at its host's winning path; equal votes go to the longer text, then to the smaller path.
-    A null html counts as empty and gives the empty text. A null url, or one without host, belongs to the host "".
-    Repeated pages vote each. A column of pages named text is replaced.
-    """
-    kept = [c for c in (pages.columns if keep is None else keep) if c != "text"]
-    host = F.lower(F.regexp_extract(F.coalesce(pages[name(url)], F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
-    given = pages.select(*(pages[name(c)] for c in kept), host.alias("__host"), pages[name(html_column)].alias("__html"))
+    A page emits a row for each path of its containers: what it holds and whether it is the page's best. Rows combine by
+    (host, path, text, page) and then by (host, path), so that a large host is never gathered; at most one path in
+    LEAST_SHARE of its pages and container is judged, which bounds away."""
 
-    def vote():
+    def survey():
         def make(hosts, pages_):
-            paths, sizes = [], []
-            for page in pages_:
-                node = best(parse(page or ""))
-                paths.append(node.path if node else None)
-                sizes.append(sum(len(t) for _, t in node.blocks) if node else 0)
-            return paths, sizes
+            out: list[list] = [[] for _ in range(7)]
+            for host, page in zip(hosts, pages_, strict=True):
+                nodes = parse(page or "")
+                top, by_path = best(nodes), {}
+                for n in nodes:
+                    by_path.setdefault(n.path, []).append(n)
+                own = xxh64_intdigest((page or "").encode("utf-8", "surrogatepass")) >> 1
+                for path, some in by_path.items():
+                    text = joined(some)
+                    row = (host, path, xxh64_intdigest(text.encode("utf-8", "surrogatepass")) >> 1, own, len(text), min(len(text), sum(n.links for n in some)), int(top is not None and top.path == path))
+                    for values, v in zip(out, row, strict=True):
+                        values.append(v)
+            return out
 
         return make
 
-    votes = map_slices(given.select("__host", "__html"), {"__path": "string", "__size": "bigint"}, vote, keep=["__host"])
-    counted = votes.where("__path is not null").groupBy("__host", "__path").agg(F.count("*").alias("n"), F.sum("__size").alias("size"))
-    winners = saved(counted.groupBy("__host").agg(F.min_by("__path", F.struct(-F.col("n"), -F.col("size"), F.col("__path"))).alias("__path")))
-    # Small winners are broadcast by their size on disk, larger ones joined by a shuffle whose hot hosts can be split.
-    joined = given.join(winners, "__host", "left").select(*(name(c) for c in kept), "__path", "__html")
+    found = flat_slices(given, {"host": "string", "path": "string", "digest": "bigint", "page": "bigint", "size": "bigint", "links": "bigint", "votes": "bigint"}, survey)
+    sums = [F.sum(c).alias(c) for c in ("size", "links", "votes")]
+    by_page = found.groupBy("host", "path", "digest", "page").agg(*sums)  # copies of a page are one page where texts are compared
+    by_text = by_page.groupBy("host", "path", "digest").agg(F.count("*").alias("pages"), *sums)
+    by_path = saved(by_text.groupBy("host", "path").agg(F.sum("pages").alias("pages"), F.count("*").alias("texts"), *sums))
+    hosts = by_path.groupBy("host").agg(F.min_by(F.struct("path"), F.struct(-F.col("votes"), -F.col("size"), F.col("path"))).alias("won"), F.max("pages").alias("most")).select("host", F.col("won.path").alias("won"), "most")
+    judged = by_path.join(hosts, "host").where((F.col("pages") >= LEAST_PAGES) & (F.col("pages") >= LEAST_SHARE * F.col("most")) & F.startswith("path", F.concat("won", F.lit("/"))))
+    bad = judged.where((F.col("texts") <= SAME * F.col("pages")) | (F.col("links") >= LINKS * F.greatest(F.col("size"), F.lit(1))))
+    away = bad.groupBy("host").agg(F.collect_set("path").alias("away"))
+    return saved(hosts.join(away, "host", "left").select("host", F.col("won").alias("path"), "away"))
+
+
+def extract_text(pages: DataFrame, url: str = "url", html_column: str = "html", keep: list[str] | None = None) -> DataFrame:
+    """keep columns of pages (all unless given), then text: the article's blocks joined by line feeds.
+
+    First pass: verdicts of each host. Second pass: each page is extracted by them. A null html counts as empty and gives
+    the empty text. A null url, or one without host, belongs to the host "". Repeated pages vote each; a page of any length
+    is parsed whole. Without rows there are none. A column of pages named text is replaced, others may have any name.
+    """
+    carried = Carried(pages, keep, ["text"])
+    host = F.lower(F.regexp_extract(F.coalesce(pages[name(url)], F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
+    given = pages.select(*carried.columns, host.alias("host"), pages[name(html_column)].alias("html"))
+    # Small verdicts are broadcast by their size on disk, larger ones joined by a shuffle whose hot hosts can be split.
+    both = given.join(verdicts(given.select("host", "html")), "host", "left").select(*carried.inner, "path", "away", "html")
 
     def extract():
         def make(*columns):
-            return ([text_at(page or "", path) for path, page in zip(columns[-2], columns[-1], strict=True)],)
+            return ([text_at(page or "", path, away) for path, away, page in zip(*columns[-3:], strict=True)],)
 
         return make
 
-    return map_slices(joined, {"text": "string"}, extract, keep=kept, rows=128)
+    return map_slices(both, {"text": "string"}, extract, keep=carried.inner, rows=128).select(*carried.back, "text")
 
 
 def op10_consensus_html(spark: SparkSession, sf_dir: str) -> DataFrame:
