@@ -1,92 +1,105 @@
-"""Repeated passages of lines (operator 8)."""
+"""Repeated passages of lines by content-defined chunks (operator 8).
+
+A rolling hash over the hashes of two lines says, from these lines alone, whether a chunk ends behind them; so chunks come
+in step again after inserted lines. Chunks of two lines or more that stand earlier are removed after byte comparison. Chunks
+at the ends of a passage hold lines of its surroundings and match nowhere; what of the passage they hold is found as pairs
+of neighbouring lines that stand earlier, compared likewise.
+"""
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest, xxh64_intdigest
 
-from .common import flat_slices, map_slices, name, saved, table
+from .common import Carried, discard, flat_slices, map_slices, name, saved, table
 
-MEAN_LINES = 3  # of chunks(): a chunk ends where the rolling hash of two lines is a multiple of this
+MEAN_LINES = 3  # a chunk ends where the rolling hash of two lines is a multiple of this
 MASK = (1 << 64) - 1
 
 
-def chunks(text: str, mean_lines: int = MEAN_LINES) -> list[tuple[int, str]]:
-    """(number of lines, text) of consecutive chunks; joined by line feeds they are the text. A chunk ends
-    where its last two lines say so, or after the line behind that where it would be of one line alone."""
-    out, held, before = [], [], 0
-    for line in text.split("\n"):
-        held.append(line)
-        own = xxh64_intdigest(line.encode("utf-8", "surrogatepass"))
-        rolling = (before * 0x9E3779B97F4A7C15 + own) & MASK
-        before = own
-        if (rolling >> 20) % mean_lines == 0 and len(held) > 1:
-            out.append((len(held), "\n".join(held)))
-            held = []
-    if held:
-        out.append((len(held), "\n".join(held)))
-    return out
-
-
-def line_pairs(text: str) -> list[str]:
-    """Each two lines that follow each other, which are the shortest passages."""
-    lines = text.split("\n")
-    return ["\n".join(x) for x in zip(lines, lines[1:])]
-
+def chunk_edges(lines: list[str], mean_lines: int = MEAN_LINES) -> list[tuple[int, int]]:
+    """(first line, number of lines) of consecutive chunks, which cover all lines."""
+    hashes = [xxh64_intdigest(x.encode("utf-8", "surrogatepass")) for x in lines]
+    ends = [k + 1 for k in range(1, len(lines)) if ((hashes[k - 1] * 0x9E3779B97F4A7C15 + hashes[k] & MASK) >> 20) % mean_lines == 0]
+    starts = [0, *ends]
+    return [(a, b - a) for a, b in zip(starts, [*ends, len(lines)], strict=True) if b > a]
 
-def remove_repeated_chunks(docs: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
-    """docs with text less all passages of two lines or more that stand earlier, in a smaller doc_id or earlier in the same
-    document; then n_lines and n_removed, lines of the text before and removed.
 
-    A passage stands earlier as far as each two neighbouring lines of it do. Pairs of lines with equal digests are compared
-    byte by byte with the first of them. Single lines stay. A null text stays null and has no lines; an empty one is one
-    empty line. Null ids come after all others. Rows equal in id and text count as one document: both keep what is first
-    there. A document of which nothing is left stays, with an empty text. Columns of docs named n_lines or n_removed are
-    replaced.
+def units(text: str, mean_lines: int, seams: bool) -> list[tuple[int, int, bytes]]:
+    """(first line, number of lines, digest) of the chunks of several lines and, with seams, of each two neighbouring
+    lines; their number is -2, which tells them from chunks of two."""
+    lines = text.split("\n")
+    found = [(k, n, b"c" + "\n".join(lines[k : k + n]).encode("utf-8", "surrogatepass")) for k, n in chunk_edges(lines, mean_lines) if n > 1]
+    if seams:
+        found += [(k, -2, "\n".join(x).encode("utf-8", "surrogatepass")) for k, x in enumerate(zip(lines, lines[1:]))]
+    return [(k, n, xxh3_128_digest(b)) for k, n, b in found]
+
+
+def remove_repeated_chunks(docs: DataFrame, text: str = "text", id_column: str = "doc_id", mean_lines: int = MEAN_LINES, seams: bool = True) -> DataFrame:
+    """docs with text less all chunks of several lines that stand earlier, in a smaller id or earlier in the same document,
+    and, with seams, all other lines of passages of two lines or more that stand earlier; then n_lines and n_removed, lines
+    of the text before and removed.
+
+    Digests are compared on narrow rows; the lines of those that repeat are then fetched and compared byte by byte with the
+    first occurrence. Single lines stay. A null text stays null and has no lines; an empty one is one empty line. Null ids
+    come after all others. Rows equal in id and text count as one document: both keep what is first there. A document of
+    which nothing is left stays, with an empty text. Without rows there are none. Columns of docs named n_lines or n_removed
+    are replaced, others may have any name.
     """
-    kept = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    given = docs.select(*(docs[name(c)] for c in kept), docs[name(id_column)].alias("__id"), F.xxhash64(docs[name(text)]).alias("__row"), docs[name(text)].alias("__text"))
-    slim = given.select("__id", "__row", "__text").where("__text is not null")
+    results = ["n_lines", "n_removed"]
+    carried = Carried(docs, None, [*results, text])
+    given = docs.select(*carried.columns, docs[name(id_column)].alias("id"), F.xxhash64(docs[name(text)]).alias("row"), docs[name(text)].alias("text"))
+    slim = given.select("id", "row", "text").where("text is not null")
 
     def digests():
         def make(ids, rows, texts):
-            found = [(i, r, k, xxh3_128_digest(p.encode("utf-8", "surrogatepass"))) for i, r, t in zip(ids, rows, texts, strict=True) for k, p in enumerate(line_pairs(t))]
-            return [list(x) for x in zip(*found, strict=True)] if found else [[], [], [], []]
+            found = [(i, r, *u) for i, r, t in zip(ids, rows, texts, strict=True) for u in units(t, mean_lines, seams)]
+            return [list(x) for x in zip(*found, strict=True)] if found else [[], [], [], [], []]
 
         return make
 
     def bodies():
         def make(ids, rows, texts, places):
-            found = []
-            for i, r, t, ks in zip(ids, rows, texts, places, strict=True):
-                pairs = line_pairs(t)
-                found += [(i, r, k, xxh3_128_digest(b := pairs[k].encode("utf-8", "surrogatepass")), b) for k in ks]
-            return [list(x) for x in zip(*found, strict=True)] if found else [[], [], [], [], []]
+            out: list[list] = [[] for _ in range(7)]
+            for i, r, t, found in zip(ids, rows, texts, places, strict=True):
+                lines, held = t.split("\n"), {}
+                for p in found:
+                    if p["n"] > 0 and not p["is_first"]:
+                        held.update(dict.fromkeys(range(p["k"], p["k"] + p["n"]), p["k"]))
+                for p in found:
+                    k, n = p["k"], abs(p["n"])
+                    # A pair within a chunk that goes as a whole is compared with it.
+                    if p["n"] > 0 or k not in held or held[k] != held.get(k + 1):
+                        body = "\n".join(lines[k : k + n]).encode("utf-8", "surrogatepass")
+                        for values, v in zip(out, (i, r, k, n, p["digest"], p["is_first"], body), strict=True):
+                            values.append(v)
+            return out
 
         return make
 
-    def at_places(rows: DataFrame, by_row: DataFrame, column: str) -> DataFrame:
+    def with_places(rows: DataFrame, by_row: DataFrame, column: str) -> DataFrame:
         """rows with column of by_row (id, row, column), null where it has none."""
-        other = by_row.select(F.col("id").alias("__other_id"), F.col("row").alias("__other_row"), F.col(column).alias(f"__{column}"))
-        return rows.join(other.hint("merge"), rows["__id"].eqNullSafe(other["__other_id"]) & (rows["__row"] == other["__other_row"]), "left")
+        other = by_row.select(F.col("id").alias("other_id"), F.col("row").alias("other_row"), column)
+        return rows.join(other.hint("merge"), rows["id"].eqNullSafe(other["other_id"]) & (rows["row"] == other["other_row"]), "left")
 
-    place = {"id": "bigint", "row": "bigint", "k": "int", "digest": "binary"}
+    place = {"id": "bigint", "row": "bigint", "k": "int", "n": "int", "digest": "binary"}
     order = F.struct(F.col("id").isNull().alias("last"), "id", "row", "k")
-    pairs = saved(flat_slices(slim, place, digests))
-    repeated = pairs.groupBy("digest").agg(F.count("*").alias("n"), F.min(order).alias("first")).where("n > 1").select("digest", "first")
-    placed = pairs.join(repeated.hint("merge"), "digest").groupBy("id", "row").agg(F.collect_set("k").alias("places"))
-    found = flat_slices(at_places(slim, placed, "places").where("__places is not null").select("__id", "__row", "__text", "__places"), {**place, "body": "binary"}, bodies)
-    found = saved(found.join(repeated.hint("merge"), "digest").withColumn("own", order).select("digest", "id", "row", "k", "body", F.col("own").eqNullSafe(F.col("first")).alias("is_first")))
+    every = saved(flat_slices(slim, place, digests))
+    repeated = every.groupBy("digest").agg(F.count("*").alias("times"), F.min(order).alias("first")).where("times > 1").select("digest", "first")
+    again = every.join(repeated.hint("merge"), "digest").withColumn("is_first", order.eqNullSafe(F.col("first")))
+    placed = again.groupBy("id", "row").agg(F.collect_set(F.struct("k", "n", "digest", "is_first")).alias("places"))
+    found = saved(flat_slices(with_places(slim, placed, "places").where("places is not null").select("id", "row", "text", "places"), {**place, "is_first": "boolean", "body": "binary"}, bodies))
+    discard(every)
     firsts = found.where("is_first").groupBy("digest").agg(F.first("body").alias("first_body"))
     later = found.where("not is_first").join(firsts.hint("merge"), "digest").where("body = first_body")
-    gone = saved(later.groupBy("id", "row").agg(F.collect_set("k").alias("gone")))
-    joined = at_places(given, gone, "gone")
+    gone = saved(later.groupBy("id", "row").agg(F.collect_set(F.struct("k", "n")).alias("gone")))
+    discard(found)
 
     def rebuild():
         def make(*columns):
             texts, lines, removed = [], [], []
             for t, gone_ in zip(columns[-2], columns[-1], strict=True):
                 parts = [] if t is None else t.split("\n")
-                away = {k + d for k in gone_ or () for d in (0, 1)}
+                away = {k for g in gone_ or () for k in range(g["k"], g["k"] + g["n"])}
                 texts.append("\n".join(x for k, x in enumerate(parts) if k not in away) if away else t)
                 lines.append(len(parts))
                 removed.append(len(away))
@@ -94,10 +107,10 @@ def remove_repeated_chunks(docs: DataFrame, text: str = "text", id_column: str =
 
         return make
 
-    rest = [c for c in kept if c != text]
-    source = joined.select(*(F.col(name(c)) for c in rest), "__text", "__gone")
-    out = map_slices(source, {"__new": "string", "n_lines": "bigint", "n_removed": "bigint"}, rebuild, keep=rest)
-    return out.withColumnRenamed("__new", text).select(*(F.col(name(c)) for c in kept), "n_lines", "n_removed")
+    source = with_places(given, gone, "gone").select(*carried.inner, "text", "gone")
+    out = map_slices(source, {"new_text": "string", "n_lines": "bigint", "n_removed": "bigint"}, rebuild, keep=carried.inner)
+    new = {c: b for c, b in zip(carried.names, carried.back, strict=True)} | {text: F.col("new_text").alias(text)}
+    return out.select(*(new[c] for c in docs.columns if c in new), *results)
 
 
 def op8_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
