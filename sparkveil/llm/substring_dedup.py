@@ -13,13 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from .common import discard, flat_slices, map_slices, name, saved, table
+from .common import Carried, discard, flat_slices, map_slices, name, saved, split_join, table
 
 WINDOW, ANCHOR = 20, 6
+MOST_WINDOWS = 62  # of a run, which are marked in the bits of a bigint
 SHARD_RUNS = 64  # an anchor with more different runs than this is dealt by window instead
 CACHED_WORDS = 300_000
 MULTIPLIER = 0x9E3779B97F4A7C15
-PLACE = np.uint64((1 << 24) - 1)
 INVERSE = pow(MULTIPLIER, -1, 1 << 64)
 
 
@@ -62,13 +62,16 @@ class Hasher:
         spread = self.window - self.anchor + 1
         at = np.arange(len(hashes) - self.anchor + 1)
         grams = self.intervals(hashes, at, at + self.anchor)
-        # The least of each window by doubling; the place stands in the low bits, so that ties go to the leftmost.
-        low = (grams & ~PLACE) | at.astype(np.uint64)
-        size = 1
+        # The place of the least of each window by doubling; ties go to the leftmost.
+        place, size = at, 1
+
+        def least(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+            return np.where(grams[b] < grams[a], b, a)
+
         while 2 * size <= spread:
-            low = np.minimum(low[:-size], low[size:])
+            place = least(place[:-size], place[size:])
             size *= 2
-        place = (np.minimum(low[:n], low[spread - size : spread - size + n]) & PLACE).astype(np.int64)
+        place = least(place[:n], place[spread - size : spread - size + n])
         start = np.flatnonzero(np.diff(place, prepend=-1))
         count = np.diff(start, append=n)
         content = self.intervals(hashes * np.uint64(0xD6E8FEB86659FD93), start, start + count + self.window - 1)
@@ -147,12 +150,16 @@ def remove_repeats(docs: DataFrame, text: str = "text", id_column: str = "doc_id
 
     A null text has no words. Null ids come after all others. Rows equal in id and text count as one document; rows of
     one id with different texts are ordered by a hash of the text. Runs are held equal where two independent 64-bit
-    hashes agree. Columns of docs with the names of results are replaced.
+    hashes agree. A window may be up to MOST_WINDOWS words longer than an anchor. Without rows there are none. Columns of
+    docs with the names of results are replaced, others may have any name.
     """
-    kept = [c for c in (docs.columns if keep is None else keep) if c not in ("kept_text", "n_words", "n_removed")]
+    if not 1 <= anchor <= window or window - anchor >= MOST_WINDOWS:
+        raise ValueError(f"a run of {window - anchor + 1} windows does not fit: at most {MOST_WINDOWS}")
+    results = ["kept_text", "n_words", "n_removed"]
+    carried = Carried(docs, keep, results)
     order_id = F.coalesce(docs[name(id_column)], F.lit((1 << 63) - 1)).cast("bigint")
-    given = docs.select(*(docs[name(c)] for c in kept), order_id.alias("__id"), F.crc32(F.coalesce(docs[name(text)], F.lit("")).cast("binary")).cast("bigint").alias("__row"), docs[name(text)].alias("__text"))
-    slim = given.where("__text is not null").select("__id", "__row", "__text")
+    given = docs.select(*carried.columns, order_id.alias("id"), F.xxhash64(docs[name(text)]).alias("row"), docs[name(text)].alias("text"))
+    slim = given.where("text is not null").select("id", "row", "text")
     place = ["id", "row", "start"]
 
     def find_runs():
@@ -172,20 +179,20 @@ def remove_repeats(docs: DataFrame, text: str = "text", id_column: str = "doc_id
 
     runs = saved(flat_slices(slim, {"anchor": "bigint", "content": "bigint", "count": "int", "id": "bigint", "row": "bigint", "start": "int"}, find_runs))
     # Most anchors occur once: a count of anchors alone leaves the runs that may repeat.
-    several = runs.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
-    every, runs = runs, saved(runs.join(several, "anchor", "left_semi"))
+    total = runs.count()
+    several = saved(runs.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1"))
+    every, runs = runs, saved(split_join(runs, several, ["anchor"], total, "left_semi"))
     discard(every)
-    distinct = runs.groupBy("anchor", "content", "count").agg(F.min(F.struct(*place)).alias("first"), (F.count("*") > 1).alias("again"))
-    distinct = saved(distinct.select("anchor", "content", "count", "first", "again"))
+    distinct = saved(runs.groupBy("anchor", "content", "count").agg(F.min(F.struct(*place)).alias("first"), F.count("*").alias("n")))
     # Anchors with more than one different run; the counts combine before the shuffle.
     mixed = distinct.groupBy("anchor").agg(F.count("*").alias("runs")).where("runs > 1")
     firsts = saved(distinct.join(mixed, "anchor").select("anchor", "count", "first.*", (F.col("runs") > SHARD_RUNS).alias("hot")))
     # Runs seen before as they stand: all their windows repeat.
-    repeated = distinct.where("again").select("anchor", "content", "count", "first")
-    whole = runs.join(repeated, ["anchor", "content", "count"]).where(F.struct(*place) != F.col("first")).select(*place, (F.pow(F.lit(2), F.col("count")).cast("bigint") - 1).alias("mask"))
+    repeated = distinct.where("n > 1").select("anchor", "content", "count", "first", "n")
+    whole = split_join(runs, repeated, ["anchor", "content", "count"], total).where(F.struct(*place) != F.col("first")).select(*place, F.expr("shiftleft(1L, count) - 1").alias("mask"))
     # The others: the words of the first occurrences are fetched, document by document.
     asked = firsts.groupBy("id", "row").agg(F.collect_list(F.struct("start", "count", "anchor", "hot")).alias("asked"))
-    fetched = slim.join(asked, (slim["__id"] == asked["id"]) & (slim["__row"] == asked["row"])).select("id", "row", "__text", "asked")
+    fetched = slim.join(asked, ["id", "row"]).select("id", "row", "text", "asked")
 
     def pieces():
         hasher = Hasher(window, anchor)
@@ -239,8 +246,8 @@ def remove_repeats(docs: DataFrame, text: str = "text", id_column: str = "doc_id
                 yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int32()), pa.array(out[3], pa.int64())], names=[*place, "mask"])
 
     partial = dealt.mapInArrow(match, "id bigint, row bigint, start int, mask bigint")
-    marks = saved(whole.unionByName(partial).groupBy(F.col("id").alias("__mark_id"), F.col("row").alias("__mark_row")).agg(F.collect_list(F.struct("start", "mask")).alias("__marks")))
-    joined = given.join(marks, (given["__id"] == marks["__mark_id"]) & (given["__row"] == marks["__mark_row"]), "left").select(*(name(c) for c in kept), "__text", "__marks")
+    marks = saved(whole.unionByName(partial).groupBy("id", "row").agg(F.collect_list(F.struct("start", "mask")).alias("marks")))
+    joined = given.join(marks, ["id", "row"], "left").select(*carried.inner, "text", "marks")
 
     def rebuild():
         def make(*columns):
@@ -261,7 +268,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", id_column: str = "doc_id
 
         return make
 
-    return map_slices(joined, {"kept_text": "string", "n_words": "bigint", "n_removed": "bigint"}, rebuild, keep=kept)
+    return map_slices(joined, {"kept_text": "string", "n_words": "bigint", "n_removed": "bigint"}, rebuild, keep=carried.inner).select(*carried.back, *results)
 
 
 def op3_suffix_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
