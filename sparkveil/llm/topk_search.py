@@ -147,7 +147,7 @@ def top_products(vectors: DataFrame, is_query: F.Column, k: int, id_column: str
     blocks = spark.createDataFrame([(d, -(-n // QUERIES), tiles[d]) for d, n in query_rows.items()], "dimension int, blocks int, all_tiles int")
     tile = F.col("first") + F.pmod(F.xxhash64("vec_id"), F.col("tiles")).cast("int")
     candidates = packed.join(F.broadcast(buckets), ["dimension", "bucket"]).join(F.broadcast(blocks), "dimension")
-    candidates = candidates.select("vec_id", "dimension", "vector", "longest", "blocks", tile.alias("tile"), (tile < F.col("unseeded")).alias("seed"))
+    candidates = candidates.select("vec_id", "dimension", "bucket", "vector", "longest", "blocks", tile.alias("tile"), (tile < F.col("unseeded")).alias("seed"))
     queries = packed.where("is_query").join(F.broadcast(blocks), "dimension").select("vec_id", "dimension", "vector", "length", "all_tiles", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int").alias("q"))
     no = F.lit(float("-inf"))
 
@@ -157,6 +157,7 @@ def top_products(vectors: DataFrame, is_query: F.Column, k: int, id_column: str
     def sent(part: DataFrame) -> DataFrame:
         return part.select("dimension", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("q"), "tile", F.lit(False).alias("is_query"), "vec_id", "vector", no.alias("threshold"), "longest")
 
+    # Seeds meet every block of queries; they are a bounded number of rows.
     seed_tiles = candidates.where("seed").groupBy("dimension", "tile").agg(F.max("longest").alias("longest"))
     rest_tiles = candidates.where("not seed").groupBy("dimension", "tile").agg(F.max("longest").alias("longest"))
     body = ["dimension", "q", "tile", "is_query", "vec_id", "vector", "threshold"]
@@ -165,12 +166,16 @@ def top_products(vectors: DataFrame, is_query: F.Column, k: int, id_column: str
     first = saved(search(sent(candidates.where("seed")).select(*body).unionByName(asked)).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k))
     thresholds = first.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").cast("double").alias("threshold")).dropDuplicates(["vec_id"])
     # Scores beyond 2^53 are rounded as doubles: the threshold is set a little lower, so that none is lost.
-    known = queries.join(thresholds, "vec_id", "left").withColumn("threshold", F.coalesce(F.col("threshold") - F.abs("threshold") * 1e-15, no))
-    known = saved(known)
+    known = queries.drop("q").join(thresholds, "vec_id", "left").withColumn("threshold", F.coalesce(F.col("threshold") - F.abs("threshold") * 1e-15, no))
     least = F.when((F.col("threshold") > 0) & (F.col("length") > 0), F.col("threshold") / F.col("length") * (1 - 1e-9)).otherwise(0.0)
-    reach = known.groupBy("dimension", "q").agg(F.min(least).alias("least"))  # lengths below cannot reach any query of the block
-    needed = sent(candidates.where("not seed")).join(reach, ["dimension", "q"]).where("longest >= least").select(*body)
-    asked = known.join(rest_tiles, "dimension").where(F.col("longest") >= least).select("dimension", "q", "tile", F.lit(True).alias("is_query"), "vec_id", "vector", "threshold")
+    # Queries that need candidates of like length form a block, so that the least of a block prunes for all of it.
+    known = known.withColumn("least", least).repartitionByRange(sum(-(-n // QUERIES) for n in query_rows.values()), "dimension", "least", "vec_id")
+    known = saved(known.withColumn("q", F.spark_partition_id()))
+    reach = known.groupBy("dimension", "q").agg(F.min("least").alias("least"))  # lengths below cannot reach any query of the block
+    # Which block needs which bucket is settled on one row each; only then are candidates sent.
+    needs = saved(reach.join(buckets.select("dimension", "bucket", "longest"), "dimension").where("longest >= least").select("dimension", "bucket", "q"))
+    needed = candidates.where("not seed").join(needs, ["dimension", "bucket"]).select("dimension", "q", "tile", F.lit(False).alias("is_query"), "vec_id", "vector", no.alias("threshold"))
+    asked = known.join(rest_tiles, "dimension").where(F.col("longest") >= F.col("least")).select("dimension", "q", "tile", F.lit(True).alias("is_query"), "vec_id", "vector", "threshold")
     second = search(needed.unionByName(asked))
     ranked = first.select("query_id", "vec_id", "score").unionByName(second).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
