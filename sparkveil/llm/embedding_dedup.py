@@ -94,14 +94,14 @@ def similar_vectors(vectors: DataFrame, id_column: str = "vec_id", vector: str =
     nothing, nor do rows with a null id; vectors of different length never link. Repeated rows are vectors of their own.
     Other columns are not looked at.
     """
-    source = vectors.select(vectors[name(id_column)].alias("__id"), vectors[name(vector)].cast("array<double>").alias("__v"))
-    fit = usable("__v") & F.exists("__v", lambda v: v != 0) & F.col("__id").isNotNull()
+    source = vectors.select(vectors[name(id_column)].alias("id"), vectors[name(vector)].cast("array<double>").alias("v"))
+    fit = usable("v") & F.exists("v", lambda v: v != 0) & F.col("id").isNotNull()
     good = source.where(fit)
-    classes = saved(good.groupBy("__v").agg(F.min("__id").alias("rep"), F.count("*").alias("n")))
+    classes = saved(good.groupBy("v").agg(F.min("id").alias("rep"), F.count("*").alias("n")))
 
     def start():
         def make(vectors_, reps, ns):
-            out: list[list] = [[] for _ in range(6)]
+            out: list[list] = [[] for _ in range(5)]
             by: dict[int, list[int]] = {}
             for k, v in enumerate(vectors_):
                 by.setdefault(len(v), []).append(k)
@@ -109,17 +109,17 @@ def similar_vectors(vectors: DataFrame, id_column: str = "vec_id", vector: str =
                 x = np.array([vectors_[k] for k in rows], dtype=float)
                 edges = block_edges(dimension, blocks)
                 turned = unit_rows(x) @ rotation(dimension, seed)
-                packed = pack(x)
-                for b in range(len(edges) - 1):
-                    width = np.sqrt(2 * (1 - cosine) * (edges[b + 1] - edges[b]) / dimension) + 1e-6
-                    for k, cell, body in zip(rows, np.floor(turned[:, edges[b]] / width).astype(int).tolist(), packed, strict=True):
-                        for values, v in zip(out, (dimension, b, cell, reps[k], ns[k], body), strict=True):
-                            values.append(v)
+                widths = np.sqrt(2 * (1 - cosine) * np.diff(edges) / dimension) + 1e-6
+                cells = np.floor(turned[:, edges[:-1]] / widths).astype(int).tolist()
+                for k, own, body in zip(rows, cells, pack(x), strict=True):
+                    for values, v in zip(out, (dimension, own, reps[k], ns[k], body), strict=True):
+                        values.append(v)
             return out
 
         return make
 
-    placed = flat_slices(classes.select("__v", "rep", "n"), {"dimension": "int", "block": "int", "cell": "int", "rep": "bigint", "n": "bigint", "vector": "binary"}, start)
+    turned = saved(flat_slices(classes.select("v", "rep", "n"), {"dimension": "int", "cells": "array<int>", "rep": "bigint", "n": "bigint", "vector": "binary"}, start))
+    placed = turned.select("dimension", "rep", "n", "vector", F.posexplode("cells").alias("block", "cell"))
     # Cells of a block are at most 2 / width + 2, so that this table is bounded for each dimension.
     sizes = saved(placed.groupBy("dimension", "block", "cell").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles")))
     below = sizes.select("dimension", "block", (F.col("cell") + 1).alias("cell"), F.col("tiles").alias("below"))
@@ -144,10 +144,10 @@ def similar_vectors(vectors: DataFrame, id_column: str = "vec_id", vector: str =
     counts = found.where("b is null").groupBy("a").agg(F.sum("n").alias("links"))
     components = connected_components(found.where("b is not null").select("a", "b"))
     result = classes.join(counts, classes["rep"] == counts["a"], "left").join(components, classes["rep"] == components["node"], "left")
-    result = result.select("__v", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
-    joined = good.join(result, "__v").select("__id", "n_links", "component_id")
-    rest = source.where(~fit).select("__id", F.lit(0).cast("bigint").alias("n_links"), F.col("__id").alias("component_id"))
-    return joined.unionByName(rest).select(F.col("__id").alias(id_column), "n_links", "component_id", F.col("__id").eqNullSafe(F.col("component_id")).alias("kept"))
+    result = result.select("v", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
+    joined = good.join(result, "v").select("id", "n_links", "component_id")
+    rest = source.where(~fit).select("id", F.lit(0).cast("bigint").alias("n_links"), F.col("id").alias("component_id"))
+    return joined.unionByName(rest).select(F.col("id").alias(id_column), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def op9_subspace_pigeonhole(spark: SparkSession, sf_dir: str) -> DataFrame:
