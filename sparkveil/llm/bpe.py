@@ -11,7 +11,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import name, table
+from .common import Carried, name, table
 
 BATCH_CHARS, KEPT_PIECES, LONG_PIECE = 4_000_000, 200_000, 64
 DECODED_IDS = 200_000  # decoded at once
@@ -246,12 +246,13 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "t
     """keep columns of docs (all unless given), then token_ids array<int> and decoded binary, from whole texts.
 
     The driver reads the rank file, whose size is fixed, and broadcasts it. A null text encodes as the empty text: no
-    ids. Repeated rows are encoded alike. Columns of docs named token_ids or decoded are replaced.
+    ids. Repeated rows are encoded alike. Columns of docs named token_ids or decoded are replaced, others may have any name.
     """
     ranks = load_ranks(ranks_path)
     tables = docs.sparkSession.sparkContext.broadcast((ranks, pair_table(ranks)))
-    kept = [c for c in (docs.columns if keep is None else keep) if c not in ("token_ids", "decoded")]
-    source = docs.select(*(docs[name(c)] for c in kept), docs[name(text)].alias("__text"))
+    carried = Carried(docs, keep, ["token_ids", "decoded"])
+    kept = carried.inner
+    source = docs.select(*carried.columns, docs[name(text)].alias("text"))
     kinds = dict(source.dtypes)
 
     def offsets(counts: np.ndarray) -> pa.Array:
@@ -274,7 +275,8 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "t
                 yield pa.RecordBatch.from_arrays([*(part.column(k) for k in range(len(kept))), lists, decoded], names=[*kept, "token_ids", "decoded"])
                 i = j
 
-    return source.mapInArrow(task, ", ".join([*(f"{name(c)} {kinds[c]}" for c in kept), "token_ids array<int>", "decoded binary"]))
+    coded = source.mapInArrow(task, ", ".join([*(f"{name(c)} {kinds[c]}" for c in kept), "token_ids array<int>", "decoded binary"]))
+    return coded.select(*carried.back, "token_ids", "decoded")
 
 
 def digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:

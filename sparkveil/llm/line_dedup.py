@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest, xxh64_intdigest
 
-from .common import Carried, discard, flat_slices, map_slices, name, saved, table
+from .common import Carried, discard, flat_slices, map_slices, name, saved, split_join, table
 
 MEAN_LINES = 3  # a chunk ends where the rolling hash of two lines is a multiple of this
 MASK = (1 << 64) - 1
@@ -84,8 +84,9 @@ def remove_repeated_chunks(docs: DataFrame, text: str = "text", id_column: str =
     place = {"id": "bigint", "row": "bigint", "k": "int", "n": "int", "digest": "binary"}
     order = F.struct(F.col("id").isNull().alias("last"), "id", "row", "k")
     every = saved(flat_slices(slim, place, digests))
-    repeated = every.groupBy("digest").agg(F.count("*").alias("times"), F.min(order).alias("first")).where("times > 1").select("digest", "first")
-    again = every.join(repeated.hint("merge"), "digest").withColumn("is_first", order.eqNullSafe(F.col("first")))
+    total = every.count()
+    repeated = saved(every.groupBy("digest").agg(F.count("*").alias("n_all"), F.min(order).alias("first")).where("n_all > 1"))
+    again = split_join(every, repeated.withColumnRenamed("n_all", "n"), ["digest"], total).withColumn("is_first", order.eqNullSafe(F.col("first")))
     placed = again.groupBy("id", "row").agg(F.collect_set(F.struct("k", "n", "digest", "is_first")).alias("places"))
     found = saved(flat_slices(with_places(slim, placed, "places").where("places is not null").select("id", "row", "text", "places"), {**place, "is_first": "boolean", "body": "binary"}, bodies))
     discard(every)

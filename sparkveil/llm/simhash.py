@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 from xxhash import xxh3_128_digest, xxh64_intdigest
 
-from .common import connected_components, map_slices, name, saved, table
+from .common import Carried, connected_components, map_slices, name, saved, table
 
 BANDS, ROWS = 16, 4  # two sets of similarity 0.8 agree in no band once in 5,000 pairs, equal ones never
 
@@ -27,13 +27,13 @@ def fingerprint(text: str, shingle: int, seed: int) -> int:
 
 
 def fingerprints(docs: DataFrame, text: str = "text", keep: list[str] | None = None, shingle: int = 3, seed: int = 42) -> DataFrame:
-    """keep columns of docs (all unless given), then fingerprint bigint of the whole text."""
-    kept = [c for c in (docs.columns if keep is None else keep) if c != "fingerprint"]
+    """keep columns of docs (all unless given), then fingerprint bigint of the whole text; a null text counts as empty."""
+    carried = Carried(docs, keep, ["fingerprint"])
 
     def start():
         return lambda *columns: ([fingerprint(x or "", shingle, seed) for x in columns[-1]],)
 
-    return map_slices(docs.select(*(docs[name(c)] for c in kept), docs[name(text)].alias("__text")), {"fingerprint": "bigint"}, start, keep=kept)
+    return map_slices(docs.select(*carried.columns, docs[name(text)].alias("text")), {"fingerprint": "bigint"}, start, keep=carried.inner).select(*carried.back, "fingerprint")
 
 
 def ball_components(prints: DataFrame, column: str = "fingerprint") -> DataFrame:

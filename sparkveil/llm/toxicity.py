@@ -14,7 +14,7 @@ from xxhash import xxh64_intdigest
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import flat_slices, map_slices, name, saved, table
+from .common import Carried, flat_slices, map_slices, name, saved, table
 
 DECAY, SPAN, WIDTH, SIZE = 0.6, 6, 24, 32**3
 OFFSETS = [(a, b) for a, b in combinations(range(1, SPAN), 2)]
@@ -202,10 +202,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCUMENTS) -> d
     words nearly only in toxic documents are the positive examples, words of the others the negative ones. The driver
     gathers bounded lists of words with counts, and one value a sampled document; no text.
     """
-    chosen = labels.where("doc_id is not null and toxic is not null and crc32(cast(cast(doc_id as string) as binary)) % 5 <> 0").groupBy("doc_id").agg(F.max("toxic").alias("__label"))
+    chosen = labels.where("doc_id is not null and toxic is not null and crc32(cast(cast(doc_id as string) as binary)) % 5 <> 0").groupBy("doc_id").agg(F.max("toxic").alias("label"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    given = docs.select(F.col("__id").alias("doc_id"), "__text").join(F.broadcast(chosen), "doc_id").where("__text is not null")
-    given = map_slices(given.select(F.col("__label").cast("bigint").alias("label"), F.col("__text").alias("text")), {"least": "bigint", "most": "bigint"}, lambda: lambda _, text: zip(*map(extremes, text), strict=True))
+    given = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").where("text is not null")
+    given = map_slices(given.select(F.col("label").cast("bigint").alias("label"), "text"), {"least": "bigint", "most": "bigint"}, lambda: lambda _, text: zip(*map(extremes, text), strict=True))
     one = F.struct(F.xxhash64("text").alias("key"), "text", "least", "most").alias("one")
     for alike in ("least", "most"):
         given = given.groupBy("label", alike).agg(F.min(one).alias("one")).select("label", "one.text", "one.least", "one.most")
@@ -256,10 +256,11 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", id_co
 
     A null text scores as an empty one. Labels that are null, of unknown documents, or held out are not learned from; of
     several labels of a document the highest holds. Without toxic examples every score is the share of toxic labels.
-    Repeated rows score alike. Columns of docs named score or predicted are replaced.
+    Repeated rows score alike. Columns of docs named score or predicted
+    are replaced, others may have any name. Without rows there are none.
     """
-    kept = [c for c in (docs.columns if keep is None else keep) if c not in ("score", "predicted")]
-    model = docs.sparkSession.sparkContext.broadcast(fit(docs.select(docs[name(id_column)].alias("__id"), docs[name(text)].alias("__text")), labels, sample))
+    carried = Carried(docs, keep, ["score", "predicted"])
+    model = docs.sparkSession.sparkContext.broadcast(fit(docs.select(docs[name(id_column)].alias("doc_id"), docs[name(text)].alias("text")), labels, sample))
 
     def start():
         m = model.value
@@ -272,7 +273,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", id_co
 
         return make
 
-    return map_slices(docs.select(*(docs[name(c)] for c in kept), docs[name(text)].alias("__text")), {"score": "double", "predicted": "int"}, start, keep=kept)
+    scored = map_slices(docs.select(*carried.columns, docs[name(text)].alias("text")), {"score": "double", "predicted": "int"}, start, keep=carried.inner)
+    return scored.select(*carried.back, "score", "predicted")
 
 
 def op5_string_kernel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
