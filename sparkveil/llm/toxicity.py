@@ -194,10 +194,11 @@ def logistic(values: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, float]:
     return t[:-1] / scale, float(t[-1] - (t[:-1] * center / scale).sum())
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCUMENTS) -> dict:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCUMENTS, positive_words: int = POSITIVE_WORDS, negative_words: int = NEGATIVE_WORDS, landmarks_: int = LANDMARKS) -> dict:
     """The classifier, from labelled documents whose crc32 of the id, modulo 5, is not 0: at most sample of them.
 
-    Copies would repeat a label's mistakes, so one document counts for those that agree in the least or the largest hash
+    positive_words and negative_words bound the examples of the machine, landmarks_ its landmarks; they bound what the
+    driver gathers of the sample, and no document that is scored. Copies would repeat a label's mistakes, so one document counts for those that agree in the least or the largest hash
     of five words: the one with the least hash of its text, so that every run fits alike. A word stands for its sentences:
     words nearly only in toxic documents are the positive examples, words of the others the negative ones. The driver
     gathers bounded lists of words with counts, and one value a sampled document; no text.
@@ -213,7 +214,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCUMENTS) -> d
 
     def start():
         def make(label, text):
-            rows = [(w, y) for y, t in zip(label, text, strict=True) for w in set().union(*(words(s) for s in SENTENCE_END.split(t))) if len(w) <= 40]
+            rows = [(w, y) for y, t in zip(label, text, strict=True) for w in set().union(*(words(s) for s in SENTENCE_END.split(t)))]
             rows = {(p, y, k) for k, (w, y) in enumerate(rows) for p in forms(w)[-1:]}
             return [p for p, _, _ in rows], [y for _, y, _ in rows]
 
@@ -225,17 +226,17 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCUMENTS) -> d
     counts = saved(counts.where("n1 >= 2 or n0 >= 1"))
     rate1, rate0 = (F.col("n1") + 0.1) / (n1 + 1), (F.col("n0") + 0.1) / (n0 + 1)
     least = max(3, n1 // 200)
-    positive = counts.where((F.col("n1") >= least) & (rate1 / (rate1 + rate0) >= 0.97)).orderBy(F.desc("n1"), "word").limit(POSITIVE_WORDS).collect()
+    positive = counts.where((F.col("n1") >= least) & (rate1 / (rate1 + rate0) >= 0.97)).orderBy(F.desc("n1"), "word").limit(positive_words).collect()
     if not positive or not n0:
         return {"beta": None, "offset": float(np.log(prior / (1 - prior)))}
-    common = counts.where("n0 >= 1 and n1 <= n0").orderBy(F.desc("n0"), "word").limit(NEGATIVE_WORDS // 4).collect()
-    mixed = counts.where("n0 >= 1 and n1 <= n0").orderBy(F.xxhash64("word"), "word").limit(NEGATIVE_WORDS).collect()
+    common = counts.where("n0 >= 1 and n1 <= n0").orderBy(F.desc("n0"), "word").limit(negative_words // 4).collect()
+    mixed = counts.where("n0 >= 1 and n1 <= n0").orderBy(F.xxhash64("word"), "word").limit(negative_words).collect()
     negative = {r.word: r.n0 for r in [*common, *mixed]}
     examples = [r.word for r in positive] + list(negative)
     y = np.array([1.0] * len(positive) + [-1.0] * len(negative))
     weight = np.concatenate([x / x.sum() for x in (np.array([r.n1 for r in positive], float), np.log1p(np.array(list(negative.values()), float)))])
-    landmarks = spread([r.word for r in positive], np.array([r.n1 for r in positive], float), LANDMARKS // 2)
-    landmarks += [r.word for r in common[: LANDMARKS - len(landmarks)]]
+    landmarks = spread([r.word for r in positive], np.array([r.n1 for r in positive], float), landmarks_ // 2)
+    landmarks += [r.word for r in common[: landmarks_ - len(landmarks)]]
     dense = dense_features(landmarks)
     gram = kernel(landmarks, dense)
     values, vectors = np.linalg.eigh(gram + 1e-6 * np.eye(len(landmarks)))
