@@ -3,13 +3,16 @@
 from functools import partial
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 from xxhash import xxh3_128_digest, xxh64_intdigest
 
-from .common import Carried, connected_components, map_slices, name, saved, table
+from .common import HOT_SHARE, Carried, connected_components, map_slices, name, saved, split_join, table
 
+SMALL_BAND, TILE = 8, 128  # entries of a band that are joined; rows of a tile of larger ones
+PAIRS = 256  # compared with one copy of a set
 BANDS, ROWS = 16, 4  # two sets of similarity 0.8 agree in no band once in 5,000 pairs, equal ones never
 
 
@@ -82,13 +85,37 @@ def bands(hashes: np.ndarray, factors: np.ndarray, terms: np.ndarray) -> list[in
     return [int(np.uint64(xxh64_intdigest(least[k * ROWS : (k + 1) * ROWS].tobytes(), seed=k)).view(np.int64)) for k in range(BANDS)]
 
 
+def similar_in_tile(rows: pd.DataFrame, alone: bool, similarity: float) -> pd.DataFrame:
+    """Similar pairs, the larger (low, node) first, of a tile with itself or of two tiles with each other. Sets are compared
+    by products of their incidence, some columns at a time."""
+    rows = rows.drop_duplicates("node")
+    sets, size = [np.asarray(x, dtype=np.int64) for x in rows["set"]], rows["set"].map(len).to_numpy()
+    row, (hashes, column) = np.repeat(np.arange(len(sets)), size), np.unique(np.concatenate(sets), return_inverse=True)
+    order = np.argsort(column, kind="stable")
+    row, column, shared = row[order], column[order], np.zeros((len(sets), len(sets)))
+    for at in range(0, len(hashes), 8192):
+        lo, hi = np.searchsorted(column, [at, at + 8192])
+        some = np.zeros((len(sets), min(8192, len(hashes) - at)), dtype=np.float32)
+        some[row[lo:hi], column[lo:hi] - at] = 1
+        shared += some @ some.T
+    tile, names = rows["tile"].to_numpy(), list(zip(rows["low"].tolist(), map(bytes, rows["node"]), strict=True))
+    near = shared >= similarity * (size[:, None] + size[None, :] - shared)
+    near &= np.array([[a > b for b in names] for a in names])
+    if not alone:
+        near &= tile[:, None] != tile[None, :]
+    found = [(*names[i], *names[j]) for i, j in zip(*np.nonzero(near), strict=True)]
+    return pd.DataFrame(found, columns=["low", "node", "other_low", "other_node"])
+
+
 def removed_copies(docs: DataFrame, text: str = "text", id_column: str = "doc_id", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """(id, kept_id) of documents of which a smaller id is kept, the sets of whose runs of words have at least this Jaccard
     similarity to its own. No two kept ones that meet are as similar.
 
     At similarity 0.8 fingerprints differ in up to 14 of 64 bits on sf0.1, too many for balls: documents meet in bands of
-    least hashes instead, and each link is verified on the whole sets. Equal sets are one node. In each round the nodes of a
-    band are compared with its least; those similar to a kept one go. Once bands are small all pairs are compared.
+    least hashes instead, and each link is verified on the whole sets. Equal sets are one node. A root is a node that meets no
+    smaller one, and stays for certain. First each other node is compared with the least root that it meets, alone, which
+    clears large groups; while that clears many, with the roots of what is left. Then the nodes of a band are compared with
+    its least; those similar to a kept one go. Of what is left all in a band are compared; only similar pairs are put out.
     A null text counts as empty. Null ids are neither removed nor kept instead of others; repeated rows have equal results.
     """
     source = docs.where(docs[name(id_column)].isNotNull()).select(docs[name(id_column)].alias("id"), docs[name(text)].alias("text"))
@@ -104,20 +131,32 @@ def removed_copies(docs: DataFrame, text: str = "text", id_column: str = "doc_id
         return make
 
     def gather():
-        return lambda nodes, texts: ([shingles(t or "", shingle).view("<i8").tolist() for t in texts],)
+        def make(nodes, texts):
+            sets = [shingles(t or "", shingle) for t in texts]
+            return [xxh3_128_digest(x.tobytes()) for x in sets], [x.view("<i8").tolist() for x in sets]
+
+        return make
 
     signed = saved(map_slices(source, {"node": "binary", "bands": "array<bigint>"}, sign, keep=["id"]))
     classes = signed.groupBy("node").agg(F.min("id").alias("low"), F.min_by("bands", "id").alias("bands"))
     dealt = classes.select(F.struct("low", "node").alias("own"), F.posexplode("bands").alias("band", "key"))
     counted = dealt.withColumn("n", F.count("*").over(Window.partitionBy("band", "key"))).where("n > 1")
     entries = saved(counted.select("own", "band", "key"))
-    firsts = entries.select("own.low", "own.node").distinct()
-    texts = source.join(signed.select("id", "node").join(firsts, "node").where("id = low").select("id", "node").distinct().hint("merge"), "id").select("node", "text")
-    sets = saved(map_slices(texts, {"set": "array<bigint>"}, gather, keep=["node"]).dropDuplicates(["node"]))
+    firsts = entries.select(F.col("own.low").alias("id"), "own.node").distinct()
+    texts = source.join(firsts.hint("merge"), "id").select("node", "text")
+    # Rows of one id may differ in text: the one whose set it is counts.
+    sets = saved(map_slices(texts, {"digest": "binary", "set": "array<bigint>"}, gather, keep=["node"]).where("digest = node").drop("digest").dropDuplicates(["node"]))
 
     def verified(pairs: DataFrame) -> DataFrame:
+        """pairs (own, other) that are similar. Sets of nodes that many are compared with come in several copies, one for
+        PAIRS of them, so that no task has all."""
+        pairs = saved(pairs.select("own", "other", F.col("own.node").alias("a"), F.col("other.node").alias("b")))
+        many = F.broadcast(saved(pairs.groupBy("b").agg(F.ceil(F.count("*") / PAIRS).cast("int").alias("parts")).where(F.col("parts") > max(1.0, HOT_SHARE * pairs.count() / PAIRS))))
+        parts = F.coalesce("parts", F.lit(1))
         a, b = sets.select(F.col("node").alias("a"), F.col("set").alias("x")), sets.select(F.col("node").alias("b"), F.col("set").alias("y"))
-        both = pairs.withColumns({"a": F.col("own.node"), "b": F.col("other.node")}).join(a.hint("merge"), "a").join(b.hint("merge"), "b")
+        b = b.join(many, "b", "left").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts")
+        dealt = pairs.join(many, "b", "left").withColumn("part", F.pmod(F.xxhash64("a"), parts).cast("int")).drop("parts")
+        both = dealt.join(a.hint("merge"), "a").join(b.hint("merge"), ["b", "part"])
         common = F.size(F.array_intersect("x", "y"))
         return saved(both.where(common >= F.lit(similarity) * (F.size("x") + F.size("y") - common)).select("own", "other"))
 
@@ -125,25 +164,56 @@ def removed_copies(docs: DataFrame, text: str = "text", id_column: str = "doc_id
         """Links to nodes that no smaller one is linked with: those are kept."""
         return links.join(links.select(F.col("own").alias("other")).distinct(), "other", "left_anti")
 
+    def close(entries: DataFrame) -> DataFrame:
+        """Pairs of entries in one band that are similar. In bands of up to SMALL_BAND, which make few pairs an entry, they
+        are joined; larger ones are dealt in tiles, whose tasks compare the sets and put out similar pairs alone."""
+        sized = entries.withColumn("n", F.count("*").over(band))
+        small = sized.where(F.col("n") <= SMALL_BAND).select("band", "key", "own")
+        near = verified(small.join(small.withColumnRenamed("own", "other"), ["band", "key"]).where("own > other").select("own", "other").distinct())
+        tiles = F.ceil(F.col("n") / TILE).cast("int")
+        own = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
+        large = sized.where(F.col("n") > SMALL_BAND).select("band", "key", "own.low", "own.node", tiles.alias("tiles")).join(sets.hint("merge"), "node")
+        dealt = large.withColumn("tile", own).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+        dealt = dealt.select("band", "key", F.least("tile", "with").alias("i"), F.greatest("tile", "with").alias("j"), "tile", "low", "node", "set")
+        found = dealt.groupBy("band", "key", "i", "j").applyInPandas(lambda key, rows: similar_in_tile(rows, key[2] == key[3], similarity), "low bigint, node binary, other_low bigint, other_node binary")
+        links = found.distinct().select(F.struct("low", "node").alias("own"), F.struct(F.col("other_low").alias("low"), F.col("other_node").alias("node")).alias("other"))
+        return saved(near.unionByName(links).distinct())
+
     gone = []
+    band = Window.partitionBy("band", "key")
     while True:
-        sizes = entries.groupBy("band", "key").agg(F.count("*").alias("n")).agg(F.coalesce(F.sum(F.col("n") * (F.col("n") - 1)), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
-        if sizes[0] <= 4 * sizes[1]:
+        own_roots = entries.withColumn("least", F.min("own").over(band)).groupBy("own").agg(F.min(F.col("own") == F.col("least")).alias("root"))
+        met = F.min(F.struct("own", "root")).over(band)
+        asked = entries.join(own_roots, "own").withColumn("met", met).where("not root and met.root").groupBy("own").agg(F.min("met.own").alias("other"))
+        away = verified(asked)
+        nodes, cleared = entries.select("own").distinct().count(), away.count()
+        if cleared:
+            gone.append(away)
+            entries = saved(entries.join(away.select("own"), "own", "left_anti"))
+        if cleared * 20 <= nodes:
             break
-        least = F.min("own").over(Window.partitionBy("band", "key"))
-        links = verified(entries.withColumn("other", least).where("own <> other").select("own", "other").distinct())
+    # Each band's least is compared with all others of the band, then leaves it: what it is not similar to meets the next.
+    held = None
+    while True:
+        met = entries.withColumn("other", F.min("own").over(band))
+        links = verified(met.where("own <> other").select("own", "other").distinct())
+        links = links if held is None else links.unionByName(held)
         away = saved(settled(links).groupBy("own").agg(F.min("other").alias("other")))
-        if away.isEmpty():
-            break
+        nodes, cleared = entries.select("own").distinct().count(), away.count()
+        out = away.select("own")
+        held = saved(links.join(out, "own", "left_anti").join(out.withColumnRenamed("own", "other"), "other", "left_anti").select("own", "other"))
+        entries = saved(met.where("own <> other").drop("other").join(out, "own", "left_anti"))
         gone.append(away)
-        entries = saved(entries.join(away.select("own"), "own", "left_anti"))
-    links = verified(entries.join(entries.withColumnRenamed("own", "other"), ["band", "key"]).where("own > other").select("own", "other").distinct())
+        if cleared * 20 <= nodes:
+            break
+    links = saved(close(entries).unionByName(held).distinct())
     while not links.isEmpty():
         away = saved(settled(links).groupBy("own").agg(F.min("other").alias("other")))
         gone.append(away)
         out = away.select("own")
         links = saved(links.join(out, "own", "left_anti").join(out.withColumnRenamed("own", "other"), "other", "left_anti"))
-    same = signed.join(signed.groupBy("node").agg(F.min("id").alias("low")), "node").select("id", "node", "low")
+    lows = saved(signed.groupBy("node").agg(F.min("id").alias("low"), F.count("*").alias("n")))
+    same = split_join(signed.select("id", "node"), lows, ["node"], signed.count())
     if not gone:
         return same.where("id <> low").select(F.col("id").alias(id_column), F.col("low").alias("kept_id")).distinct()
     away = gone[0]
