@@ -170,7 +170,11 @@ def top_products(vectors: DataFrame, is_query: F.Column, k: int, id_column: str
     least = F.when((F.col("threshold") > 0) & (F.col("length") > 0), F.col("threshold") / F.col("length") * (1 - 1e-9)).otherwise(0.0)
     # Queries that need candidates of like length form a block, so that the least of a block prunes for all of it.
     known = known.withColumn("least", least).repartitionByRange(sum(-(-n // QUERIES) for n in query_rows.values()), "dimension", "least", "vec_id")
-    known = saved(known.withColumn("q", F.spark_partition_id()))
+    known = saved(known.withColumn("part", F.spark_partition_id()))
+    # Neighbouring ranges make up a block until it has QUERIES, however many ranges there are.
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = known.groupBy("part").agg(F.count("*").alias("n")).select("part", F.floor(F.coalesce(F.sum("n").over(before), F.lit(0)) / QUERIES).cast("int").alias("q"))
+    known = known.join(saved(ranges), "part").drop("part")
     reach = known.groupBy("dimension", "q").agg(F.min("least").alias("least"))  # lengths below cannot reach any query of the block
     # Which block needs which bucket is settled on one row each; only then are candidates sent.
     needs = saved(reach.join(buckets.select("dimension", "bucket", "longest"), "dimension").where("longest >= least").select("dimension", "bucket", "q"))
