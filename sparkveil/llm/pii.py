@@ -252,13 +252,13 @@ def added_spans(text: str, base: list[tuple[int, int, int]], model: dict) -> lis
 
 def find_pii(docs: DataFrame, text: str = "text", id_column: str = "doc_id", keep: list[str] | None = None) -> DataFrame:
     """keep columns of docs (all unless given), then n_email, n_ip, n_card, n_phone (of the patterns' spans), base (the
-    patterns' spans), spans (with those that the field adds, secrets among them) and n_added, the number of those. A span is
-    kind:start:end in code points, comma-joined by start, then kind.
+    patterns' spans), spans (with those that the field adds, secrets among them), n_added, the number of those, and n_spans,
+    the number of all. A span is kind:start:end in code points, comma-joined by start, then kind.
 
     A null or empty text has no spans. A null id is kept. Repeated rows get equal results; a text of any length is one
     graph. Without rows there are none. Columns of docs with the names of results are replaced, others may have any name.
     """
-    outputs = {**{f"n_{k}": "bigint" for k in KINDS}, "base": "string", "spans": "string", "n_added": "bigint"}
+    outputs = {**{f"n_{k}": "bigint" for k in KINDS}, "base": "string", "spans": "string", "n_added": "bigint", "n_spans": "bigint"}
     carried = Carried(docs, keep, list(outputs))
     model = docs.sparkSession.sparkContext.broadcast(learn(docs.select(docs[name(text)].alias("text"))))
 
@@ -274,7 +274,7 @@ def find_pii(docs: DataFrame, text: str = "text", id_column: str = "doc_id", kee
                 base = base_spans(x or "")
                 more = added_spans(x or "", base, model.value)
                 n = Counter(k for _, k, _ in base)
-                for values, v in zip(out, (*(n[k] for k in range(4)), put(base), put(sorted(base + more)), len(more)), strict=True):
+                for values, v in zip(out, (*(n[k] for k in range(4)), put(base), put(sorted(base + more)), len(more), len(base) + len(more)), strict=True):
                     values.append(v)
             return out
 
@@ -286,4 +286,4 @@ def find_pii(docs: DataFrame, text: str = "text", id_column: str = "doc_id", kee
 
 def op2_skip_chain_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_pii(table(spark, sf_dir, "documents"), keep=["doc_id"])
-    return found.select("doc_id", *(f"n_{k}" for k in KINDS), F.sha2("base", 256).alias("base_sha256"), "spans", "n_added")
+    return found.select("doc_id", *(f"n_{k}" for k in KINDS), F.sha2("base", 256).alias("base_sha256"), "spans", "n_added", "n_spans")

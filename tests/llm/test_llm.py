@@ -75,6 +75,7 @@ def test_bare_repeats_are_added(spark):
         secret = re.search("[0-9a-f]{20}", text or "")
         want = [f"phone:{bare.start()}:{bare.end()}"] if bare else [f"secret:{secret.start()}:{secret.end()}"] if secret else []
         assert [x for x in r.spans.split(",") if x and x not in r.base.split(",")] == want and r.n_added == len(want), text
+        assert r.n_spans == len([x for x in r.spans.split(",") if x]), text
 
 
 def test_long_spans_hide_no_label():
@@ -370,6 +371,7 @@ def test_personal_data_of_whole_texts(spark):
         spans = pii.base_spans(d.text)
         assert [out[d.doc_id][f"n_{k}"] for k in kinds] == [sum(s[1] == i for s in spans) for i in range(4)]
         assert out[d.doc_id].base_sha256 == hashlib.sha256(",".join(f"{kinds[k]}:{a}:{b}" for a, k, b in spans).encode()).hexdigest()
+        assert out[d.doc_id].n_spans == len(spans) + out[d.doc_id].n_added
 
 
 def five_words(text):
