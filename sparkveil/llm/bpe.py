@@ -252,8 +252,8 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "t
     tables = docs.sparkSession.sparkContext.broadcast((ranks, pair_table(ranks)))
     carried = Carried(docs, keep, ["token_ids", "decoded"])
     kept = carried.inner
-    source = docs.select(*carried.columns, docs[name(text)].alias("text"))
-    kinds = dict(source.dtypes)
+    source, given = carried.with_input(text)
+    kinds, at = dict(source.dtypes), source.columns.index(given)
 
     def offsets(counts: np.ndarray) -> pa.Array:
         return pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
@@ -261,14 +261,14 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "t
     def task(batches):
         coder = BytePairCoder(tables.value[0], pattern, tables.value[1])
         for batch in batches:
-            texts = batch.column(len(kept))
+            texts = batch.column(at)
             sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
             i = 0
             while i < batch.num_rows:  # as many rows as hold BATCH_CHARS bytes, one at least
                 past = sizes[i - 1] if i else 0
                 j = max(i + 1, int(np.searchsorted(sizes, past + BATCH_CHARS, side="right")))
                 part = batch.slice(i, j - i)
-                ids, counts = coder.encode([x or "" for x in part.column(len(kept)).to_pylist()])
+                ids, counts = coder.encode([x or "" for x in part.column(at).to_pylist()])
                 raw, lengths = coder.decode(ids, counts)
                 lists = pa.ListArray.from_arrays(offsets(counts), pa.array(ids))
                 decoded = pa.Array.from_buffers(pa.binary(), len(lengths), [None, offsets(lengths).buffers()[1], pa.py_buffer(raw.tobytes())])

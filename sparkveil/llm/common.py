@@ -59,14 +59,23 @@ class Carried:
         self.inner = [f"carried_{i}" for i in range(len(self.names))]
         self.columns = [df[name(c)].alias(k) for c, k in zip(self.names, self.inner, strict=True)]
         self.back = [F.col(k).alias(c) for c, k in zip(self.names, self.inner, strict=True)]
+        self.source = df
 
+    def with_input(self, column: str) -> tuple[DataFrame, str]:
+        """The carried columns with this column of df, and its name there: sent once, also where it is carried."""
+        if column in self.names:
+            return self.source.select(*self.columns), self.inner[self.names.index(column)]
+        return self.source.select(*self.columns, self.source[name(column)].alias("text")), "text"
 
-def map_slices(df: DataFrame, outputs: dict[str, str], start: Callable[[], Callable], keep: list[str] | None = None, rows: int = 256) -> DataFrame:
+
+def map_slices(df: DataFrame, outputs: dict[str, str], start: Callable[[], Callable], keep: list[str] | None = None, rows: int = 256, inputs: list[str] | None = None) -> DataFrame:
     """keep columns of df, then outputs (name to type), made in Arrow batches of a few rows.
 
-    start() runs once in a task and returns make(list, ...): a list of each column of df to a list of each output.
+    start() runs once in a task and returns make(list, ...): a list of each of the inputs, all columns of df unless given,
+    to a list of each output. Columns that are kept alone stay in Arrow.
     """
     source, kept = df.columns, list(df.columns if keep is None else keep)
+    asked = [source.index(c) for c in (source if inputs is None else inputs)]
     types = [ARROW[t] for t in outputs.values()]
     names = [*kept, *outputs]
     kinds = dict(df.dtypes)
@@ -78,7 +87,7 @@ def map_slices(df: DataFrame, outputs: dict[str, str], start: Callable[[], Calla
                 part = batch.slice(i, rows)
                 if not part.num_rows:
                     continue
-                made = make(*(part.column(k).to_pylist() for k in range(len(source))))
+                made = make(*(part.column(k).to_pylist() for k in asked))
                 yield pa.RecordBatch.from_arrays([*(part.column(source.index(c)) for c in kept), *(pa.array(v, type=t) for v, t in zip(made, types, strict=True))], names=names)
 
     ddl = ", ".join([*(f"{name(c)} {kinds[c]}" for c in kept), *(f"{name(c)} {t}" for c, t in outputs.items())])

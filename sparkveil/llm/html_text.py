@@ -251,11 +251,11 @@ def extract_text(pages: DataFrame, url: str = "url", html_column: str = "html",
 
     def extract():
         def make(*columns):
-            return ([text_at(page or "", path, away) for path, away, page in zip(*columns[-3:], strict=True)],)
+            return ([text_at(page or "", path, away) for path, away, page in zip(*columns, strict=True)],)
 
         return make
 
-    return map_slices(both, {"text": "string"}, extract, keep=carried.inner, rows=128).select(*carried.back, "text")
+    return map_slices(both, {"text": "string"}, extract, keep=carried.inner, rows=128, inputs=["path", "away", "html"]).select(*carried.back, "text")
 
 
 def op10_consensus_html(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -96,9 +96,9 @@ def remove_repeated_chunks(docs: DataFrame, text: str = "text", id_column: str =
     discard(found)
 
     def rebuild():
-        def make(*columns):
+        def make(source_texts, all_gone):
             texts, lines, removed = [], [], []
-            for t, gone_ in zip(columns[-2], columns[-1], strict=True):
+            for t, gone_ in zip(source_texts, all_gone, strict=True):
                 parts = [] if t is None else t.split("\n")
                 away = {k for g in gone_ or () for k in range(g["k"], g["k"] + g["n"])}
                 texts.append("\n".join(x for k, x in enumerate(parts) if k not in away) if away else t)
@@ -109,7 +109,7 @@ def remove_repeated_chunks(docs: DataFrame, text: str = "text", id_column: str =
         return make
 
     source = with_places(given, gone, "gone").select(*carried.inner, "text", "gone")
-    out = map_slices(source, {"new_text": "string", "n_lines": "bigint", "n_removed": "bigint"}, rebuild, keep=carried.inner)
+    out = map_slices(source, {"new_text": "string", "n_lines": "bigint", "n_removed": "bigint"}, rebuild, keep=carried.inner, inputs=["text", "gone"])
     new = {c: b for c, b in zip(carried.names, carried.back, strict=True)} | {text: F.col("new_text").alias(text)}
     return out.select(*(new[c] for c in docs.columns if c in new), *results)
 

@@ -268,9 +268,9 @@ def find_pii(docs: DataFrame, text: str = "text", id_column: str = "doc_id", kee
         def put(spans):
             return ",".join(f"{kinds[k]}:{a}:{b}" for a, k, b in spans)
 
-        def make(*columns):
+        def make(texts):
             out: list[list] = [[] for _ in outputs]
-            for x in columns[-1]:
+            for x in texts:
                 base = base_spans(x or "")
                 more = added_spans(x or "", base, model.value)
                 n = Counter(k for _, k, _ in base)
@@ -280,7 +280,8 @@ def find_pii(docs: DataFrame, text: str = "text", id_column: str = "doc_id", kee
 
         return make
 
-    found = map_slices(docs.select(*carried.columns, docs[name(text)].alias("text")), outputs, start, keep=carried.inner)
+    source, given = carried.with_input(text)
+    found = map_slices(source, outputs, start, keep=carried.inner, inputs=[given])
     return found.select(*carried.back, *outputs)
 
 

@@ -34,9 +34,10 @@ def fingerprints(docs: DataFrame, text: str = "text", keep: list[str] | None = N
     carried = Carried(docs, keep, ["fingerprint"])
 
     def start():
-        return lambda *columns: ([fingerprint(x or "", shingle, seed) for x in columns[-1]],)
+        return lambda texts: ([fingerprint(x or "", shingle, seed) for x in texts],)
 
-    return map_slices(docs.select(*carried.columns, docs[name(text)].alias("text")), {"fingerprint": "bigint"}, start, keep=carried.inner).select(*carried.back, "fingerprint")
+    source, given = carried.with_input(text)
+    return map_slices(source, {"fingerprint": "bigint"}, start, keep=carried.inner, inputs=[given]).select(*carried.back, "fingerprint")
 
 
 def ball_components(prints: DataFrame, column: str = "fingerprint") -> DataFrame:

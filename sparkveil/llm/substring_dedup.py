@@ -250,9 +250,9 @@ def remove_repeats(docs: DataFrame, text: str = "text", id_column: str = "doc_id
     joined = given.join(marks, ["id", "row"], "left").select(*carried.inner, "text", "marks")
 
     def rebuild():
-        def make(*columns):
+        def make(source_texts, all_marks):
             texts, sizes, gone = [], [], []
-            for t, marks_ in zip(columns[-2], columns[-1], strict=True):
+            for t, marks_ in zip(source_texts, all_marks, strict=True):
                 words = sorted_words(t or "")
                 sizes.append(len(words))
                 if marks_:
@@ -268,7 +268,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", id_column: str = "doc_id
 
         return make
 
-    return map_slices(joined, {"kept_text": "string", "n_words": "bigint", "n_removed": "bigint"}, rebuild, keep=carried.inner).select(*carried.back, *results)
+    return map_slices(joined, {"kept_text": "string", "n_words": "bigint", "n_removed": "bigint"}, rebuild, keep=carried.inner, inputs=["text", "marks"]).select(*carried.back, *results)
 
 
 def op3_suffix_automata(spark: SparkSession, sf_dir: str) -> DataFrame:

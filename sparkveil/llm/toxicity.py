@@ -267,14 +267,15 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", id_co
         m = model.value
         scorer = None if m["beta"] is None else Scorer(m["beta"], m["bias"])
 
-        def make(*columns):
-            values = scorer.texts([x or "" for x in columns[-1]]) @ m["slope"] if scorer else np.zeros(len(columns[-1]))
+        def make(texts):
+            values = scorer.texts([x or "" for x in texts]) @ m["slope"] if scorer else np.zeros(len(texts))
             scores = (1 / (1 + np.exp(-np.clip(values + m["offset"], -40, 40)))).tolist()
             return scores, [int(s >= 0.5) for s in scores]
 
         return make
 
-    scored = map_slices(docs.select(*carried.columns, docs[name(text)].alias("text")), {"score": "double", "predicted": "int"}, start, keep=carried.inner)
+    source, given = carried.with_input(text)
+    scored = map_slices(source, {"score": "double", "predicted": "int"}, start, keep=carried.inner, inputs=[given])
     return scored.select(*carried.back, "score", "predicted")
 
 
