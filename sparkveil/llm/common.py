@@ -110,12 +110,12 @@ def flat_slices(df: DataFrame, outputs: dict[str, str], start: Callable[[], Call
 
 
 def split_join(rows: DataFrame, lookup: DataFrame, keys: list[str], total: int, how: str = "inner") -> DataFrame:
-    """rows joined with lookup (one row a key; n, how many rows have the key) on keys, which are not null; how is inner or
+    """rows joined with lookup (one row a key; n, how many rows have the key) on keys, which are not null; how is inner, left or
     left_semi. Keys that a HOT_SHARE of the total or more have, of which there can be 1 / HOT_SHARE at most, are broadcast,
     so that their rows stay where they are; the others are shuffled."""
     hot = F.col("n") >= max(2.0, HOT_SHARE * total)
     few, many = F.broadcast(lookup.where(hot).drop("n")), lookup.where(~hot).drop("n").hint("merge")
-    return rows.join(few, keys, how).unionByName(rows.join(F.broadcast(lookup.where(hot).select(*keys)), keys, "left_anti").join(many, keys, how))
+    return rows.join(few, keys, "inner" if how == "left" else how).unionByName(rows.join(F.broadcast(lookup.where(hot).select(*keys)), keys, "left_anti").join(many, keys, how))
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
