@@ -14,10 +14,19 @@ def clean(c) -> Column:
 
 
 def required(c: Column, message: str, key: Column | None = None) -> Column:
-    """c, where a null ends the job with the message and the row's key. It is a part of the plan, so that no second pass
-    over the rows is needed and none can leave unseen."""
-    text = F.lit(message) if key is None else F.concat(F.lit(f"{message}: "), F.coalesce(key.cast("string"), F.lit("null")))
-    return F.coalesce(c, F.raise_error(text))
+    """c, where a null ends the job with the message and the row's key. A query that does not read the column does not
+    see this: holds, as a filter, is seen by all."""
+    return F.coalesce(c, F.raise_error(_told(message, key)))
+
+
+def _told(message: str, key: Column | None) -> Column:
+    return F.lit(message) if key is None else F.concat(F.lit(f"{message}: "), F.coalesce(key.cast("string"), F.lit("null")))
+
+
+def holds(condition: Column, message: str, key: Column | None = None) -> Column:
+    """A filter condition that lets every row pass, and ends the job with the message and the row's key where the condition
+    is not true. A filter is part of any query over the rows, whichever columns that reads or counts."""
+    return F.when(F.coalesce(condition, F.lit(False)), F.lit(True)).otherwise(F.raise_error(_told(message, key)).cast("boolean"))
 
 
 def real_null(c: Column) -> Column:

@@ -1,5 +1,7 @@
 """Stable pseudo identities: profiles, numbering, mapping tables and backfills."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,6 +44,13 @@ def refuse_nulls(df: DataFrame, columns: list[str]) -> None:
         raise ContractError(f"null values: {bad}")
 
 
+def guarded(df: DataFrame, columns: list[str], message: str, key: str | None = None) -> DataFrame:
+    """df, where a null in one of the columns ends the job, whatever is read of it."""
+    for c in columns:
+        df = df.where(X.holds(F.col(c).isNotNull(), f"{message} {c}", F.col(key) if key else None))
+    return df
+
+
 def with_customer_key(df: DataFrame) -> DataFrame:
     return df.withColumn("customer_hash_key", X.business_key(*IDENTITY))
 
@@ -49,14 +58,14 @@ def with_customer_key(df: DataFrame) -> DataFrame:
 def profile_customers(history: DataFrame) -> DataFrame:
     """One row a customer: the key and the cleaned values it is made of. A null identity value ends the job."""
     require_columns(history, IDENTITY)
-    named = history.select(*(X.required(X.clean(c), f"null in identity column {c}").alias(c) for c in IDENTITY))
+    named = guarded(history, IDENTITY, "null in identity column").select(*(X.clean(c).alias(c) for c in IDENTITY))
     return with_customer_key(named).select("customer_hash_key", *IDENTITY).distinct()
 
 
 def profile_products(history: DataFrame) -> DataFrame:
     """One row a SKU; of several descriptions or categories the least pair. A null in a product column ends the job."""
     require_columns(history, PRODUCT)
-    rows = history.select(*(X.required(X.clean(c) if c == "product_category" else X.strip(c), f"null in product column {c}", F.col("full_sku_code")).alias(c) for c in PRODUCT))
+    rows = guarded(history, PRODUCT, "null in product column", "full_sku_code").select(*((X.clean(c) if c == "product_category" else X.strip(c)).alias(c) for c in PRODUCT))
     return rows.groupBy("full_sku_code").agg(F.min(F.struct("product_description", "product_category", "first_half_sku_code", "unique_sku_code")).alias("v")).select("full_sku_code", "v.first_half_sku_code", "v.unique_sku_code", "v.product_description", "v.product_category")
 
 
@@ -96,16 +105,21 @@ def require_mapping(mapping: DataFrame, key: str, values: list[str]) -> None:
         raise ContractError(f"mapping by {key}: {row['rows']} rows, {row['keys']} keys, nulls: {nulls}")
 
 
+def two_ways(mapping: DataFrame, key: str, code: str) -> DataFrame:
+    """rule, value, least, most: keys with several codes and codes with several keys, by their least and greatest partner,
+    which combine before the shuffle whatever the size of a group. Nulls are no partners and no groups."""
+    out = None
+    for a, b, rule in ((key, code, f"{key} with several {code}"), (code, key, f"{code} with several {key}")):
+        found = mapping.where(F.col(a).isNotNull()).groupBy(F.col(a).alias("value")).agg(F.min(b).alias("least"), F.max(b).alias("most")).where("least <> most").select(F.lit(rule).alias("rule"), "value", "least", "most")
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
 def require_one_to_one(products: DataFrame) -> None:
-    """Refuses SKU tiers in which a key has two codes or a code two keys: then the counts of keys, of codes and of their
-    pairs differ. One aggregate for the three tiers."""
-    counts = {}
-    for t in TIERS:
-        key, code = f"{t}_sku_code", f"pseudo_{t}_sku_code"
-        counts |= {f"{t} keys": F.count_distinct(key), f"{t} codes": F.count_distinct(code), f"{t} pairs": F.count_distinct(key, code)}
-    row = products.agg(*(v.alias(k) for k, v in counts.items())).first().asDict()
-    if bad := {k: v for k, v in row.items() if v != row[k.split()[0] + " pairs"]}:
-        raise ContractError(f"SKU codes are not one-to-one: {bad} against {row}")
+    """Refuses SKU tiers in which a key has two codes or a code two keys."""
+    found = reduce(DataFrame.unionByName, [two_ways(products, f"{t}_sku_code", f"pseudo_{t}_sku_code") for t in TIERS])
+    if bad := found.limit(20).collect():
+        raise ContractError(f"SKU codes are not one-to-one: {[tuple(r) for r in bad]}")
 
 
 def map_customers(base: DataFrame, existing: DataFrame | None = None) -> DataFrame:
@@ -133,7 +147,7 @@ def map_products(base: DataFrame, categories: DataFrame, existing: DataFrame | N
     require_unique(categories, "product_category", "category lookup")
     new = base if existing is None else base.join(existing.select("full_sku_code"), "full_sku_code", "left_anti")
     known = categories.select("product_category", F.col("pseudo_category").alias("found"))
-    named = new.join(known, "product_category", "left").withColumn("pseudo_category", X.required(F.col("found"), "category without a pseudo category", F.col("product_category"))).drop("found")
+    named = new.join(known, "product_category", "left").where(X.holds(F.col("found").isNotNull(), "category without a pseudo category", F.col("product_category"))).withColumn("pseudo_category", F.col("found")).drop("found")
     ranked = numbered(named, ["product_description", "full_sku_code"], ["pseudo_category"])
     if existing is not None:
         ranked = ranked.join(last_numbers(existing, "pseudo_product_description", "pseudo_category"), "pseudo_category", "left")
@@ -181,8 +195,8 @@ def map_skus(products: DataFrame) -> DataFrame:
     for c in PRODUCT_MAPPING[7:]:
         if c not in products.columns:
             products = products.withColumn(c, F.lit(None).cast("string"))
-    checked = {c: X.required(X.real_null(F.col(c)), f"null in {c}", F.col("full_sku_code")) for c in ("full_sku_code", "first_half_sku_code", "unique_sku_code", "pseudo_category")}
-    products = materialized(products.withColumns(checked))
+    needed = ["full_sku_code", "first_half_sku_code", "unique_sku_code", "pseudo_category"]
+    products = materialized(guarded(products.withColumns({c: X.real_null(F.col(c)) for c in needed}), needed, "null in", "full_sku_code"))
     prefixes = sku_prefixes(products, known_prefixes(products)).withColumnRenamed("pseudo_category", "prefix_category")
     have, new = products.where("pseudo_full_sku_code IS NOT NULL"), products.where("pseudo_full_sku_code IS NULL")
     # Descriptions end in padded numbers, so that their numbers decide beyond the padding.
@@ -221,7 +235,7 @@ def backfill_products(found: DataFrame, products: DataFrame) -> DataFrame:
     state = unknown_state(products).first()
     if state["rows"] and state.prefixes != 1:
         raise ContractError(f"{UNKNOWN}: codes of {state['rows']} products have {state.prefixes} prefixes")
-    named = found.select(X.required(F.col("full_sku_code"), "null in full_sku_code").alias("full_sku_code"), *PRODUCT_MAPPING[1:4])
+    named = guarded(found, ["full_sku_code"], "null in").select(*PRODUCT_MAPPING[:4])
     new = named.groupBy("full_sku_code").agg(F.min(F.struct("product_description", "first_half_sku_code", "unique_sku_code")).alias("v"))
     new = new.select("full_sku_code", "v.*").join(products.select("full_sku_code"), "full_sku_code", "left_anti")
     text = F.concat(F.lit(f"{UNKNOWN} Product UC-"), X.zero_pad(F.col("seq") + F.lit(state.last), 3))

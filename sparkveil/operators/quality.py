@@ -2,12 +2,13 @@
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as X
 from ..plans.contracts import GATES, VALIDATED
-from .schema import ContractError, require_columns, require_rows
+from ..sources.tables import materialized
+from .schema import ContractError, require_columns, require_rows, unused
 
 PSEUDONYM = {"customer": ("customer_name", X.is_customer_pseudonym), "product": ("product_description", X.is_product_pseudonym), "sku": ("full_sku_code", X.is_sku_pseudonym)}
 
@@ -65,8 +66,21 @@ def duplicate_count(df: DataFrame) -> DataFrame:
     return df.groupBy("row_hash").agg(F.count("*").alias("n")).agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("duplicates"))
 
 
+HOT_SHARE = 0.001  # of the rows; keys with more are looked up where their rows are
+
+
 def duplicate_rows(df: DataFrame, key: str = "row_hash") -> DataFrame:
-    return df.withColumn("occurrences", F.count("*").over(Window.partitionBy(key))).where("occurrences > 1")
+    """Rows whose key occurs more than once, with occurrences; null keys are equal. Keys are counted first, which combines
+    before the shuffle. Those of a share of the rows, a thousand at most, are broadcast; only rows of the others move."""
+    own, n = unused(df, "repeated_key"), unused(df, "occurrences")
+    counts = materialized(df.groupBy(F.col(key).alias(own)).agg(F.count("*").alias(n)).where(F.col(n) > 1))
+    total = counts.agg(F.coalesce(F.sum(n), F.lit(0))).first()[0]
+    hot = F.col(n) >= max(2.0, HOT_SHARE * total)
+    few, many = F.broadcast(counts.where(hot)), counts.where(~hot).hint("merge")
+    same = lambda lookup: df[key].eqNullSafe(lookup[own])
+    rest = df.join(F.broadcast(counts.where(hot).select(own)), same(counts), "left_anti")
+    out = df.join(few, same(few)).unionByName(rest.join(many, rest[key].eqNullSafe(many[own])))
+    return out.drop(own).withColumnRenamed(n, "occurrences")
 
 
 def export_duplicates(df: DataFrame, path: str, key: str = "row_hash") -> DataFrame:
@@ -146,3 +160,9 @@ def unauthorized(facts: DataFrame, reports: DataFrame, key: str = "batch_id") ->
 def authorized(facts: DataFrame, reports: DataFrame, key: str = "batch_id") -> DataFrame:
     """Facts of batches whose own report passed."""
     return facts.join(reports.where(F.col("overall_status").isin("passed", "passed_with_warnings")).select(F.col("batch").alias(key)), key, "left_semi")
+
+
+def contradictory(reports: DataFrame) -> DataFrame:
+    """Batches of which one report passes and another does not."""
+    passes = F.coalesce(F.col("overall_status").isin("passed", "passed_with_warnings"), F.lit(False))
+    return reports.groupBy("batch").agg(F.min(passes).alias("worst"), F.max(passes).alias("best")).where("worst <> best").select("batch")

@@ -11,15 +11,20 @@ class ContractError(ValueError):
     """A table does not keep its contract."""
 
 
-def normalize_names(df: DataFrame, style: str = "ingest") -> DataFrame:
-    """style: ingest (blank, slash and dash to underscore), stage (blank alone), plain (strip and lower)."""
-    out = [c.strip().lower() for c in df.columns]
+def normalized(names: list[str], style: str = "ingest") -> list[str]:
+    """style: ingest (blank, slash and dash to underscore), stage (blank alone), plain (strip and lower). Names that become
+    one are refused."""
+    out = [c.strip().lower() for c in names]
     if style != "plain":
         out = [c.replace(" ", "_") for c in out]
     if style == "ingest":
         out = [c.replace("/", "_").replace("-", "_") for c in out]
     require_distinct(out)
-    return df.toDF(*out)
+    return out
+
+
+def normalize_names(df: DataFrame, style: str = "ingest") -> DataFrame:
+    return df.toDF(*normalized(df.columns, style))
 
 
 def require_distinct(names: list[str]) -> None:
@@ -70,6 +75,13 @@ def drift(columns: list[str], contract: dict[str, str], drops: list[str] = ()) -
     return [(c, "unknown") for c in columns if c not in known] + [(c, "missing") for c in contract if c not in columns]
 
 
+def drifted(df: DataFrame, contract: dict[str, str], drops: list[str] = ()) -> DataFrame:
+    """name, kind, rows: drift of a table, with how many rows it touches. Columns that ingestion adds count as known."""
+    found = drift([c for c in df.columns if c not in ("batch_id", "ingested_at")], {k: v for k, v in contract.items() if k not in ("batch_id", "ingested_at")}, drops)
+    each = F.array(*(F.struct(F.lit(c).alias("name"), F.lit(k).alias("kind")) for c, k in found)) if found else F.expr("cast(array() as array<struct<name:string,kind:string>>)")
+    return df.agg(F.count("*").alias("rows")).select("rows", F.explode(each).alias("x")).select("x.name", "x.kind", "rows")
+
+
 def standardize(df: DataFrame, contract: dict[str, str], run_time: str, drops: list[str] = (), extra: list[str] = ()) -> DataFrame:
     """df under the contract's names, deliberate drops gone; unknown columns are refused, missing ones warned of."""
     df = normalize_names(df, "plain")
@@ -79,3 +91,11 @@ def standardize(df: DataFrame, contract: dict[str, str], run_time: str, drops: l
     if missing := [c for c, kind in found if kind == "missing"]:
         warnings.warn(f"columns of the contract that the extract lacks: {missing}", stacklevel=2)
     return df.drop(*drops).withColumnsRenamed({k: v for k, v in contract.items() if k in df.columns}).withColumn("standardized_at", F.lit(run_time))
+
+
+def summary(df: DataFrame) -> DataFrame:
+    """rows, columns, name, type, filled: a row a column, from one aggregate."""
+    quoted = [c.replace("`", "``") for c in df.columns]
+    counts = df.agg(F.count("*").alias("rows"), *(F.count(f"`{c}`").alias(f"filled_{i}") for i, c in enumerate(quoted)))
+    each = [F.struct(F.lit(c).alias("name"), F.lit(t).alias("type"), F.col(f"filled_{i}").alias("filled")) for i, (c, t) in enumerate(df.dtypes)]
+    return counts.select("rows", F.lit(len(each)).cast("bigint").alias("columns"), F.explode(F.array(*each)).alias("x")).select("rows", "columns", "x.*")

@@ -1,6 +1,5 @@
 """Registered queries and their DuckDB SQL. Each reads the given tables whole; history and open orders share out all lines."""
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +10,7 @@ from ..operators import identity as I
 from ..operators import privacy as P
 from ..operators import quality as Q
 from ..operators import schema as S
+from ..sources import files as Z
 from ..sources import ingest as G
 from ..sources import tables as T
 from . import contracts as C
@@ -30,27 +30,39 @@ def inventory(spark, d) -> DataFrame:
     return S.standardize(D.raw_inventory(spark, d), C.INVENTORY, RUN_TIME, extra=["warehouse_code", "snapshot_date"])
 
 
-_published: dict[tuple[str, str, str], tuple[DataFrame, str]] = {}
+_made: dict[tuple[str, str, str], tuple[DataFrame, str]] = {}
 
 
-def published(name: str) -> Callable:
-    """A mapping is made once in an application for given tables; later queries read the written version, as the stages
-    of a run would. A version that was deleted meanwhile is made again."""
+def once(name: str) -> Callable:
+    """A table is made once in an application for given inputs, in a folder of its own; later queries read it as written,
+    as the stages of a run do. One that was deleted meanwhile is made again."""
 
-    def wrap(make: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def wrap(make: Callable[[SparkSession, str, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
         def read(spark: SparkSession, d: str) -> DataFrame:
             key = (spark.sparkContext.applicationId, d, name)
-            if key not in _published or not T.exists(spark, f"{_published[key][1]}/versions"):
-                root = f"{T.shared_folder(spark)}/mapping-{name}-{uuid.uuid4().hex}"
-                G.publish(make(spark, d), root, 0)
-                _published[key] = (G.current(spark, root), root)
-            return _published[key][0]
+            if key not in _made or not T.exists(spark, _made[key][1]):
+                folder = T.new_folder(spark, name)
+                _made[key] = (make(spark, d, folder), folder)
+            return _made[key][0]
 
         return read
 
     return wrap
 
 
+def published(name: str) -> Callable:
+    """once, for a mapping, as the first version in its folder."""
+
+    def wrap(make: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+        def version(spark: SparkSession, d: str, root: str) -> DataFrame:
+            G.publish(make(spark, d), root, 0)
+            return G.current(spark, root)
+
+        return once(f"mapping-{name}")(version)
+
+    return wrap
+
+
 @published("customers_first")
 def customers_first(spark, d) -> DataFrame:
     return I.map_customers(I.profile_customers(history(spark, d)))
@@ -96,31 +108,34 @@ def customers_all(spark, d) -> DataFrame:
     return I.backfill_customers(open_orders(spark, d), customers_first(spark, d))
 
 
-def history_out(spark, d) -> DataFrame:
-    return P.pseudonymize_orders(history(spark, d), skus_first(spark, d), customers_first(spark, d), RUN_TIME)
+@once("history-out")
+def history_out(spark, d, path) -> DataFrame:
+    return P.pseudonymize_orders(history(spark, d), skus_first(spark, d), customers_first(spark, d), RUN_TIME, path=path)
 
 
-def open_out(spark, d) -> DataFrame:
-    return P.pseudonymize_orders(open_orders(spark, d), products_open(spark, d), customers_all(spark, d), RUN_TIME, "open")
+@once("open-out")
+def open_out(spark, d, path) -> DataFrame:
+    return P.pseudonymize_orders(open_orders(spark, d), products_open(spark, d), customers_all(spark, d), RUN_TIME, "open", path)
 
 
-def inventory_out(spark, d) -> DataFrame:
-    return P.pseudonymize_inventory(inventory(spark, d), products_all(spark, d), RUN_TIME)
+@once("inventory-out")
+def inventory_out(spark, d, path) -> DataFrame:
+    return P.pseudonymize_inventory(inventory(spark, d), products_all(spark, d), RUN_TIME, path)
 
 
 flagship = history_out
 
 
 def schema_drift(spark, d) -> DataFrame:
-    raw = D.raw_open(spark, d)
-    rows = S.drift(raw.columns, C.HISTORY)
-    return raw.agg(F.count("*").alias("rows")).select("rows", F.explode(F.array(*(F.struct(F.lit(c).alias("name"), F.lit(k).alias("kind")) for c, k in rows))).alias("x")).select("x.name", "x.kind", "rows")
+    return S.drifted(D.raw_open(spark, d), C.HISTORY)
 
 
 def dataset_summary(spark, d) -> DataFrame:
-    df = history(spark, d)
-    counts = df.agg(F.count("*").alias("rows"), *(F.count(c).alias(c) for c in df.columns))
-    return counts.select("rows", F.explode(F.array(*(F.struct(F.lit(c).alias("name"), F.col(c).alias("filled")) for c in df.columns))).alias("x")).select("rows", F.lit(len(df.columns)).cast("bigint").alias("columns"), "x.name", "x.filled")
+    return S.summary(history(spark, d)).drop("type")
+
+
+def dataset_types(spark, d) -> DataFrame:
+    return S.summary(D.read(spark, d, "lineitem"))
 
 
 def _batches(spark, d) -> DataFrame:
@@ -276,18 +291,101 @@ def times(spark, d) -> DataFrame:
 
 def _dropped(spark, d, name: str, df: DataFrame) -> tuple[str, str]:
     """A drop folder with df as CSV files in a folder of that name, and the root of a store. Both are new."""
-    folder = f"{T.shared_folder(spark)}/drop-{uuid.uuid4().hex}"
+    folder = T.new_folder(spark, "drop")
     df.write.option("header", True).csv(f"{folder}/{name}")
-    return folder, f"{folder}-store"
+    return folder, T.new_folder(spark, "store")
+
+
+def _raw(df: DataFrame) -> DataFrame:
+    return df.drop("batch_id", "ingested_at")
 
 
 def ingested_history(spark, d) -> DataFrame:
     """The history dropped as CSV files, found, ingested and read as the latest committed batch."""
-    folder, root = _dropped(spark, d, "orH_1", D.raw_history(spark, d).drop("batch_id", "ingested_at"))
+    folder, root = _dropped(spark, d, "orH_1", _raw(D.raw_history(spark, d)))
     G.ingest(spark, "history", G.find_extract(spark, folder, "orH"), root, BATCH, RUN_TIME)
     return S.standardize(G.latest_batch(G.committed(spark, "history", root)), C.HISTORY, RUN_TIME)
 
 
+def extract_headers(spark, d) -> DataFrame:
+    """The history as files of one extract whose columns stand in two orders, with line feeds, commas and quotes in its
+    descriptions, each file read by its own header."""
+    raw = _raw(D.raw_history(spark, d))
+    n = F.col("ornum").cast("bigint") % 4
+    text = F.when(n == 0, F.concat("ordes1", F.lit('\n"two", lines'))).when(n == 1, F.concat(F.lit('"'), "ordes1", F.lit(',"'))).otherwise(F.col("ordes1"))
+    raw = raw.withColumn("ordes1", text)
+    folder, root = T.new_folder(spark, "drop"), T.new_folder(spark, "store")
+    for part, columns in ((raw.where(n < 3), raw.columns), (raw.where(n == 3), raw.columns[::-1])):
+        part.select(*columns).write.mode("append").option("header", True).option("escape", '"').csv(f"{folder}/orH_1")
+    G.ingest(spark, "history", f"{folder}/orH_1", root, BATCH, RUN_TIME)
+    return S.standardize(G.read_batch(spark, "history", root), C.HISTORY, RUN_TIME)
+
+
+def _two_batches(spark, d) -> str:
+    """A store of two batches of the history, of which the second has a column more and one less."""
+    raw = _raw(D.raw_history(spark, d))
+    folder, root = _dropped(spark, d, "orH_1", raw.where("orodt8 < '19960101'"))
+    raw.where("orodt8 >= '19960101'").drop("ordrte").withColumn("surprise", F.col("ornum")).write.option("header", True).csv(f"{folder}/orH_2")
+    for k in (1, 2):
+        G.ingest(spark, "history", f"{folder}/orH_{k}", root, f"2024010{k}_000000", RUN_TIME)
+    return root
+
+
+def batch_schemas(spark, d) -> DataFrame:
+    """What each batch holds of the columns that only one of them has."""
+    return G.committed(spark, "history", _two_batches(spark, d)).groupBy("batch_id").agg(F.count("*").alias("rows"), F.count("surprise").alias("surprises"), F.count("ordrte").alias("routes"))
+
+
+def late_drift(spark, d) -> DataFrame:
+    """Drift of the last batch by its own columns, with its rows."""
+    last = G.read_batch(spark, "history", _two_batches(spark, d))
+    return S.drifted(last, C.HISTORY)
+
+
+def reused_batch(spark, d) -> DataFrame:
+    """Another extract under a batch id in use is refused, and the rows of the batch stay."""
+    raw = _raw(D.raw_open(spark, d))
+    folder, root = _dropped(spark, d, "open_1", raw.where("ornum % 2 = 0"))
+    raw.where("ornum % 2 = 1").write.option("header", True).csv(f"{folder}/open_2")
+    G.ingest(spark, "open", f"{folder}/open_1", root, BATCH, RUN_TIME)
+    try:
+        G.ingest(spark, "open", f"{folder}/open_2", root, BATCH, RUN_TIME)
+        refused = False
+    except S.ContractError:
+        refused = True
+    return G.committed(spark, "open", root).groupBy("batch_id").agg(F.count("*").alias("rows"), F.min(F.col("ornum").cast("bigint") % 2).alias("least"), F.max(F.col("ornum").cast("bigint") % 2).alias("most")).withColumn("refused", F.lit(refused))
+
+
+def file_hashes(spark, d) -> DataFrame:
+    """Hash, size and header of files of customers' names, one file a region."""
+    rows = D.read(spark, d, "customer").join(D.read(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    folder = T.new_folder(spark, "drop")
+    for r in D.read(spark, d, "region").select("r_regionkey").collect():  # five
+        rows.where(F.col("n_regionkey") == r.r_regionkey).orderBy("c_custkey").select("c_name").coalesce(1).write.mode("append").text(folder)
+    return Z.scanned(spark, folder).select("source_file_hash", "bytes", F.element_at("header", 1).alias("first"))
+
+
+def mapping_versions(spark, d) -> DataFrame:
+    """Customers published after an earlier batch and again after all; a second publisher from the first version is
+    refused. The current version."""
+    facts, root = history(spark, d), T.new_folder(spark, "mapping")
+    early = I.map_customers(I.profile_customers(_early(facts)))
+    G.publish(early, root, 0)
+    G.publish(I.map_customers(I.profile_customers(facts), G.current(spark, root)), root, 1)
+    try:
+        G.publish(early, root, 1)
+    except S.ContractError:
+        return G.current(spark, root)
+    raise AssertionError("a stale publisher was not refused")
+
+
+def one_to_one_tiers(spark, d) -> DataFrame:
+    """Keys with several codes and codes with several keys in mappings that were broken by rule."""
+    customers, products = _broken(spark, d)
+    return I.two_ways(products, "first_half_sku_code", "pseudo_first_half_sku_code").unionByName(I.two_ways(customers, "customer_hash_key", "pseudo_customer_name"))
+
+
+
 def ingested_inventory(spark, d) -> DataFrame:
     """Two stock extracts, of which the second is ingested twice, by force; rows by snapshot."""
     stock = D.raw_inventory(spark, d).drop("warehouse_code", "snapshot_date")
@@ -300,8 +398,8 @@ def ingested_inventory(spark, d) -> DataFrame:
 
 def manifest_records(spark, d) -> DataFrame:
     """Rows and columns of each dataset as its manifest has them."""
-    folder, root = _dropped(spark, d, "open_1", D.raw_open(spark, d).drop("batch_id", "ingested_at"))
-    D.raw_history(spark, d).drop("batch_id", "ingested_at").write.option("header", True).csv(f"{folder}/orH_1")
+    folder, root = _dropped(spark, d, "open_1", _raw(D.raw_open(spark, d)))
+    _raw(D.raw_history(spark, d)).write.option("header", True).csv(f"{folder}/orH_1")
     for dataset, name in (("open", "open_1"), ("history", "orH_1")):
         G.ingest(spark, dataset, f"{folder}/{name}", root, BATCH, RUN_TIME)
     return G.read_manifest(spark, root).groupBy("dataset", "batch_id", "column_count").agg(F.sum("rows").alias("rows"))
@@ -313,24 +411,23 @@ def _by_year(out: DataFrame) -> DataFrame:
 
 def report_sink(spark, d) -> DataFrame:
     """The dirty history's report, written and read again."""
-    return Q.write_report(report("history", _dirty(spark, d), checks=True), f"{T.shared_folder(spark)}/reports-{uuid.uuid4().hex}", "history")
+    return Q.write_report(report("history", _dirty(spark, d), checks=True), T.new_folder(spark, "reports"), "history")
 
 
 def landed(spark, d) -> DataFrame:
-    """Batches by year with reports, landed as files; rows by batch as they arrived."""
+    """Batches by year with reports, landed by one commit, of which one is landed anew; rows by batch as they arrived."""
     out = _by_year(history_out(spark, d))
     reports = out.select(F.col("batch_id").alias("batch")).distinct().select("batch", F.lit("passed").alias("overall_status"))
-    target = f"{T.shared_folder(spark)}/land-{uuid.uuid4().hex}"
+    target = T.new_folder(spark, "land")
     G.land(out, reports, target, "history")
-    arrived = spark.read.schema(out.schema).parquet(f"{target}/landing/history")
+    G.land(out.where("batch_id = '19950101_000000'"), reports, target, "history")
+    arrived = G.landed(spark, target, "history", ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema))
     return arrived.groupBy("batch_id").agg(F.count("*").alias("rows"), F.count_distinct("row_hash").alias("hashes"))
 
 
 def whole_history(spark, d) -> DataFrame:
     """Pseudonymised history, written with its rows counted on the way; hashes that occur once and more often."""
-    products, customers = skus_first(spark, d), customers_first(spark, d)
-    out = P.written_whole(history(spark, d), lambda facts: P.pseudonymize_orders(facts, products, customers, RUN_TIME, counted=True), f"{T.shared_folder(spark)}/whole-{uuid.uuid4().hex}")
-    return out.groupBy("row_hash").agg(F.count("*").alias("n")).groupBy("n").agg(F.count("*").alias("hashes"))
+    return history_out(spark, d).groupBy("row_hash").agg(F.count("*").alias("n")).groupBy("n").agg(F.count("*").alias("hashes"))
 
 
 QUERIES = {
@@ -353,6 +450,14 @@ QUERIES = {
     "report_sink": report_sink,
     "landed": landed,
     "whole_history": whole_history,
+    "extract_headers": extract_headers,
+    "batch_schemas": batch_schemas,
+    "late_drift": late_drift,
+    "reused_batch": reused_batch,
+    "file_hashes": file_hashes,
+    "mapping_versions": mapping_versions,
+    "one_to_one_tiers": one_to_one_tiers,
+    "dataset_types": dataset_types,
     "standardize_history": history,
     "standardize_open": open_orders,
     "standardize_inventory": inventory,
@@ -556,6 +661,17 @@ _SELECT = {
     "report_sink": _report("dirty", C.GATES["history"]),
     "landed": "SELECT order_date[1:4] || '0101_000000' AS batch_id, count(*) AS rows, count(DISTINCT row_hash) AS hashes FROM ho GROUP BY 1",
     "whole_history": "SELECT n, count(*) AS hashes FROM (SELECT count(*) AS n FROM ho GROUP BY row_hash) GROUP BY n",
+    "extract_headers": """SELECT * REPLACE (CASE order_number::BIGINT % 4 WHEN 0 THEN product_description || chr(10) || '"two", lines' WHEN 1 THEN '"' || product_description || ',"' ELSE product_description END AS product_description) FROM h""",
+    "batch_schemas": "SELECT CASE WHEN order_date < '19960101' THEN '20240101_000000' ELSE '20240102_000000' END AS batch_id, count(*) AS rows, count(*) FILTER (order_date >= '19960101') AS surprises, count(*) FILTER (order_date < '19960101') AS routes FROM h GROUP BY 1",
+    "late_drift": "SELECT name, kind, (SELECT count(*) FROM h WHERE order_date >= '19960101') AS rows FROM (VALUES ('surprise', 'unknown'), ('ordrte', 'missing')) t(name, kind)",
+    "reused_batch": f"SELECT '{BATCH}' AS batch_id, count(*) AS rows, min(order_number::BIGINT % 2) AS least, max(order_number::BIGINT % 2) AS most, true AS refused FROM o WHERE order_number::BIGINT % 2 = 0",
+    "file_hashes": "SELECT md5(string_agg(c_name, chr(10) ORDER BY c_custkey) || chr(10)) AS source_file_hash, sum(len(c_name) + 1)::BIGINT AS bytes, min_by(c_name, c_custkey) AS first FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_regionkey",
+    "mapping_versions": f"SELECT {_CUST} FROM cmi",
+    "one_to_one_tiers": " UNION ALL ".join(
+        f"SELECT '{a} with several {b}' AS rule, {a} AS value, min({b}) AS least, max({b}) AS most FROM {t} WHERE {a} IS NOT NULL GROUP BY {a} HAVING min({b}) <> max({b})"
+        for t, k, p in (("p2", "first_half_sku_code", "pseudo_first_half_sku_code"), ("c2", "customer_hash_key", "pseudo_customer_name")) for a, b in ((k, p), (p, k))
+    ),
+    "dataset_types": "SELECT (SELECT count(*) FROM lineitem) AS rows, 11::BIGINT AS columns, name, type, filled FROM (" + " UNION ALL ".join(f"SELECT '{c}' AS name, '{t}' AS type, count({c}) AS filled FROM lineitem" for c, t in (("l_orderkey", "bigint"), ("l_partkey", "bigint"), ("l_suppkey", "bigint"), ("l_linenumber", "int"), ("l_quantity", "double"), ("l_extendedprice", "double"), ("l_discount", "double"), ("l_tax", "double"), ("l_returnflag", "string"), ("l_linestatus", "string"), ("l_shipdate", "timestamp_ntz"))) + ")",
     "standardize_history": "SELECT * FROM h",
     "standardize_open": "SELECT * FROM o",
     "standardize_inventory": "SELECT * EXCLUDE (first_half_sku_code, unique_sku_code, full_sku_code) FROM iv",

@@ -1,23 +1,31 @@
 """Extracts in, batches committed by manifest, mappings versioned, authorised landing."""
 
-import csv
 import time
 import uuid
+from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.quality import authorized, unauthorized
-from ..operators.schema import ContractError, normalize_names, require_distinct, require_rows
-from .tables import exists
+from ..operators.quality import authorized, contradictory, unauthorized
+from ..operators.schema import ContractError, require_rows
+from . import files
+from .ledger import Ledger
+from .tables import delete
 
-MANIFEST = "dataset string, batch_id string, source_file string, source_file_hash string, rows bigint, column_count int, column_names array<string>, ingested_at string, duration_seconds double"
+# stored_columns and data: the columns of the batch as stored, and its folder. Readers follow them.
+MANIFEST = "dataset string, batch_id string, source_file string, source_file_hash string, rows bigint, column_count int, column_names array<string>, ingested_at string, duration_seconds double, stored_columns array<string>, data string"
 WAREHOUSE = "305"  # the extract holds this warehouse alone
 
 
+def manifest(spark: SparkSession, root: str) -> Ledger:
+    return Ledger(spark, f"{root}/manifest", MANIFEST)
+
+
 def read_manifest(spark: SparkSession, root: str) -> DataFrame:
-    path = f"{root}/manifest"
-    return spark.read.schema(MANIFEST).parquet(path) if exists(spark, path) else spark.createDataFrame([], MANIFEST)
+    """A row a file, in the order of version."""
+    return manifest(spark, root).read()
 
 
 def extracts(spark: SparkSession, folder: str, prefix: str = "") -> DataFrame:
@@ -46,84 +54,126 @@ def snapshot_date(file_name: F.Column) -> F.Column:
     return F.when(F.try_to_timestamp(day, F.lit("yyyyMMdd")).isNotNull(), day)
 
 
-def file_hashes(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.format("binaryFile").load(path).where("length > 0").select("path", F.md5("content").alias("source_file_hash"))
-
-
-def new_files(hashes: DataFrame, manifest: DataFrame, dataset: str) -> DataFrame:
+def new_files(hashes: DataFrame, taken: DataFrame, dataset: str) -> DataFrame:
     """Files whose content this dataset has not taken in."""
-    return hashes.join(manifest.where(F.col("dataset") == dataset).select("source_file_hash"), "source_file_hash", "left_anti")
-
-
-def read_extract(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """CSV files with a header or Parquet files, all columns as text. A name that a CSV header holds twice is refused:
-    the reader would number such columns."""
-    if all(p.endswith(".parquet") for p in paths):
-        rows = spark.read.parquet(*paths)
-        return rows.select(*(F.col(f"`{c}`").cast("string").alias(c) for c in rows.columns))
-    head = F.substring_index(F.decode(F.substring("content", 1, 65536), "UTF-8"), "\n", 1)
-    for h in spark.read.format("binaryFile").load(paths).select(head.alias("head")).distinct().collect():  # as a rule one
-        require_distinct([c.strip().lower() for c in next(csv.reader([h.head]))])
-    return spark.read.option("header", True).csv(paths)
-
-
-def append_manifest(record: DataFrame, root: str) -> None:
-    record.coalesce(1).write.mode("append").parquet(f"{root}/manifest")
-
-
-def _commit(rows: DataFrame, hashes: DataFrame, dataset: str, batch_id: str, root: str, run_time: str, began: float) -> None:
-    """The manifest rows of a batch, one a file, with the file's own count."""
-    counts = rows.select(F.col("_metadata.file_path").alias("file")).groupBy("file").agg(F.count("*").alias("rows"))
-    same = F.regexp_replace(hashes["path"], "^file:/+", "/") == F.regexp_replace(counts["file"], "^file:/+", "/")
-    fixed = hashes.join(counts, same, "left")
-    record = fixed.select(F.lit(dataset).alias("dataset"), F.lit(batch_id).alias("batch_id"), F.col("path").alias("source_file"), "source_file_hash", F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows"), F.lit(len(rows.columns) + 2).alias("column_count"), F.array(*map(F.lit, rows.columns)).alias("column_names"), F.lit(run_time).alias("ingested_at"), F.lit(round(time.time() - began, 3)).alias("duration_seconds"))
-    append_manifest(record, root)
+    return hashes.join(taken.where(F.col("dataset") == dataset).select("source_file_hash"), "source_file_hash", "left_anti")
+
+
+def _uri(spark: SparkSession, path: str) -> str:
+    """A path as Spark writes it in its metadata, but for the slashes of file: URIs."""
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path).toUri().toString()
+
+
+def _commit(spark: SparkSession, rows: DataFrame, found: list, dataset: str, batch: str, key: str, root: str, run_time: str, began: float, check: Callable[[DataFrame], None]) -> None:
+    """rows in a folder of their own, then a manifest row a file, in one commit that makes the batch visible. Rows a file
+    are counted in what has been written. Whatever fails before leaves a folder that nothing names, which is deleted
+    where the failure can still be met."""
+    stored = [c for c in rows.columns if c != files.SOURCE]
+    if key in stored:
+        raise ContractError(f"the extract has a column {key} of its own")
+    place = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(batch)
+    data = f"{root}/{dataset}/{key}={place}/load={uuid.uuid4().hex}"
+    try:
+        rows.write.parquet(data)
+        plain = lambda c: F.regexp_replace(c, "^file:/+", "/")
+        counts = spark.read.schema(f"{files.SOURCE} string").parquet(data).groupBy(plain(F.col(files.SOURCE)).alias("place")).agg(F.count("*").alias("rows"))
+        known = spark.createDataFrame([(f.path, _uri(spark, f.path), f.source_file_hash, list(f.header)) for f in found], "source_file string, uri string, source_file_hash string, column_names array<string>")
+        record = known.withColumn("place", plain(F.col("uri"))).join(counts, "place", "left").select(
+            F.lit(dataset).alias("dataset"), F.lit(batch).alias("batch_id"), "source_file", "source_file_hash", F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows"), F.lit(len(stored) + 1).alias("column_count"),
+            "column_names", F.lit(run_time).alias("ingested_at"), F.lit(round(time.time() - began, 3)).alias("duration_seconds"), F.array(*map(F.lit, stored)).alias("stored_columns"), F.lit(data).alias("data"),
+        )
+        manifest(spark, root).append(record, check)
+    except Exception:
+        delete(spark, data)
+        raise
+
+
+def _refuse_batch(dataset: str, batch: str) -> Callable[[DataFrame], None]:
+    def check(taken: DataFrame) -> None:
+        if not taken.where((F.col("dataset") == dataset) & (F.col("batch_id") == batch)).isEmpty():
+            raise ContractError(f"{dataset} {batch} has been ingested")
+
+    return check
 
 
 def ingest(spark: SparkSession, dataset: str, path: str, root: str, batch_id: str, run_time: str, force: bool = False) -> DataFrame:
-    """The files of an extract as a batch: rows first, manifest rows last. A batch without manifest rows is not seen, so
-    that a failed run can be repeated. Of several files those are taken whose content this dataset has not taken in yet;
-    if that is none, the extract is refused. force takes all."""
+    """The files of an extract as a batch. Of several files those are taken whose content this dataset has not taken in
+    yet; if that is none, the extract is refused; force takes all. A batch id that is in use is always refused, also if
+    another run commits it, or the same content, while this one is at work."""
     began = time.time()
-    hashes = file_hashes(spark, path)
-    if not force:
-        hashes = new_files(hashes, read_manifest(spark, root), dataset)
-    found = [(r.path, r.source_file_hash) for r in hashes.collect()]  # one row a file of the extract
+    unused = _refuse_batch(dataset, batch_id)
+    taken = read_manifest(spark, root)
+    unused(taken)
+    hashes = files.scanned(spark, path)
+    found = (hashes if force else new_files(hashes, taken, dataset)).collect()  # one row a file of the extract
     if not found:
         raise ContractError(f"{path} has been ingested as {dataset}")
-    rows = read_extract(spark, [p for p, _ in found])
+    rows = files.read_files(spark, found).withColumn("ingested_at", F.lit(run_time))
     require_rows(rows, path)
-    out = normalize_names(rows).withColumn("ingested_at", F.lit(run_time))
-    out.write.mode("overwrite").parquet(f"{root}/{dataset}/batch_id={batch_id}")
-    _commit(rows, spark.createDataFrame(found, "path string, source_file_hash string"), dataset, batch_id, root, run_time, began)
+
+    def check(before: DataFrame) -> None:
+        unused(before)
+        if not force and not before.where((F.col("dataset") == dataset) & F.col("source_file_hash").isin([f.source_file_hash for f in found])).isEmpty():
+            raise ContractError(f"{path} has been ingested as {dataset} meanwhile")
+
+    _commit(spark, rows, found, dataset, batch_id, "batch_id", root, run_time, began, check)
     return committed(spark, dataset, root)
 
 
 def ingest_inventory(spark: SparkSession, path: str, root: str, run_time: str, force: bool = False) -> DataFrame:
     """A stock extract as the snapshot of the date in its name. A snapshot that is there already is refused; force
-    replaces it, that one alone."""
+    replaces it, that one alone: readers take the last one committed."""
     began = time.time()
     day = spark.range(1).select(snapshot_date(F.lit(path.rstrip("/").rsplit("/", 1)[-1])).alias("day")).first().day
     if day is None:
         raise ContractError(f"no date yyyyMMdd in the name of {path}")
-    before = read_manifest(spark, root).where((F.col("dataset") == "inventory") & (F.col("batch_id") == day))
-    if not force and not before.isEmpty():
-        raise ContractError(f"snapshot {day} has been ingested")
-    found = [(r.path, r.source_file_hash) for r in file_hashes(spark, path).collect()]
+    check = (lambda before: None) if force else _refuse_batch("inventory", day)
+    check(read_manifest(spark, root))
+    found = files.scanned(spark, path).collect()
     if not found:
         raise ContractError(f"{path} has no files")
-    rows = read_extract(spark, [p for p, _ in found])
+    rows = files.read_files(spark, found, "stage").withColumn("warehouse_code", F.lit(WAREHOUSE))
     require_rows(rows, path)
-    out = normalize_names(rows, "stage").withColumns({"warehouse_code": F.lit(WAREHOUSE), "snapshot_date": F.lit(day)})
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("snapshot_date").parquet(f"{root}/inventory")
-    _commit(rows, spark.createDataFrame(found, "path string, source_file_hash string"), "inventory", day, root, run_time, began)
+    _commit(spark, rows, found, "inventory", day, "snapshot_date", root, run_time, began, check)
     return committed(spark, "inventory", root, "snapshot_date")
 
 
+def batches(spark: SparkSession, dataset: str, root: str) -> DataFrame:
+    """batch_id, stored_columns, data of each batch as last committed."""
+    own = read_manifest(spark, root).where(F.col("dataset") == dataset)
+    return own.groupBy("batch_id").agg(F.max_by(F.struct("stored_columns", "data"), "version").alias("v")).select("batch_id", "v.*")
+
+
+def _read(spark: SparkSession, found: list, dataset: str, root: str, key: str) -> DataFrame:
+    """Batches by the schemas that the manifest has of them: those of one schema are read together, a column that a batch
+    lacks is null there."""
+    groups: dict[tuple, list[str]] = {}
+    for b in found:
+        groups.setdefault(tuple(b.stored_columns), []).append(b.data)
+    quoted = lambda c: "`" + c.replace("`", "``") + "`"
+    parts = []
+    for columns, folders in sorted(groups.items()):
+        schema = ", ".join([*(f"{quoted(c)} string" for c in columns), f"{quoted(key)} string", "load string"])
+        parts.append(spark.read.schema(schema).option("basePath", f"{root}/{dataset}").parquet(*folders).drop("load"))
+    if not parts:
+        return spark.createDataFrame([], f"{key} string")
+    whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return whole.select(key, *(whole[quoted(c)] for c in whole.columns if c != key))
+
+
 def committed(spark: SparkSession, dataset: str, root: str, key: str = "batch_id") -> DataFrame:
-    folder = f"{root}/{dataset}"
-    found = spark.read.option("basePath", folder).parquet(folder).withColumn(key, F.col(key).cast("string"))
-    return found.join(read_manifest(spark, root).where(F.col("dataset") == dataset).select(F.col("batch_id").alias(key)).distinct(), key, "left_semi")
+    """All committed batches, under all columns that any of them has."""
+    return _read(spark, batches(spark, dataset, root).collect(), dataset, root, key)  # one row a batch
+
+
+def read_batch(spark: SparkSession, dataset: str, root: str, batch: str | None = None, key: str = "batch_id") -> DataFrame:
+    """One batch, the last by name unless told, under its own columns: one that is new in it is there, one that only
+    other batches have is not."""
+    found = batches(spark, dataset, root)
+    wanted = found.agg(F.max_by(F.struct("*"), "batch_id").alias("b")).where("b IS NOT NULL").select("b.*") if batch is None else found.where(F.col("batch_id") == batch)
+    if not (own := wanted.collect()):
+        raise ContractError(f"{dataset} has no batch {batch or ''}")
+    return _read(spark, own, dataset, root, key)
 
 
 def latest_batch(df: DataFrame, key: str = "batch_id") -> DataFrame:
@@ -131,20 +181,23 @@ def latest_batch(df: DataFrame, key: str = "batch_id") -> DataFrame:
     return df.where(F.col(key) == df.agg(F.max(key)).scalar())
 
 
+VERSIONS = "folder string"
+
+
 def publish(mapping: DataFrame, root: str, base_version: int) -> int:
-    """mapping as version base_version + 1, in a folder of its own; a version published meanwhile is an error."""
-    spark, version = mapping.sparkSession, base_version + 1
-    versions = f"{root}/versions"
-    if exists(spark, versions) and spark.read.parquet(versions).agg(F.max("version")).first()[0] != base_version:
-        raise ContractError("the mapping has been published meanwhile")
-    folder = f"{root}/v={version}-{uuid.uuid4().hex}"
+    """mapping as version base_version + 1, in a folder of its own. Of two publishers from one base one is refused."""
+    folder = f"{root}/table-{uuid.uuid4().hex}"
+    spark = mapping.sparkSession
     mapping.write.parquet(folder)
-    spark.createDataFrame([(version, folder)], "version int, folder string").write.mode("append").parquet(versions)
-    return version
+    try:
+        return Ledger(spark, f"{root}/versions", VERSIONS).append(spark.createDataFrame([(folder,)], VERSIONS), expected=base_version)
+    except Exception:
+        delete(spark, folder)
+        raise
 
 
 def current(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(spark.read.parquet(f"{root}/versions").agg(F.max_by("folder", "version")).first()[0])
+    return spark.read.parquet(Ledger(spark, f"{root}/versions", VERSIONS).read().agg(F.max_by("folder", "version")).first()[0])
 
 
 def write_profiles(customers: DataFrame, products: DataFrame, categories: DataFrame, root: str) -> None:
@@ -153,12 +206,51 @@ def write_profiles(customers: DataFrame, products: DataFrame, categories: DataFr
         df.write.mode("overwrite").parquet(f"{root}/{name}")
 
 
-def land(facts: DataFrame, reports: DataFrame, destination: str, dataset: str, key: str = "batch_id") -> None:
-    """Facts and their reports under the destination, by batch. Refused as a whole if any batch lacks a report of its own
-    that authorises it; reports of other batches are not landed."""
+LANDED = "batch string, rows bigint, data string, report string"
+
+
+def land(facts: DataFrame, reports: DataFrame, destination: str, dataset: str, key: str = "batch_id") -> int:
+    """Facts and their reports under the destination, visible by one commit that names both. Refused as a whole if a batch
+    lacks a report of its own that authorises it, or has reports that disagree; reports of other batches are not landed.
+    A batch that is landed again replaces what it was."""
+    spark = facts.sparkSession
     require_rows(facts, dataset)
     if bad := [r[0] for r in unauthorized(facts, reports, key).limit(20).collect()]:
         raise ContractError(f"{dataset}: batches without an authorising report: {bad}")
     own = reports.join(facts.select(F.col(key).alias("batch")).distinct(), "batch", "left_semi")
-    for name, rows in (("landing", authorized(facts, reports, key)), ("quality_reports", own.withColumnRenamed("batch", key))):
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(f"{destination}/{name}/{dataset}")
+    if bad := [r[0] for r in contradictory(own).limit(20).collect()]:
+        raise ContractError(f"{dataset}: batches whose reports disagree: {bad}")
+    load = f"{destination}/{dataset}/load={uuid.uuid4().hex}"
+    data, report = f"{load}/facts", f"{load}/quality_reports"
+    try:
+        authorized(facts, reports, key).write.partitionBy(key).parquet(data)
+        own.write.parquet(report)
+        counts = spark.read.schema(f"{facts.schema[key].name} string").parquet(data).groupBy(F.col(key).alias("batch")).agg(F.count("*").alias("rows"))
+        return Ledger(spark, f"{destination}/{dataset}/landings", LANDED).append(counts.select("batch", "rows", F.lit(data).alias("data"), F.lit(report).alias("report")))
+    except Exception:
+        delete(spark, load)
+        raise
+
+
+def landings(spark: SparkSession, destination: str, dataset: str) -> DataFrame:
+    """batch, rows, data, report, version: each batch as last landed."""
+    rows = Ledger(spark, f"{destination}/{dataset}/landings", LANDED).read()
+    return rows.groupBy("batch").agg(F.max_by(F.struct("rows", "data", "report", "version"), "version").alias("v")).select("batch", "v.*")
+
+
+def _landed(spark: SparkSession, destination: str, dataset: str, folder: str, schema: str, batch: str) -> DataFrame:
+    """Rows of landed batches from the folders that their commits name; a batch that was landed anew is taken from the
+    last alone."""
+    by: dict[str, list[str]] = {}
+    for r in landings(spark, destination, dataset).collect():  # one row a batch
+        by.setdefault(r[folder], []).append(r.batch)
+    parts = [spark.read.schema(schema).parquet(path).where(F.col(batch).isin(names)) for path, names in sorted(by.items())]
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], schema)
+
+
+def landed(spark: SparkSession, destination: str, dataset: str, schema: str, key: str = "batch_id") -> DataFrame:
+    return _landed(spark, destination, dataset, "data", schema, key)
+
+
+def landed_reports(spark: SparkSession, destination: str, dataset: str, schema: str = "batch string, overall_status string") -> DataFrame:
+    return _landed(spark, destination, dataset, "report", schema, "batch")

@@ -32,18 +32,24 @@ def delete(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nobody has used; release deletes what is written there."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _written.append((spark.sparkContext.applicationId, path))
+    return path
+
+
 def materialized(df: DataFrame) -> DataFrame:
     """df as a table in the shared folder, read again. Mapping tables are used many times over; plans stay short and a
     lost executor loses nothing."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    path = new_folder(spark, "table")
     df.write.parquet(path)
-    _written.append((spark.sparkContext.applicationId, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
 def release(spark: SparkSession) -> int:
-    """Deletes the tables that this application has materialized; to be called once its results are written."""
+    """Deletes all that this application has written under new_folder; to be called once its results are written."""
     own = [x for x in _written if x[0] == spark.sparkContext.applicationId]
     for entry in own:
         delete(spark, entry[1])

@@ -8,7 +8,9 @@ from sparkveil.operators import schema as S
 from sparkveil.plans import contracts as C
 from sparkveil.plans import fixtures as D
 from sparkveil.plans import registry as R
+from sparkveil.sources import files as Z
 from sparkveil.sources import ingest as G
+from sparkveil.sources import ledger as L
 from sparkveil.sources import tables as T
 
 SF = "/root/testdata/sf0.001"
@@ -19,10 +21,10 @@ def rows(df):
     return sorted(tuple("-" if str(v) in ("None", "nan", "<NA>", "NaT") else str(v).removesuffix(".0") for v in r) for r in df[columns].to_numpy(dtype=object).tolist())
 
 
-@pytest.mark.parametrize("name", ["standardize_open", "schema_drift", "scalar_functions", "customer_mapping_incremental", "product_mapping_incremental", "backfill_products_inventory", "pseudonymize_history", "mapping_violations", "quality_checks_dirty", "land_authorized", "numbering_keeps_nulls", "ingested_history", "ingested_inventory", "manifest_records", "whole_history", "landed", "report_sink", "validated_dirty"])
+@pytest.mark.parametrize("name", ["standardize_open", "schema_drift", "scalar_functions", "customer_mapping_incremental", "product_mapping_incremental", "backfill_products_inventory", "pseudonymize_history", "mapping_violations", "quality_checks_dirty", "land_authorized", "numbering_keeps_nulls", "ingested_history", "ingested_inventory", "manifest_records", "whole_history", "landed", "report_sink", "validated_dirty", "extract_headers", "batch_schemas", "late_drift", "reused_batch", "file_hashes", "mapping_versions", "one_to_one_tiers", "dataset_types", "duplicate_rows_export"])
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in ("part", "orders", "customer", "lineitem", "supplier"):
+    for t in ("part", "orders", "customer", "lineitem", "supplier", "nation", "region"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     got, want = R.QUERIES[name](spark, SF).toPandas(), con.sql(R.ORACLE_SQL[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
@@ -98,9 +100,58 @@ def test_publish_detects_a_stale_base(spark, tmp_path):
     customers = tables(spark)[0]
     assert G.publish(customers, root, 0) == 1
     assert G.publish(G.current(spark, root), root, 1) == 2
-    with pytest.raises(S.ContractError):
-        G.publish(customers, root, 1)
+    for base in (1, 0, 7):
+        with pytest.raises(S.ContractError):
+            G.publish(customers, root, base)
     assert G.current(spark, root).count() == 2
+    assert len(list((tmp_path / "mapping").glob("table-*"))) == 2  # those refused have left nothing
+
+
+def test_of_two_publishers_from_one_base_one_is_refused(spark, tmp_path, monkeypatch):
+    """The second looks at the versions before the first has published, and claims its number after."""
+    root, customers = f"file://{tmp_path}/mapping", tables(spark)[0]
+    G.publish(customers, root, 0)
+    claim, between = L.Ledger._claim, []
+
+    def late(self, kind, version, folder):
+        if not between:
+            between.append(1)
+            G.publish(customers.limit(1), root, 1)
+        return claim(self, kind, version, folder)
+
+    monkeypatch.setattr(L.Ledger, "_claim", late)
+    with pytest.raises(L.StaleError):
+        G.publish(customers, root, 1)
+    assert between and G.current(spark, root).count() == 1
+
+
+def test_a_ledger_is_read_from_few_files(spark, tmp_path):
+    ledger = L.Ledger(spark, f"file://{tmp_path}/l", "k bigint", every=4)
+    assert ledger.read().count() == 0 and ledger.version() == 0
+    for i in range(11):
+        assert ledger.append(spark.createDataFrame([(i,)], "k bigint")) == i + 1
+    assert sorted((r.k, r.version) for r in ledger.read().collect()) == [(i, i + 1) for i in range(11)]
+    base, folder, later = ledger._recent()
+    assert base == 8 and len(later) == 3 and ledger.version() == 11
+    # Bases alone are needed for what they hold.
+    for f in (tmp_path / "l" / "commits").iterdir():
+        if int(f.name.lstrip(".").split(".")[0]) <= 8:
+            f.unlink()
+    assert ledger.read().count() == 11
+    with pytest.raises(S.ContractError, match="no"):
+        ledger.append(spark.createDataFrame([(99,)], "k bigint"), check=lambda before: (_ for _ in ()).throw(S.ContractError("no")))
+    assert ledger.read().count() == 11 and len(list((tmp_path / "l").glob("rows-*"))) == 11
+
+
+def test_a_writer_that_dies_while_it_claims_is_not_seen(spark, tmp_path):
+    ledger = L.Ledger(spark, f"file://{tmp_path}/l", "k bigint")
+    ledger.append(spark.createDataFrame([(1,)], "k bigint"))
+    (tmp_path / "l" / "commits" / f"{2:020d}").write_text("file:/half-a-na")
+    assert ledger.read().count() == 1 and ledger.version() == 1
+    with pytest.raises(L.StaleError, match="abandon"):
+        ledger.append(spark.createDataFrame([(2,)], "k bigint"))
+    assert ledger.abandon() and not ledger.abandon()
+    assert ledger.append(spark.createDataFrame([(2,)], "k bigint")) == 2
 
 
 def test_history_and_open_orders_share_out_all_lines(spark):
@@ -175,13 +226,13 @@ def test_prefixes_of_two_categories_end_the_job(spark):
 def test_facts_are_guarded(spark, tmp_path):
     facts, (customers, products) = orders(spark), tables(spark)
     customers = customers.unionByName(I.map_customers(I.profile_customers(facts)).withColumn("pseudo_customer_name", D.F.lit("Customer CUST-000009")))
-    make = lambda f, p=products, c=customers: P.pseudonymize_orders(f, p, c, "t", counted=True)
-    assert P.pseudonymize_orders(facts, products, customers, "t").first().customer_name == "Customer CUST-000009"
-    assert P.written_whole(facts, make, f"file://{tmp_path}/a").count() == 1
+    make = lambda f, p=products, c=customers: P.pseudonymize_orders(f, p, c, "t")
+    assert P.pseudonymize_orders(facts, products, customers, "t", path=f"file://{tmp_path}/a").first().customer_name == "Customer CUST-000009"
+    assert spark.read.parquet(f"file://{tmp_path}/a").count() == 1
     with pytest.raises(Exception, match="no pseudonym for full_sku_code: F0-U0"):
-        make(orders(spark, full_sku_code="F0-U0")).collect()
+        make(orders(spark, full_sku_code="F0-U0"))
     with pytest.raises(Exception, match="no pseudonym for customer_hash_key"):
-        make(orders(spark, customer_name="Z")).collect()
+        make(orders(spark, customer_name="Z"))
     with pytest.raises(S.ContractError, match="more than once"):
         make(facts, products.unionByName(products))
     with pytest.raises(S.ContractError, match="more than once"):
@@ -189,17 +240,54 @@ def test_facts_are_guarded(spark, tmp_path):
     with pytest.raises(S.ContractError, match="missing columns"):
         make(facts.drop("unique_sku_code"))
     with pytest.raises(S.ContractError, match="no rows"):
-        P.pseudonymize_orders(facts.limit(0), products, customers, "t")
+        make(facts.limit(0))
+    twice = lambda f: P._orders(f, products, customers, "t", "history").withColumn("twice", D.F.explode(D.F.array(D.F.lit(1), D.F.lit(2))))
     with pytest.raises(S.ContractError, match="1 facts became 2 rows"):
-        P.written_whole(facts, lambda f: make(f).withColumn("twice", D.F.explode(D.F.array(D.F.lit(1), D.F.lit(2)))), f"file://{tmp_path}/b")
-    with pytest.raises(S.ContractError, match="no rows"):
-        P.written_whole(facts.limit(0), make, f"file://{tmp_path}/c")
+        P.written_whole(facts, twice, f"file://{tmp_path}/b")
+    assert not (tmp_path / "b").exists()
     with pytest.raises(S.ContractError, match="identifier columns left"):
         S.require_absent(facts, ["created_by_user"])
     with pytest.warns(UserWarning, match="row hash without columns"):
         P.hashed(facts.drop("order_date"), C.HISTORY_HASH, "t")
 
 
+def test_guards_hold_under_any_projection(spark):
+    """Whatever is read of facts that lack a pseudonym, and if they are only counted."""
+    customers, products = tables(spark)
+    facts = orders(spark)
+    known = customers.unionByName(I.map_customers(I.profile_customers(facts)))
+    stock = spark.createDataFrame([("7", "d", "305", "20240101")], "raw_sku string, product_description string, warehouse_code string, snapshot_date string")
+    for made, message in ((P._orders(facts, products, customers, "t", "history"), "no pseudonym for customer_hash_key"), (P._orders(facts, products.limit(0), known, "t", "open"), "no pseudonym for full_sku_code"), (P._stock(stock, products, "t"), "no pseudonym for full_sku_code"), (P._stock(stock.withColumn("raw_sku", D.F.lit(None).cast("string")), products, "t"), "null in raw_sku")):
+        for read in (lambda df: df.count(), *((lambda df, c=c: df.select(c).collect()) for c in made.columns[::5])):
+            with pytest.raises(Exception, match=message):
+                read(made)
+    for made, message in ((I.profile_customers(orders(spark, customer_name=None)), "null in identity column"), (I.profile_products(orders(spark, product_category=None)), "null in product column")):
+        for read in (lambda df: df.count(), lambda df: df.select(df.columns[0]).collect()):
+            with pytest.raises(Exception, match=message):
+                read(made)
+
+
+def test_an_overcount_is_not_believed(spark, tmp_path, monkeypatch):
+    """A stage that ran twice may observe more rows than there are; facts are counted before a difference counts."""
+
+    class Twice:
+        def __init__(self):
+            self.get = {"rows": 2}
+
+    class Facts:
+        def __init__(self, df):
+            self.df, self.sparkSession = df, df.sparkSession
+
+        def observe(self, *_):
+            return self.df
+
+        def count(self):
+            return self.df.count()
+
+    monkeypatch.setattr(P, "Observation", Twice)
+    assert P.written_whole(Facts(spark.range(1)), lambda f: f, f"file://{tmp_path}/o").count() == 1
+
+
 def test_stock_of_several_snapshots_is_refused(spark):
     stock = spark.createDataFrame([("101", "d", "305", day) for day in ("20240101", "20240102")], "raw_sku string, product_description string, warehouse_code string, snapshot_date string")
     with pytest.raises(S.ContractError, match="not one value"):
@@ -239,20 +327,126 @@ def test_only_new_files_of_a_folder_are_taken(spark, tmp_path):
     assert records["a.csv"].rows == 2 and records["b.csv"].rows == 1 and records["b.csv"].column_names == ["Order Number", "Name"] and records["b.csv"].duration_seconds > 0
 
 
-def test_a_failed_commit_leaves_nothing_and_can_be_repeated(spark, tmp_path, monkeypatch):
-    source, root = tmp_path / "x.csv", f"file://{tmp_path}/store"
-    source.write_text("a,b\n1,2\n")
-    G.ingest(spark, "open", f"file://{source}", root, "b0", "t")
-
-    def fails(record, root):
+@pytest.mark.parametrize("step", ["data", "rows", "claim"])
+@pytest.mark.parametrize("stock", [False, True])
+def test_a_failed_commit_leaves_nothing_and_can_be_repeated(spark, tmp_path, monkeypatch, step, stock):
+    """Whichever step fails, the old rows are read as before, nothing is left, and the run can be repeated."""
+    root, key = f"file://{tmp_path}/store", "snapshot_date" if stock else "batch_id"
+    name, old = ("stock_20240101.csv", tmp_path / "old" / "stock_20240101.csv") if stock else ("x.csv", tmp_path / "old" / "x.csv")
+    old.parent.mkdir()
+    old.write_text("a,b\n1,2\n")
+    (tmp_path / name).write_text("a,b\n3,4\n5,6\n")
+    first, second = f"file://{old}", f"file://{tmp_path}/{name}"
+    take = (lambda p, b: G.ingest_inventory(spark, p, root, "t", force=True)) if stock else (lambda p, b: G.ingest(spark, "history", p, root, b, "t"))
+    dataset = "inventory" if stock else "history"
+    take(first, "b0")
+    if stock:
+        with pytest.raises(S.ContractError, match="has been ingested"):
+            G.ingest_inventory(spark, second, root, "t")
+    before = rows(G.committed(spark, dataset, root, key).toPandas())
+
+    def fails(*_, **__):
         raise OSError("disk full")
 
     with monkeypatch.context() as m:
-        m.setattr(G, "append_manifest", fails)
-        with pytest.raises(OSError):
-            G.ingest(spark, "history", f"file://{source}", root, "b1", "t")
-    assert G.committed(spark, "history", root).count() == 0
-    assert G.ingest(spark, "history", f"file://{source}", root, "b1", "t").count() == 1
+        if step == "data":
+            m.setattr(G.files, "read_files", lambda *a: spark.range(3).select(D.F.raise_error(D.F.lit("disk full")).alias("a"), D.F.lit("x").alias(Z.SOURCE)))
+            m.setattr(G, "require_rows", lambda *a: None)
+        else:
+            m.setattr(L.Ledger, "append" if step == "rows" else "_claim", fails)
+        with pytest.raises(Exception, match="disk full"):
+            take(second, "b1")
+    assert rows(G.committed(spark, dataset, root, key).toPandas()) == before and G.read_manifest(spark, root).count() == 1
+    assert len(list((tmp_path / "store" / dataset).glob("*/load=*"))) == 1 and len(list((tmp_path / "store" / "manifest").glob("rows-*"))) == 1
+    out = take(second, "b1")
+    assert out.count() == (2 if stock else 3)
+
+
+def test_a_used_batch_id_is_refused(spark, tmp_path):
+    root = f"file://{tmp_path}/store"
+    for n in (1, 2):
+        (tmp_path / f"{n}.csv").write_text(f"a,b\n{n},2\n")
+    G.ingest(spark, "history", f"file://{tmp_path}/1.csv", root, "b/ 1", "t")
+    for force in (False, True):
+        with pytest.raises(S.ContractError, match="has been ingested"):
+            G.ingest(spark, "history", f"file://{tmp_path}/2.csv", root, "b/ 1", "t", force)
+    assert [(r.batch_id, r.a) for r in G.committed(spark, "history", root).collect()] == [("b/ 1", "1")]
+    assert G.ingest(spark, "open", f"file://{tmp_path}/2.csv", root, "b/ 1", "t").first().a == "2"
+
+
+def test_content_that_another_run_takes_in_meanwhile_is_refused(spark, tmp_path, monkeypatch):
+    root, source = f"file://{tmp_path}/store", f"file://{tmp_path}/1.csv"
+    (tmp_path / "1.csv").write_text("a,b\n1,2\n")
+    claim, between = L.Ledger._claim, []
+
+    def late(self, kind, version, folder):
+        if not between:
+            between.append(1)
+            G.ingest(spark, "history", source, root, "b2", "t")
+        return claim(self, kind, version, folder)
+
+    monkeypatch.setattr(L.Ledger, "_claim", late)
+    with pytest.raises(S.ContractError, match="meanwhile"):
+        G.ingest(spark, "history", source, root, "b1", "t")
+    assert [r.batch_id for r in G.committed(spark, "history", root).collect()] == ["b2"]
+
+
+def test_files_are_read_by_their_own_headers(spark, tmp_path):
+    folder, root = tmp_path / "drop", f"file://{tmp_path}/store"
+    folder.mkdir()
+    (folder / "a.csv").write_text("x,y\n1,2\n")
+    (folder / "b.csv").write_text("Y,x ,Z z\n20,10,30\n")
+    (folder / "c.csv").write_bytes('\ufeffx,"y\n1"\r\n"two\nlines","a ""quoted"" word, and more"\r\n,\r\n" blank ",""\r\n'.encode())
+    (folder / "d d.csv").write_text("x,y\n")
+    (folder / "_SUCCESS").write_text("x")
+    out = G.ingest(spark, "history", f"file://{folder}", root, "b1", "t")
+    assert out.columns == ["batch_id", "x", "y", "y\n1", "z_z", "ingested_at"] or set(out.columns) == {"batch_id", "x", "y", "y\n1", "z_z", "ingested_at"}
+    found = {tuple(r[c] for c in ("x", "y", "y\n1", "z_z")) for r in out.collect()}
+    assert found == {("1", "2", None, None), ("10", "20", None, "30"), ("two\nlines", None, 'a "quoted" word, and more', None), (None, None, None, None), (" blank ", None, None, None)}
+    kept = {r.source_file.rsplit("/", 1)[-1]: (r.rows, r.column_names) for r in G.read_manifest(spark, root).collect()}
+    assert kept == {"a.csv": (1, ["x", "y"]), "b.csv": (1, ["Y", "x ", "Z z"]), "c.csv": (3, ["x", "y\n1"]), "d d.csv": (0, ["x", "y"])}
+
+
+@pytest.mark.parametrize("body", ["x,y\n1\n", "x,y\n1,2,3\n", 'x,y\n1,"2"\n3\n'])
+def test_ragged_rows_end_the_job(spark, tmp_path, body):
+    (tmp_path / "x.csv").write_text(body)
+    with pytest.raises(Exception, match="(?i)malformed"):
+        G.ingest(spark, "history", f"file://{tmp_path}/x.csv", f"file://{tmp_path}/s", "b", "t")
+    assert G.committed(spark, "history", f"file://{tmp_path}/s").count() == 0
+
+
+def test_a_column_of_a_later_batch_is_refused(spark, tmp_path):
+    raw, root = D.raw_open(spark, SF).drop("batch_id", "ingested_at"), f"file://{tmp_path}/store"
+    for n, df in (("1", raw.limit(5)), ("2", raw.limit(7).withColumn("surprise", D.F.lit("1")))):
+        df.coalesce(1).write.option("header", True).csv(f"file://{tmp_path}/{n}")
+        G.ingest(spark, "open", f"file://{tmp_path}/{n}", root, f"b{n}", "t")
+    standard = lambda df: S.standardize(df, C.OPEN_ORDERS, "t", C.OPEN_DROPS)
+    for df in (G.read_batch(spark, "open", root), G.latest_batch(G.committed(spark, "open", root))):
+        with pytest.raises(S.ContractError, match="surprise"):
+            standard(df)
+    assert standard(G.read_batch(spark, "open", root, "b1")).count() == 5
+    with pytest.raises(S.ContractError, match="no batch"):
+        G.read_batch(spark, "open", root, "b3")
+
+
+def test_files_of_any_size_are_hashed_in_chunks(tmp_path, monkeypatch):
+    """Over 2 GB, sparse; no read asks for more than a chunk."""
+    import hashlib
+
+    big = tmp_path / "big.csv"
+    with big.open("wb") as f:
+        f.write(b"x,y\n")
+        f.truncate((1 << 31) + 12345)
+    want = hashlib.md5(b"x,y\n")
+    left = (1 << 31) + 12345 - 4
+    while left:
+        want.update(bytes(min(left, 1 << 24)))
+        left -= min(left, 1 << 24)
+    import resource
+
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    assert Z.scanned_file(f"file://{big}")[:4] == (want.hexdigest(), (1 << 31) + 12345, ["x", "y"], False)
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 300_000  # KB
 
 
 def test_headers_with_a_name_twice_and_parquet_extracts(spark, tmp_path):
@@ -286,15 +480,61 @@ def test_stock_snapshots(spark, tmp_path):
         G.find_extract(spark, f"file://{drop}", "orH")
 
 
+LAND = "batch_id string, v string"
+
+
 def test_landing_refuses_batches_without_their_report(spark, tmp_path):
-    facts = spark.createDataFrame([("b1", "x"), ("b2", "y")], "batch_id string, v string")
+    facts = spark.createDataFrame([("b1", "x"), ("b2", "y")], LAND)
     report = lambda *rows_: spark.createDataFrame(rows_, "batch string, overall_status string")
-    for reports in (report(("b1", "passed"), ("b2", "failed")), report(("b1", "passed"))):
-        with pytest.raises(S.ContractError, match="b2"):
+    for reports, message in ((report(("b1", "passed"), ("b2", "failed")), "without"), (report(("b1", "passed")), "without"), (report(("b1", "passed"), ("b2", "passed"), ("b2", "failed")), "disagree"), (report(("b1", "passed"), ("b2", "passed"), ("b2", None)), "disagree")):
+        with pytest.raises(S.ContractError, match=f"{message}.*b2"):
             G.land(facts, reports, f"file://{tmp_path}/bad", "history")
-    G.land(facts, report(("b1", "passed"), ("b2", "passed_with_warnings"), ("b3", "failed")), f"file://{tmp_path}/good", "history")
-    assert {r.batch_id for r in spark.read.parquet(f"file://{tmp_path}/good/quality_reports/history").collect()} == {"b1", "b2"}
-    assert spark.read.parquet(f"file://{tmp_path}/good/landing/history").count() == 2
+    assert G.landings(spark, f"file://{tmp_path}/bad", "history").count() == 0
+    target = f"file://{tmp_path}/good"
+    G.land(facts, report(("b1", "passed"), ("b2", "passed_with_warnings"), ("b3", "failed")), target, "history")
+    assert {r.batch for r in G.landed_reports(spark, target, "history").collect()} == {"b1", "b2"}
+    assert G.landed(spark, target, "history", LAND).count() == 2
+    # Landed anew, a batch replaces what it was, and its report.
+    again = spark.createDataFrame([("b2", "z"), ("b2", "zz")], LAND)
+    G.land(again, report(("b2", "passed")), target, "history")
+    assert sorted((r.batch_id, r.v) for r in G.landed(spark, target, "history", LAND).collect()) == [("b1", "x"), ("b2", "z"), ("b2", "zz")]
+    assert sorted((r.batch, r.overall_status) for r in G.landed_reports(spark, target, "history").collect()) == [("b1", "passed"), ("b2", "passed")]
+
+
+@pytest.mark.parametrize("step", ["report", "commit"])
+def test_a_failed_landing_shows_nothing(spark, tmp_path, monkeypatch, step):
+    facts, target = spark.createDataFrame([("b1", "x")], LAND), f"file://{tmp_path}/t"
+    good = spark.createDataFrame([("b1", "passed")], "batch string, overall_status string")
+    G.land(facts, good, target, "history")
+
+    def fails(*_, **__):
+        raise OSError("disk full")
+
+    with monkeypatch.context() as m:
+        if step == "commit":
+            m.setattr(L.Ledger, "append", fails)
+        else:
+            m.setattr(G, "authorized", lambda *a: fails())
+        with pytest.raises(OSError):
+            G.land(facts.withColumn("v", D.F.lit("new")), good, target, "history")
+    assert [r.v for r in G.landed(spark, target, "history", LAND).collect()] == ["x"] and len(list((tmp_path / "t" / "history").glob("load=*"))) == 1
+
+
+def test_rows_of_repeated_keys_come_without_a_window(spark):
+    keys = [None] * 500 + ["hot"] * 900 + [f"k{i // 2}" for i in range(400)] + [f"single{i}" for i in range(300)]
+    df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "row_hash string, occurrences int").withColumnRenamed("occurrences", "id")
+    out = Q.duplicate_rows(df)
+    got = {(r.row_hash, r.id, r.occurrences) for r in out.collect()}
+    assert got == {(k, i, keys.count(k)) for i, k in enumerate(keys) if keys.count(k) > 1} and out.count() == 1800
+    assert "Window" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_one_to_one_checks_copy_no_rows(spark):
+    plan = I.two_ways(tables(spark)[1], "full_sku_code", "pseudo_full_sku_code")._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan
+    with pytest.raises(S.ContractError, match="not one-to-one"):
+        I.require_one_to_one(tables(spark, products=[PRODUCTS[0], (*PRODUCTS[1][:9], "SKU-BASE-00001")])[1])
+    I.require_one_to_one(tables(spark)[1])
 
 
 def test_profiles_are_written(spark, tmp_path):
@@ -311,6 +551,12 @@ def test_tables_of_an_application_can_be_released(spark):
         df.count()
 
 
+def test_summary_tells_types(spark):
+    df = spark.createDataFrame([(1, None, "a"), (2, 0.5, None)], "a bigint, `b.c` double, c string")
+    assert [tuple(r) for r in S.summary(df).collect()] == [(2, 3, "a", "bigint", 2), (2, 3, "b.c", "double", 1), (2, 3, "c", "string", 1)]
+    assert S.drifted(df.limit(0), {"a": "a", "b.c": "b", "c": "c"}).count() == 0
+
+
 def test_fixed_lists_stand_as_written():
     # Counted and read off by hand, apart from the lists that queries and SQL share.
     assert [len(x) for x in (C.HISTORY, C.OPEN_ORDERS, C.INVENTORY, C.HISTORY_HASH, C.OPEN_HASH, C.INVENTORY_HASH)] == [27, 25, 11, 23, 22, 11]
