@@ -17,17 +17,20 @@ from .common import Carried, flat_slices, map_slices, name, table
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS, "secret")  # of the field
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-EMAIL_CHAR = re.compile(r"[A-Za-z0-9._%+@-]+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+LOCAL_CHARS = re.compile(r"[A-Za-z0-9._%+-]*+")  # of an address before its @, read backwards
+DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
+# A match that could begin within a run of digits could begin at the run, so that only its begin is tried.
+IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
 NOT_DIGIT = re.compile(r"[^0-9]+")
 LETTER = re.compile(r"[A-Za-z]")
 QUAD = r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}"
-# Runs around an @; opaque runs; long numbers and numbers with dots, each by itself; other numbers with their separators.
-MENTION = re.compile(rf"""[^\s<>()\[\]{{}},;:"'@]*@[^\s<>()\[\]{{}},;:"']*|[A-Za-z0-9_+/-]*[A-Za-z_/][A-Za-z0-9_+/-]*+|[0-9]{{13,}}|(?<![0-9.]){QUAD}(?![0-9])|[+(]?[0-9](?:(?![ ().-]{{0,3}}(?:[0-9]{{13}}|{QUAD}(?![0-9])))[ ().-]{{0,3}}[0-9])*+""")
+AROUND = re.compile(r"""[^\s<>()\[\]{},;:"']++""")  # what stands around an @
+# Opaque runs, tried where they can begin; long numbers and numbers with dots, each by itself; other numbers with their
+# separators.
+MENTION = re.compile(rf"""(?<![A-Za-z_+/-])(?=[0-9+-]*+[A-Za-z_/])[A-Za-z0-9_+/-]++|[0-9]{{13,}}|(?<![0-9.]){QUAD}(?![0-9])|[+(]?[0-9](?:(?![ ().-]{{0,3}}(?:[0-9]{{13}}|{QUAD}(?![0-9])))[ ().-]{{0,3}}[0-9])*+""")
 WORD = re.compile(r"[^\W\d_]+")
 NAMED = re.compile(r"(?:token|secret|key|passw\w*|pwd|auth\w*|credential\w*)[\"']?\s{0,3}[:=]\s{0,3}[\"']?\Z", re.I)
 LEAST_NUMBER, LEAST_OPAQUE, BUCKETS = 7, 20, 1024  # characters of a number, of an opaque run; hashed words
@@ -47,21 +50,29 @@ def card_ok(digits: str) -> bool:
 
 
 def ip_ok(text: str) -> bool:
-    return all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in text.split("."))
+    return all(len(p) <= 3 and int(p or "0") <= 255 for p in (x.lstrip("0") for x in text.split(".")))
+
+
+def addresses(text: str) -> list[tuple[int, int, int]]:
+    """(start, 0, end) of the addresses. Each @ is widened once to both sides: what can stand before it lies behind the @
+    and the address before."""
+    found, done, at = [], 0, text.find("@")
+    while at >= 0:
+        domain = DOMAIN.match(text, at + 1)
+        if domain:
+            own = LOCAL_CHARS.match(text[done:at][::-1]).end()
+            if own:
+                found.append((at - own, 0, domain.end()))
+                done = domain.end()
+        done = max(done, at + 1)
+        at = text.find("@", done)
+    return found
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind number, end) of the patterns' matches that pass their tests, leftmost without overlap in each kind."""
     found = []
-    if "@" in text:
-        done, at = 0, text.find("@")
-        while at >= 0:  # a match lies within one run of address characters
-            first = at
-            while first > done and EMAIL_CHAR.fullmatch(text[first - 1]):
-                first -= 1
-            last = EMAIL_CHAR.match(text, at).end()
-            found += [(m.start(), 0, m.end()) for m in EMAIL.finditer(text, first, last)]
-            done, at = last, text.find("@", last)
+    found += addresses(text)
     if not DIGIT.search(text):
         return found
     if "." in text:
@@ -76,11 +87,16 @@ def mentions(text: str) -> list[tuple[int, int]]:
     """Spans that may be personal data, in order and apart from each other."""
     if not DIGIT.search(text) and "@" not in text:
         return []
-    found = []
-    for m in MENTION.finditer(text):
-        size, own = m.end() - m.start(), m[0]
-        if "@" in own or (size >= LEAST_NUMBER if not LETTER.search(own) else size >= LEAST_OPAQUE and DIGIT.search(own)):
-            found.append((m.start(), m.end()))
+    runs = [m.span() for m in AROUND.finditer(text) if "@" in m[0]] if "@" in text else []
+    found, at = [], 0
+    for a, b in [*runs, (len(text), len(text))]:
+        for m in MENTION.finditer(text, at, a):
+            size, own = m.end() - m.start(), m[0]
+            if size >= LEAST_NUMBER if not LETTER.search(own) else size >= LEAST_OPAQUE and DIGIT.search(own):
+                found.append(m.span())
+        if a < b:
+            found.append((a, b))
+        at = b
     return found
 
 
