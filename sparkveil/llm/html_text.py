@@ -1,12 +1,14 @@
 """Main text of web pages by consensus of their host (operator 10).
 
 A page's containers are scored and its best one votes with its path of tags and classes; a host's pages are extracted at the
-path with most votes. The host decides in the same way what is left out within: containers at a path whose text is the same
-on most of its pages, or nearly all links, and those that are named as what the article excludes.
+path with most votes, or at one above it where the containers beside it hold text of their own on most pages too. The host
+decides in the same way what is left out within: text that is the same at a path on most of its pages. What the article
+excludes by its names is left out on every page.
 """
 
 import html
 import re
+from collections import Counter
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,23 +32,75 @@ UNWANTED = frozenset(
     "ad ads advert adverts advertisement advertisements advertising sponsor sponsors sponsored promo promos banner banners cookie cookies consent gdpr notice notices alert alerts popup popups modal modals overlay sidebar sidebars menu menus nav navbar navigation breadcrumb breadcrumbs footer masthead topbar comment comments disqus respond replies related recommended share sharing social newsletter subscribe signup login pagination pager skip widget widgets toolbar".split()
 )
 GENERIC = frozenset("area bar bottom box block blocks btn button buttons col column container content form group header inner icons item items left link links list main message panel post posts reader right section site slot text title top unit user wrap wrapper".split())
+ZEROS = re.compile(r"&#([xX]?)0++(?=[0-9a-fA-F])")
+LONG_NUMBER = re.compile(r"&#(?:[xX]0*+[0-9a-fA-F]{7,}|0*+[0-9]{8,});?")
+HREF = re.compile(r"(?:^|\s)href\s*=", re.I)
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
-LEAST_PAGES, LEAST_SHARE = 3, 0.02  # pages of a host, and of all its pages, that a path must stand on to be judged
-SAME, LINKS = 0.5, 0.8  # of a path's containers: different texts at most, letters in links at least, to be left out
+LEAST_PAGES = 3  # of a host, to judge a path
+SAME, LINKS = 0.5, 0.8  # pages of a path with one text, to leave that out; letters in links, for a list of links
+BESIDE, CLIMBS = 0.1, 3  # letters of a container beside the chosen one, against that, to count as a part of the article
+LONGEST_PATH = 1000
+MODULUS, BASE = (1 << 61) - 1, 0x1B873593CC9E2D51 % ((1 << 61) - 1)  # of the digests of ranges of blocks
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar form".split())
 
 
 class Node:
-    __slots__ = ("blocks", "links", "parent", "path", "score", "tag", "unwanted")  # blocks: (place, text) beneath
+    """An open or closed element. Its blocks are those from start to end of the page's; home is the container it is or
+    stands in."""
 
-    def __init__(self, tag: str, path: str, parent: "Node | None", unwanted: bool):
-        self.tag, self.path, self.parent, self.unwanted = tag, path, parent, unwanted
-        self.blocks: list[tuple[int, str]] = []
+    __slots__ = ("end", "home", "links", "path", "score", "start", "tag", "unwanted")
+
+    def __init__(self, tag: str, path: str, home: "Node | None", unwanted: bool, start: int):
+        self.tag, self.path, self.unwanted, self.start, self.end = tag, path, unwanted, start, start
+        self.home = home or self
         self.links, self.score = 0, 0.0
 
 
+class Page:
+    """The wanted containers of a page in order, and its wanted blocks, with running sums of lengths and digests, so that
+    size and digest of any range cost the same however long it is."""
+
+    def __init__(self, nodes: list[Node], blocks: list[str]):
+        self.nodes, self.blocks = nodes, blocks
+        self.sizes, self.sums, self.powers = [0], [0], [1]
+        for b in blocks:
+            self.sizes.append(self.sizes[-1] + len(b))
+            self.sums.append((self.sums[-1] * BASE + xxh64_intdigest(b.encode("utf-8", "surrogatepass")) % MODULUS) % MODULUS)
+            self.powers.append(self.powers[-1] * BASE % MODULUS)
+
+    def size(self, node: Node) -> int:
+        return self.sizes[node.end] - self.sizes[node.start]
+
+    def digest(self, nodes: list[Node]) -> int:
+        out = 0
+        for n in nodes:
+            own = (self.sums[n.end] - self.sums[n.start] * self.powers[n.end - n.start]) % MODULUS
+            out = (out * self.powers[n.end - n.start] + own) % MODULUS
+        return out
+
+    def linked(self, node: Node) -> bool:
+        return node.links >= LINKS * max(1, self.size(node))
+
+    def best(self) -> Node | None:
+        """The container with the highest score; of equal ones the innermost, which comes later."""
+        return max(enumerate(self.nodes), key=lambda x: (x[1].score, x[0]))[1] if self.nodes else None
+
+    def by_path(self) -> dict[str, list[Node]]:
+        out: dict[str, list[Node]] = {}
+        for n in self.nodes:
+            out.setdefault(n.path, []).append(n)
+        return out
+
+
+def unescaped(text: str) -> str:
+    """Character references decoded. A number beyond all code points, of any length, is the replacement character."""
+    if "&" not in text:
+        return text
+    return html.unescape(LONG_NUMBER.sub("\ufffd", ZEROS.sub(r"&#\1", text)))
+
+
 def attributes(text: str) -> dict[str, str]:
-    return {k.lower(): html.unescape(v.strip("\"'")) if "&" in v else v.strip("\"'") for k, v in ATTRIBUTE.findall(text)} if text else {}
+    return {k.lower(): unescaped(v.strip("\"'")) for k, v in ATTRIBUTE.findall(text)} if text else {}
 
 
 def generalised(tag: str, classes: str) -> str:
@@ -65,74 +119,74 @@ def named_unwanted(names: str) -> bool:
     return False
 
 
-def parse(page: str, away: frozenset[str] = frozenset()) -> list[Node]:
-    """Wanted containers in page order, each with the blocks under it; those at a path of away are unwanted, with all
-    beneath. The root is the last resort."""
-    root = Node("html", "html", None, False)
-    stack, nodes, out = [root], [root], []
+def parse(page: str) -> Page:
+    """The page's containers and blocks, in time and memory that grow with its length, however deep it is nested. The root
+    is the last resort."""
+    root = Node("html", "html", None, False, 0)
+    stack, nodes, blocks = [root], [root], []
+    open_tags: Counter = Counter()
     buffer: list[str] = []
-    linked = place = 0
-    in_link = 0
+    linked = 0
+    link_depth = 0  # elements that stood open as the link began; 0 outside links
 
     def flush() -> None:
-        nonlocal place, linked
+        nonlocal linked
         if buffer:
             raw = "".join(buffer)
             buffer.clear()
-            if stack[-1].unwanted:
-                linked = 0
-                return
-            text = " ".join((html.unescape(raw) if "&" in raw else raw).split())
-            if text:
-                node: Node | None = stack[-1]
-                share = len(text) + 25
-                while node is not None:
-                    if node.tag in CONTAINER or node is root:
-                        node.blocks.append((place, text))
-                        node.links += min(linked, len(text))
-                        node.score += share
-                        share = share * 0.6 if stack[-1].tag != "html" else share
-                    node = node.parent
-                place += 1
+            node = stack[-1]
+            if not node.unwanted and (text := " ".join(unescaped(raw).split())):
+                blocks.append(text)
+                node.home.links += min(linked, len(text))
+                node.home.score += len(text) + 25
         linked = 0
 
     def close(depth: int) -> None:
+        """Ends the elements from depth on. What a container holds counts for the one around it, a little less."""
+        nonlocal link_depth
         flush()
-        del stack[depth:]
+        while len(stack) > depth:
+            node = stack.pop()
+            open_tags[node.tag] -= 1
+            node.end = len(blocks)
+            if node.home is node and not node.unwanted:
+                around = stack[-1].home
+                around.score += 0.6 * node.score
+                around.links += node.links
+        if len(stack) < link_depth:
+            link_depth = 0
 
     at, end, search = 0, len(page), TAG.search
     while at < end:
         m = search(page, at)
-        if m is None:
-            buffer.append(page[at:])
-            break
-        if m.start() > at:
-            piece = page[at : m.start()]
+        piece = page[at : m.start()] if m else page[at:]
+        if piece:
             buffer.append(piece)
-            if in_link:
+            if link_depth:
                 linked += len(piece)
+        if m is None:
+            break
         at = m.end()
         tag = (m[2] or "").lower()
         if not tag:
             continue
         if m[1]:
             if tag == "a":
-                in_link = max(0, in_link - 1)
+                link_depth = 0
             elif tag == "br":
                 buffer.append(" ")
             elif tag in BLOCK or tag in DROPPED:
-                k = next((k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == tag), 0)
-                if k:
-                    close(k)
+                if open_tags[tag]:
+                    close(next(k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == tag))
                 else:
                     flush()
             continue
         if tag in RAW:
-            stop = re.compile(rf"</{tag}\b[^>]*>?", re.I).search(page, at)
+            stop = RAW_ENDS[tag].search(page, at)
             at = stop.end() if stop else end
             continue
-        if tag == "a":
-            in_link += 1
+        if tag == "a":  # it ends the one before; without an address it is no link
+            link_depth = len(stack) if HREF.search(m[3]) else 0
         if tag == "br":
             buffer.append(" ")
         if tag not in BLOCK and tag not in DROPPED:
@@ -140,13 +194,11 @@ def parse(page: str, away: frozenset[str] = frozenset()) -> list[Node]:
         if tag in ENDS_P and stack[-1].tag == "p":
             close(len(stack) - 1)
         flush()
-        if tag in ("li", "dd", "dt", "tr", "td", "th", "option"):
-            alike = {"dd": ("dd", "dt"), "dt": ("dd", "dt"), "td": ("td", "th"), "th": ("td", "th")}.get(tag, (tag,))
-            stop_at = ("ul", "ol", "dl", "table", "select", "menu")
+        if tag in ALIKE and any(open_tags[x] for x in ALIKE[tag]):
             for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag in stop_at:
+                if stack[k].tag in LISTS:
                     break
-                if stack[k].tag in alike:
+                if stack[k].tag in ALIKE[tag]:
                     close(k)
                     break
         if tag in VOID or m[3].endswith("/") and tag in ("svg", "hr"):
@@ -155,69 +207,76 @@ def parse(page: str, away: frozenset[str] = frozenset()) -> list[Node]:
         hidden = "hidden" in own or own.get("aria-hidden", "") == "true" or "display:none" in own.get("style", "").lower().replace(" ", "")
         named = tag not in ("body", "html", "article", "main") and named_unwanted(f"{own.get('class', '')} {own.get('id', '')}")
         bad = tag in DROPPED or hidden or named or own.get("role", "").lower() in ROLES
-        if tag in ("html", "body") and len(stack) > 1:
-            continue
-        if tag == "html":
+        if tag == "html" or tag == "body" and len(stack) > 1:
             continue
         parent = stack[-1]
-        path = f"{parent.path}/{generalised(tag, own.get('class', ''))}" if tag in CONTAINER else parent.path
-        node = Node(tag, path, parent, parent.unwanted or bad or tag in CONTAINER and path in away)
+        path = extended(parent.path, generalised(tag, own.get("class", ""))) if tag in CONTAINER else parent.path
+        node = Node(tag, path, None if tag in CONTAINER else parent.home, parent.unwanted or bad, len(blocks))
         stack.append(node)
+        open_tags[tag] += 1
         if tag in CONTAINER and not node.unwanted:
             nodes.append(node)
-    flush()
-    out = [n for n in nodes if n.blocks]
-    for n in out:
-        size = sum(len(t) for _, t in n.blocks)
-        n.score = (n.score + 1) * max(0.0, 1 - n.links / max(1, size)) ** 2 * {"article": 2.0, "main": 1.5}.get(n.tag, 1.0)
+    close(1)
+    root.end = len(blocks)
+    out = Page([n for n in nodes if n.end > n.start], blocks)
+    for n in out.nodes:
+        n.score = (n.score + 1) * max(0.0, 1 - n.links / max(1, out.size(n))) ** 2 * {"article": 2.0, "main": 1.5}.get(n.tag, 1.0)
     return out
 
 
-def best(nodes: list[Node]) -> Node | None:
-    """The container with the highest score; of equal ones the innermost, which comes later."""
-    return max(enumerate(nodes), key=lambda x: (x[1].score, x[0]))[1] if nodes else None
-
-
-def joined(nodes: list[Node]) -> str:
-    blocks = dict(b for n in nodes for b in n.blocks)
-    return "\n".join(blocks[k] for k in sorted(blocks))
+ALIKE = {**{t: (t,) for t in ("li", "tr", "option")}, **{t: ("dd", "dt") for t in ("dd", "dt")}, **{t: ("td", "th") for t in ("td", "th")}}
+LISTS = ("ul", "ol", "dl", "table", "select", "menu")
+RAW_ENDS = {t: re.compile(rf"</{t}\b[^>]*>?", re.I) for t in RAW}
 
 
-def linked(node: Node) -> bool:
-    return node.links >= LINKS * max(1, sum(len(t) for _, t in node.blocks))
+def extended(path: str, step: str) -> str:
+    """path/step; one that would grow too long is told by a digest, which ends what paths say of each other."""
+    out = f"{path}/{step}"
+    return out if len(out) <= LONGEST_PATH else f"~{xxh64_intdigest(out):016x}"
 
 
 def text_at(page: str, path: str | None, away: list[str] | None = None) -> str:
-    """Blocks of the containers at path but those of links alone, without what is at paths of away; where there are none,
-    of the page's own best container."""
-    nodes = parse(page, frozenset(away or ()))
-    chosen = [n for n in nodes if n.path == path]
-    chosen = [n for n in chosen if not linked(n)] or chosen
-    if not chosen and nodes:
-        chosen = [best(nodes)]
-    return joined(chosen)
+    """Blocks of the containers at path but those of links alone, without the texts that away names (path, a blank, digest)
+    beneath it; where there are none, of the page's own best container."""
+    found = parse(page)
+    chosen = [n for n in found.nodes if n.path == path]
+    chosen = [n for n in chosen if not found.linked(n)] or chosen
+    if not chosen and found.nodes:
+        chosen = [found.best()]
+    gone = bytearray(len(found.blocks))
+    if away:
+        known, judged = set(away), {a.partition(" ")[0] for a in away}
+        for own, nodes in found.by_path().items():
+            if own in judged and f"{own} {found.digest(nodes)}" in known:
+                for n in nodes:
+                    gone[n.start : n.end] = b"\1" * (n.end - n.start)
+    out, done = [], 0
+    for n in sorted(chosen, key=lambda n: n.start):
+        out += [found.blocks[k] for k in range(max(done, n.start), n.end) if not gone[k]]
+        done = max(done, n.end)
+    return "\n".join(out)
 
 
 def verdicts(given: DataFrame) -> DataFrame:
-    """host, path, away: the path with most votes of a host's pages, and the paths beneath it that are left out. Equal votes
-    go to the longer text, then to the smaller path.
+    """host, path, away: the path at which a host's pages are extracted, and the repeated texts beneath it that are left
+    out. Most votes win; equal votes go to the longer text, then to the smaller path. The path above takes over where
+    containers beside the chosen one stand on most of its pages with text of their own, which are no lists of links and
+    are not much shorter: the article has several parts.
 
     A page emits a row for each path of its containers: what it holds and whether it is the page's best. Rows combine by
-    (host, path, text, page) and then by (host, path), so that a large host is never gathered; at most one path in
-    LEAST_SHARE of its pages and container is judged, which bounds away."""
+    (host, path, text, page) and then by (host, path), so that a large host is never gathered; a path leaves out one text at
+    most, that of more than a share SAME of its pages."""
 
     def survey():
         def make(hosts, pages_):
             out: list[list] = [[] for _ in range(7)]
             for host, page in zip(hosts, pages_, strict=True):
-                nodes = parse(page or "")
-                top, by_path = best(nodes), {}
-                for n in nodes:
-                    by_path.setdefault(n.path, []).append(n)
+                found = parse(page or "")
+                top = found.best()
                 own = xxh64_intdigest((page or "").encode("utf-8", "surrogatepass")) >> 1
-                for path, some in by_path.items():
-                    text = joined(some)
-                    row = (host, path, xxh64_intdigest(text.encode("utf-8", "surrogatepass")) >> 1, own, len(text), min(len(text), sum(n.links for n in some)), int(top is not None and top.path == path))
+                for path, some in found.by_path().items():
+                    size = sum(map(found.size, some))
+                    row = (host, path, found.digest(some), own, size, min(size, sum(n.links for n in some)), int(top is not None and top.path == path))
                     for values, v in zip(out, row, strict=True):
                         values.append(v)
             return out
@@ -228,12 +287,21 @@ def verdicts(given: DataFrame) -> DataFrame:
     sums = [F.sum(c).alias(c) for c in ("size", "links", "votes")]
     by_page = found.groupBy("host", "path", "digest", "page").agg(*sums)  # copies of a page are one page where texts are compared
     by_text = by_page.groupBy("host", "path", "digest").agg(F.count("*").alias("pages"), *sums)
-    by_path = saved(by_text.groupBy("host", "path").agg(F.sum("pages").alias("pages"), F.count("*").alias("texts"), *sums))
-    hosts = by_path.groupBy("host").agg(F.min_by(F.struct("path"), F.struct(-F.col("votes"), -F.col("size"), F.col("path"))).alias("won"), F.max("pages").alias("most")).select("host", F.col("won.path").alias("won"), "most")
-    judged = by_path.join(hosts, "host").where((F.col("pages") >= LEAST_PAGES) & (F.col("pages") >= LEAST_SHARE * F.col("most")) & F.startswith("path", F.concat("won", F.lit("/"))))
-    bad = judged.where((F.col("texts") <= SAME * F.col("pages")) | (F.col("links") >= LINKS * F.greatest(F.col("size"), F.lit(1))))
-    away = bad.groupBy("host").agg(F.collect_set("path").alias("away"))
-    return saved(hosts.join(away, "host", "left").select("host", F.col("won").alias("path"), "away"))
+    most_text = F.max(F.struct("pages", "digest")).alias("same")
+    by_path = saved(by_text.groupBy("host", "path").agg(F.sum("pages").alias("pages"), F.count("*").alias("texts"), most_text, *sums))
+    hosts = by_path.groupBy("host").agg(F.min_by(F.struct("path", "pages", "size"), F.struct(-F.col("votes"), -F.col("size"), F.col("path"))).alias("won")).select("host", "won.path", F.col("won.pages").alias("own_pages"), F.col("won.size").alias("own_size"))
+    above = F.regexp_replace("path", "/[^/]*$", "")
+    parted = (F.col("pages") >= LEAST_PAGES) & (F.col("same.pages") <= SAME * F.col("pages")) & (F.col("links") < LINKS / 2 * F.col("size"))
+    parts = by_path.where(parted).select(F.col("host").alias("part_host"), F.col("path").alias("part"), above.alias("part_above"), F.col("pages").alias("part_pages"), F.col("size").alias("part_size"))
+    for _ in range(CLIMBS):
+        beside = (F.col("host") == F.col("part_host")) & (above == F.col("part_above")) & (F.col("path") != F.col("part")) & (F.col("part_pages") > SAME * F.col("own_pages")) & (F.col("part_size") >= BESIDE * F.col("own_size"))
+        moved = hosts.join(parts, beside, "left_semi").select("host", above.alias("path"))
+        whole = by_path.select("host", "path", F.col("pages").alias("own_pages"), F.col("size").alias("own_size"))
+        hosts = saved(moved.join(whole, ["host", "path"]).unionByName(hosts.join(moved.select("host"), "host", "left_anti")))
+    judged = by_path.select("host", F.col("path").alias("beneath"), "pages", "same").join(hosts.select("host", "path"), "host")
+    same = (F.col("same.pages") >= LEAST_PAGES) & (F.col("same.pages") > SAME * F.col("pages")) & F.startswith("beneath", F.concat("path", F.lit("/")))
+    away = judged.where(same).groupBy("host").agg(F.collect_set(F.concat_ws(" ", "beneath", F.col("same.digest").cast("string"))).alias("away"))
+    return saved(hosts.select("host", "path").join(away, "host", "left"))
 
 
 def extract_text(pages: DataFrame, url: str = "url", html_column: str = "html", keep: list[str] | None = None) -> DataFrame:
