@@ -23,16 +23,18 @@ SOURCE = "__source_file_path"  # the file that a stored row came from
 
 
 def listed(spark: SparkSession, path: str) -> list[str]:
-    """URIs of a file, or of the files of a folder but those that writers keep for themselves."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
+    """URIs of a file, or of all files beneath a folder but those that writers keep for themselves. Empty files are none."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not system.exists(target):
         raise ContractError(f"{path} does not exist")
-    found = [s for s in system.listStatus(target) if s.isFile() and s.getLen() > 0]
-    names = [s.getPath() for s in found]
-    single = system.getFileStatus(target).isFile()
-    return sorted(p.toString() for p in names if single or not p.getName().startswith(("_", ".")))
+    top, found, each = system.getFileStatus(target).getPath().toString().rstrip("/"), [], system.listFiles(target, True)
+    while each.hasNext():
+        status = each.next()
+        own = status.getPath().toString()
+        if status.getLen() > 0 and not any(step.startswith(("_", ".")) for step in own.removeprefix(top).split("/")):
+            found.append(own)
+    return sorted(found)
 
 
 def header_of(stream) -> tuple[list[str], bytes, bool]:

@@ -110,10 +110,11 @@ def ingest(spark: SparkSession, dataset: str, path: str, root: str, batch_id: st
         raise ContractError(f"{path} has been ingested as {dataset}")
     rows = files.read_files(spark, found).withColumn("ingested_at", F.lit(run_time))
     require_rows(rows, path)
+    own = spark.createDataFrame([(f.source_file_hash,) for f in found], "source_file_hash string")
 
     def check(before: DataFrame) -> None:
         unused(before)
-        if not force and not before.where((F.col("dataset") == dataset) & F.col("source_file_hash").isin([f.source_file_hash for f in found])).isEmpty():
+        if not force and not own.join(before.where(F.col("dataset") == dataset), "source_file_hash", "left_semi").isEmpty():
             raise ContractError(f"{path} has been ingested as {dataset} meanwhile")
 
     _commit(spark, rows, found, dataset, batch_id, "batch_id", root, run_time, began, check)
