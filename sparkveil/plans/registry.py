@@ -147,7 +147,10 @@ def latest_batch(spark, d) -> DataFrame:
 
 
 def batch_metadata(spark, d) -> DataFrame:
-    return _batches(spark, d).groupBy("batch_id").agg(F.count("*").alias("rows"), F.md5(F.concat_ws("|", F.min("order_number"), F.max("order_number"))).alias("digest"))
+    """What the manifest has of each batch, with a digest of its stored rows."""
+    folder = _years(spark, d)
+    stored = G.committed(spark, "orders", folder).groupBy("batch_id").agg(F.md5(F.concat_ws("|", F.min("o_orderkey"), F.max("o_orderkey"))).alias("digest"))
+    return G.read_manifest(spark, folder).where("dataset = 'orders'").groupBy("batch_id", "column_count").agg(F.sum("rows").alias("rows")).join(stored, "batch_id")
 
 
 def scalars(spark, d) -> DataFrame:
@@ -156,27 +159,62 @@ def scalars(spark, d) -> DataFrame:
     return raw.select(F.col("`pallet_no.`").alias("pallet"), sku.alias("sku"), X.sku_half(sku, 0).alias("first_half"), X.sku_half(sku, 1).alias("second_half"), X.initials(F.col("description")).alias("initials"), X.clean(F.concat(F.lit("\t "), F.col("description"), F.lit(" \n"))).alias("cleaned"), X.trailing_number(F.col("description")).alias("brand_number"), X.trailing_number(F.lit("none")).alias("no_number"), X.zero_pad(F.col("qty"), 5).alias("padded"), X.business_key("sku", "description").alias("key"), X.valid_date(F.col("bb_date")).alias("date"), X.valid_date(F.lit("20250230")).alias("no_date"))
 
 
+@once("years")
+def _years_made(spark, d, root) -> DataFrame:
+    """Orders of each year as an extract of files in a drop folder, of the name of its year and a time of change by rule,
+    with a lock file beside them; those of even years are ingested, as a dataset and as snapshots."""
+    orders = D.read(spark, d, "orders").select("o_orderkey", "o_custkey", F.year("o_orderdate").alias("year"))
+    jvm = spark.sparkContext._jvm
+    for (year,) in sorted(orders.select("year").where("year IS NOT NULL").distinct().collect()):  # a few
+        name = f"{root}/drop/stock_{year}{'0230' if year % 7 == 0 else '0101'}.csv"
+        orders.where(F.col("year") == year).drop("year").write.option("header", True).csv(name)
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).setTimes(path, 1_700_000_000_000 + year % 5 * 1000, -1)
+        if year % 2 == 0:
+            G.ingest(spark, "orders", name, root, f"{year}0101_000000", RUN_TIME)
+            if year % 7:
+                G.ingest_inventory(spark, name, root, RUN_TIME)
+    spark.range(1).selectExpr("'x'").write.text(f"{root}/drop/~$stock_2099.csv")
+    return spark.createDataFrame([(root,)], "root string")
+
+
+def _years(spark, d) -> str:
+    return _years_made(spark, d).first().root
+
+
 def snapshots(spark, d) -> DataFrame:
-    """Snapshot dates of file names made of order dates; every seventh name has no real date."""
-    day = F.date_format("o_orderdate", "yyyyMMdd")
-    file = F.concat(F.lit("stock_"), F.when(F.col("o_orderkey") % 7 == 0, F.lit("20250230")).otherwise(day), F.lit(".csv"))
-    return D.read(spark, d, "orders").select(G.snapshot_date(file).alias("snapshot")).groupBy("snapshot").agg(F.count("*").alias("files"))
+    """Snapshot dates of the extracts in a folder, by their names, and how many there are; a name without a real date has
+    none."""
+    found = G.extracts(spark, f"{_years(spark, d)}/drop", "stock").where("NOT startswith(file_name, '~')")
+    return found.select(G.snapshot_date(F.col("file_name")).alias("snapshot")).groupBy("snapshot").agg(F.count("*").alias("files"))
 
 
 def newest_file(spark, d) -> DataFrame:
-    files = D.read(spark, d, "orders").select(F.concat(F.when(F.col("o_orderkey") % 5 == 0, F.lit("~$")).otherwise(F.lit("")), F.lit("extract_"), F.col("o_orderkey").cast("string")).alias("file_name"), F.col("o_orderdate").alias("modified"))
-    return G.newest_file(files)
+    return G.newest_file(G.extracts(spark, f"{_years(spark, d)}/drop", "stock"))
 
 
 def new_files(spark, d) -> DataFrame:
-    hashes = D.read(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.md5(F.col("o_custkey").cast("string")).alias("source_file_hash"))
-    manifest = D.read(spark, d, "customer").where("c_acctbal < 0").select(F.lit("history").alias("dataset"), F.md5(F.col("c_custkey").cast("string")).alias("source_file_hash"))
-    return G.new_files(hashes, manifest, "history").select("id", "source_file_hash")
+    """Extracts in the folder with content that the dataset has not taken in, by their hashes, and their bytes' sum is that
+    of all their files."""
+    root = _years(spark, d)
+    left = G.new_files(Z.scanned(spark, f"{root}/drop").where("quoted = false AND path NOT LIKE '%~$%'"), G.read_manifest(spark, root), "orders")
+    return left.select(F.regexp_extract("path", "(stock_[0-9]+[.]csv)", 1).alias("file_name")).distinct()
 
 
 def snapshot_guard(spark, d) -> DataFrame:
-    """Days of open orders that the history has too: a second snapshot of them would be refused."""
-    return open_orders(spark, d).select("scheduled_ship_date").distinct().join(history(spark, d).select("scheduled_ship_date").distinct(), "scheduled_ship_date", "left_semi")
+    """Snapshots by whether an extract of their day is refused, because it is there already."""
+    root = _years(spark, d)
+    days = [r.day for r in G.extracts(spark, f"{root}/drop", "stock").select(G.snapshot_date(F.col("file_name")).alias("day")).where("day IS NOT NULL").distinct().collect()]  # one row an extract
+    there = G.read_manifest(spark, root).where("dataset = 'inventory'").groupBy(F.col("batch_id").alias("snapshot")).agg(F.sum("rows").alias("rows"))
+    refused = []
+    for day in days:
+        try:
+            G.refuse_batch("inventory", day)(G.read_manifest(spark, root))
+        except S.ContractError:
+            refused.append((day, True))
+        else:
+            refused.append((day, False))
+    return spark.createDataFrame(refused, "snapshot string, refused boolean").join(there, "snapshot", "left")
 
 
 def unmapped_skus(spark, d) -> DataFrame:
@@ -678,12 +716,12 @@ _SELECT = {
     "schema_drift": "SELECT name, kind, (SELECT count(*) FROM o) AS rows FROM (VALUES {}) t(name, kind)".format(", ".join(f"('{c}', '{k}')" for c, k in [*((c, "unknown") for c in ("orpewt", "rtname", "rtnumb", "orrqdt", "orrvdt", "00011", "orpval")), *((c, "missing") for c in ("ordrte", "orpoq", "00015", "orpoq2", "00022", "00025"))])),
     "dataset_summary": f"SELECT (SELECT count(*) FROM h) AS rows, {len(_HIST)}::BIGINT AS columns, name, filled FROM (" + " UNION ALL ".join(f"SELECT '{c}' AS name, count({c}) AS filled FROM h" for c in _HIST) + ")",
     "latest_batch": "SELECT max(order_date[1:4]) || '0101_000000' AS batch_id, count(*) AS rows FROM h WHERE order_date[1:4] = (SELECT max(order_date[1:4]) FROM h)",
-    "batch_metadata": "SELECT order_date[1:4] || '0101_000000' AS batch_id, count(*) AS rows, md5(min(order_number) || '|' || max(order_number)) AS digest FROM h GROUP BY 1",
+    "batch_metadata": "SELECT y::VARCHAR || '0101_000000' AS batch_id, 4 AS column_count, count(*) AS rows, md5(min(o_orderkey::VARCHAR) || '|' || max(o_orderkey::VARCHAR)) AS digest FROM (SELECT o_orderkey, year(o_orderdate) AS y FROM orders WHERE o_orderdate IS NOT NULL) WHERE y % 2 = 0 GROUP BY y",
     "scalar_functions": f"SELECT pallet_number AS pallet, full_sku_code AS sku, first_half_sku_code AS first_half, unique_sku_code AS second_half, {_INIT.format('product_description')} AS initials, upper(product_description) AS cleaned, TRY_CAST(regexp_extract(product_description, '(\\d+)$', 1) AS BIGINT) AS brand_number, NULL::BIGINT AS no_number, lpad(quantity_on_hand, 5, '0') AS padded, md5(raw_sku || '|' || upper(product_description)) AS key, best_before_date AS date, NULL::VARCHAR AS no_date FROM iv",
-    "snapshot_dates": "SELECT CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE strftime(o_orderdate, '%Y%m%d') END AS snapshot, count(*) AS files FROM orders GROUP BY 1",
-    "newest_file": "SELECT max_by('extract_' || o_orderkey, struct_pack(a := o_orderdate, b := 'extract_' || o_orderkey)) AS file_name FROM orders WHERE o_orderkey % 5 <> 0",
-    "new_files": "SELECT o_orderkey AS id, md5(o_custkey::VARCHAR) AS source_file_hash FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)",
-    "snapshot_guard": "SELECT scheduled_ship_date FROM o INTERSECT SELECT scheduled_ship_date FROM h",
+    "snapshot_dates": "SELECT CASE WHEN y % 7 <> 0 THEN y::VARCHAR || '0101' END AS snapshot, count(DISTINCT y) AS files FROM (SELECT o_orderkey, year(o_orderdate) AS y FROM orders WHERE o_orderdate IS NOT NULL) GROUP BY 1",
+    "newest_file": "SELECT max_by(name, struct_pack(a := y % 5, b := name)) AS file_name FROM (SELECT DISTINCT y, 'stock_' || y || CASE WHEN y % 7 = 0 THEN '0230' ELSE '0101' END || '.csv' AS name FROM (SELECT o_orderkey, year(o_orderdate) AS y FROM orders WHERE o_orderdate IS NOT NULL))",
+    "new_files": "SELECT DISTINCT 'stock_' || y || CASE WHEN y % 7 = 0 THEN '0230' ELSE '0101' END || '.csv' AS file_name FROM (SELECT o_orderkey, year(o_orderdate) AS y FROM orders WHERE o_orderdate IS NOT NULL) WHERE y % 2 = 1",
+    "snapshot_guard": "SELECT y::VARCHAR || '0101' AS snapshot, y % 2 = 0 AS refused, CASE WHEN y % 2 = 0 THEN count(*) END AS rows FROM (SELECT o_orderkey, year(o_orderdate) AS y FROM orders WHERE o_orderdate IS NOT NULL) WHERE y % 7 <> 0 GROUP BY y",
     "customer_base": "SELECT customer_hash_key, source_customer_code, ship_to_customer_code, customer_name FROM cb",
     "product_base": "SELECT * FROM pb",
     "category_profile": "SELECT product_category, count(*) AS products FROM pb GROUP BY 1",

@@ -88,7 +88,7 @@ def _commit(spark: SparkSession, rows: DataFrame, found: list, dataset: str, bat
         raise
 
 
-def _refuse_batch(dataset: str, batch: str) -> Callable[[DataFrame], None]:
+def refuse_batch(dataset: str, batch: str) -> Callable[[DataFrame], None]:
     def check(taken: DataFrame) -> None:
         if not taken.where((F.col("dataset") == dataset) & (F.col("batch_id") == batch)).isEmpty():
             raise ContractError(f"{dataset} {batch} has been ingested")
@@ -101,7 +101,7 @@ def ingest(spark: SparkSession, dataset: str, path: str, root: str, batch_id: st
     yet; if that is none, the extract is refused; force takes all. A batch id that is in use is always refused, also if
     another run commits it, or the same content, while this one is at work."""
     began = time.time()
-    unused = _refuse_batch(dataset, batch_id)
+    unused = refuse_batch(dataset, batch_id)
     taken = read_manifest(spark, root)
     unused(taken)
     hashes = files.scanned(spark, path)
@@ -128,7 +128,7 @@ def ingest_inventory(spark: SparkSession, path: str, root: str, run_time: str, f
     day = spark.range(1).select(snapshot_date(F.lit(path.rstrip("/").rsplit("/", 1)[-1])).alias("day")).first().day
     if day is None:
         raise ContractError(f"no date yyyyMMdd in the name of {path}")
-    check = (lambda before: None) if force else _refuse_batch("inventory", day)
+    check = (lambda before: None) if force else refuse_batch("inventory", day)
     check(read_manifest(spark, root))
     found = files.scanned(spark, path).collect()
     if not found:
