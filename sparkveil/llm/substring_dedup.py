@@ -198,38 +198,52 @@ def remove_repeats(docs: DataFrame, text: str = "text", id_column: str = "doc_id
         hasher = Hasher(window, anchor)
 
         def make(ids, rows, texts, asked_):
-            out: list[list] = [[] for _ in range(6)]
+            out: list[list] = [[] for _ in range(5)]
             for i, r, t, runs_ in zip(ids, rows, texts, asked_, strict=True):
                 hashes = hasher.words(sorted_words(t))
-                starts = np.array([a["start"] for a in runs_])
-                windows = None
-                for a, s in zip(runs_, starts.tolist(), strict=True):
+                for a in runs_:
                     if not a["hot"]:
-                        parts = [(a["anchor"], s, a["count"] + window - 1)]
-                    else:
-                        if windows is None:
-                            at = np.arange(len(hashes) - window + 1)
-                            windows = hasher.intervals(hashes, at, at + window).view(np.int64)
-                        parts = [(int(windows[k]), k, window) for k in range(s, s + a["count"])]
-                    for key, k, size in parts:
-                        for held, v in zip(out, (a["anchor"], key, i, r, k, hashes[k : k + size].tobytes()), strict=True):
+                        k = a["start"]
+                        for held, v in zip(out, (a["anchor"], i, r, k, hashes[k : k + a["count"] + window - 1].tobytes()), strict=True):
                             held.append(v)
             return out
 
         return make
 
-    sent = flat_slices(fetched, {"anchor": "bigint", "key": "bigint", "id": "bigint", "row": "bigint", "start": "int", "words": "binary"}, pieces)
+    def windows():
+        hasher = Hasher(window, anchor)
+
+        def make(ids, rows, texts, asked_):
+            out: list[list] = [[] for _ in range(6)]
+            for i, r, t, runs_ in zip(ids, rows, texts, asked_, strict=True):
+                hot = [(a["anchor"], k) for a in runs_ if a["hot"] for k in range(a["start"], a["start"] + a["count"])]
+                if hot:
+                    hashes, at = hasher.words(sorted_words(t)), np.array([k for _, k in hot])
+                    one, two = hasher.intervals(hashes, at, at + window), hasher.intervals(hashes * np.uint64(0xD6E8FEB86659FD93), at, at + window)
+                    for held, v in zip(out, ([a for a, _ in hot], one.view(np.int64).tolist(), two.view(np.int64).tolist(), [i] * len(hot), [r] * len(hot), at.tolist()), strict=True):
+                        held += v
+            return out
+
+        return make
+
+    sent = flat_slices(fetched, {"anchor": "bigint", "id": "bigint", "row": "bigint", "start": "int", "words": "binary"}, pieces)
+    # Windows of anchors that many different runs share need no automaton: each is held against its first occurrence, which
+    # a combining aggregate finds, so that a passage on every page is no large task.
+    same = ["anchor", "one", "two"]
+    single = saved(flat_slices(fetched.where(F.exists("asked", lambda a: a["hot"])), {"anchor": "bigint", "one": "bigint", "two": "bigint", "id": "bigint", "row": "bigint", "start": "int"}, windows))
+    again = saved(single.groupBy(*same).agg(F.min(F.struct(*place)).alias("first"), F.count("*").alias("n")).where("n > 1"))
+    spread = split_join(single, again, same, single.count()).where(F.struct(*place) != F.col("first")).select(*place, F.lit(1).cast("bigint").alias("mask")).distinct()
     # A shard's runs come to one task in order, and are streamed through its automaton; no more than one shard is held.
-    # Shards are bounded: an anchor with more runs is dealt by window, and equal windows add nothing to their automaton.
-    dealt = sent.repartition(F.col("anchor"), F.col("key")).sortWithinPartitions("anchor", "key", *place)
+    # Shards are bounded, as an anchor with more runs is dealt by window.
+    dealt = sent.repartition("anchor").sortWithinPartitions("anchor", *place)
 
     def match(batches):
         shard, automaton, numbers = None, None, {}
         for batch in batches:
             out: list[list] = [[] for _ in range(4)]
-            for a, k, i, r, s, raw in zip(*(batch.column(n).to_pylist() for n in range(6)), strict=True):
-                if (a, k) != shard:
-                    shard, automaton, numbers = (a, k), Automaton(), {}
+            for a, i, r, s, raw in zip(*(batch.column(n).to_pylist() for n in range(5)), strict=True):
+                if a != shard:
+                    shard, automaton, numbers = a, Automaton(), {}
                     seen = []
                 words = [numbers.setdefault(w, len(numbers)) for w in np.frombuffer(raw, dtype=np.uint64).tolist()]
                 if (i, r, s) in seen:
@@ -246,7 +260,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", id_column: str = "doc_id
                 yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int32()), pa.array(out[3], pa.int64())], names=[*place, "mask"])
 
     partial = dealt.mapInArrow(match, "id bigint, row bigint, start int, mask bigint")
-    marks = saved(whole.unionByName(partial).groupBy("id", "row").agg(F.collect_list(F.struct("start", "mask")).alias("marks")))
+    marks = saved(whole.unionByName(partial).unionByName(spread).groupBy("id", "row").agg(F.collect_list(F.struct("start", "mask")).alias("marks")))
     joined = given.join(marks, ["id", "row"], "left").select(*carried.inner, "text", "marks")
 
     def rebuild():

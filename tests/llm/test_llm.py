@@ -348,6 +348,28 @@ def test_chunks_come_in_step_again():
         assert {start + k + n for k, n in line_dedup.chunk_edges(lines[start:])} - {start + 1} == {e for e in edges if e > start + 1}
 
 
+def test_a_passage_that_many_documents_share(spark):
+    """Its anchors have far more different runs than a shard takes; windows are held against their first occurrence."""
+    rng = random.Random(11)
+    passage, rows = [f"p{k}" for k in range(25)], []
+    for i in range(400):
+        own = [f"{rng.randrange(10**9)}" for _ in range(rng.randint(0, 30))]
+        at = rng.randrange(len(own) + 1)
+        lo, hi = rng.choice([(0, 25), (0, 25), (2, 25), (0, 21), (3, 23)])
+        rows.append((i, " ".join(own[:at] + passage[lo:hi] + own[at:] + (passage if i % 50 == 0 else []))))
+    rows += [rows[5], (None, rows[7][1])]
+    first, want = {}, []
+    for i, text in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
+        words, gone = text.split(), set()
+        for s in range(len(words) - 19):
+            if first.setdefault(tuple(words[s : s + 20]), (i, s)) != (i, s):
+                gone |= set(range(s, s + 20))
+        want.append((i, " ".join(w for k, w in enumerate(words) if k not in gone)))
+    out = substring_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5), keep=["doc_id"]).collect()
+    key = lambda r: (r[0] is None, r[0] or 0, r[1])
+    assert sorted(((r.doc_id, r.kept_text) for r in out), key=key) == sorted(want, key=key)
+
+
 def test_substrings_on_hard_documents(spark):
     out = {r.doc_id: r for r in substring_dedup.remove_repeats(hard_documents(spark), keep=["doc_id"]).collect()}
     assert out[1].n_removed == 0 and out[2].n_removed == 40 and out[2].kept_text == ""
