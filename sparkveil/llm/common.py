@@ -1,13 +1,12 @@
 """Shared folders, Arrow helpers and connected components."""
 
-import uuid
 from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.tables import delete, shared_folder
+from ..sources.tables import delete, new_folder
 
 ARROW = {
     "bigint": pa.int64(),
@@ -30,8 +29,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def saved(df: DataFrame) -> DataFrame:
-    """df written as a table in the shared folder and read again: lineage ends there and lost executors lose nothing."""
-    path = f"{shared_folder(df.sparkSession)}/llm-{uuid.uuid4().hex}"
+    """df written as a table in the shared folder and read again: lineage ends there and lost executors lose nothing.
+    sources.tables.release deletes what nobody has discarded."""
+    path = new_folder(df.sparkSession, "llm")
     df.write.parquet(path)
     df.sparkSession.sparkContext._jvm.System.gc()  # the driver frees shuffle files only as it collects garbage
     out = df.sparkSession.read.schema(df.schema).parquet(path)

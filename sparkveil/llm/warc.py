@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
-from ..sources.tables import delete, shared_folder
+from ..sources.tables import delete, new_folder
 from .common import name, saved, split_join, table
 
 CHUNK, MOST_HEADER, MAGIC = 1 << 16, 1 << 20, b"\x1f\x8b\x08"
@@ -369,7 +369,7 @@ def resolved_pages(records: DataFrame) -> DataFrame:
 
 def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pages table written as archives and read back. The archives go once their records are in a table."""
-    path = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
+    path = new_folder(spark, "warc")
     write_warc(page_records(table(spark, sf_dir, "pages")), path)
     out = resolved_pages(read_warc(spark, path))
     delete(spark, path)
