@@ -78,9 +78,47 @@ def scanned_file(path: str) -> tuple[str, int, list[str], bool, str]:
     return total.hexdigest(), size, header, quoted, kind
 
 
+def reachable(path: str) -> bool:
+    """Whether executors can open the path themselves."""
+    try:
+        pa.fs.FileSystem.from_uri(quote(re.sub(r"^s3[an]://", "s3://", path), safe="/:@"))
+    except (pa.ArrowException, OSError, ValueError):
+        return False
+    return True
+
+
+class HadoopStream:
+    """A stream of Hadoop's that reads like Python's."""
+
+    def __init__(self, jvm, stream):
+        self.jvm, self.stream = jvm, stream
+
+    def read(self, n: int) -> bytes:
+        return bytes(self.jvm.org.apache.commons.io.IOUtils.toByteArray(self.jvm.org.apache.commons.io.input.BoundedInputStream(self.stream, n)))
+
+
+def scanned_by_hadoop(spark: SparkSession, path: str) -> tuple[str, int, list[str], bool, str]:
+    """As scanned_file, for stores that only Hadoop opens: by its streams, in the driver, one file after another. Quotes
+    are taken for granted, so that only the header's bytes come to Python."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    size, stream = system.getFileStatus(target).getLen(), system.open(target)
+    try:
+        total = jvm.org.apache.commons.codec.digest.DigestUtils.md5Hex(stream)
+        if path.endswith(".parquet"):
+            schema = spark.read.parquet(path).schema
+            return total, size, schema.names, False, f"parquet {schema.simpleString()}"
+        stream.seek(0)
+        header, _, returns = header_of(HadoopStream(jvm, stream))
+    finally:
+        stream.close()
+    return total, size, header, True, "csv crlf" if returns else "csv"
+
+
 def scanned(spark: SparkSession, path: str) -> DataFrame:
     """SCAN of the files of an extract, a task a few files. Their paths are listed by the driver, their bytes are read by
-    executors, once."""
+    executors, once (by the driver, where executors cannot open their store)."""
     paths = listed(spark, path)
     types = [pa.string(), pa.string(), pa.int64(), pa.list_(pa.string()), pa.bool_(), pa.string()]
 
@@ -91,6 +129,8 @@ def scanned(spark: SparkSession, path: str) -> DataFrame:
 
     if not paths:
         return spark.createDataFrame([], SCAN)
+    if not reachable(paths[0]):
+        return spark.createDataFrame([(p, *scanned_by_hadoop(spark, p)) for p in paths], SCAN)
     return spark.createDataFrame([(p,) for p in paths], "path string").repartition(min(len(paths), 10_000)).mapInArrow(task, SCAN)
 
 

@@ -177,6 +177,19 @@ def read_batch(spark: SparkSession, dataset: str, root: str, batch: str | None =
     return _read(spark, own, dataset, root, key)
 
 
+def vacuum(spark: SparkSession, dataset: str, root: str) -> int:
+    """Deletes the loads that no batch reads any more: those that were replaced, and what failed writers could not delete.
+    To be called when no writer and no reader of replaced snapshots is at work. Returns how many went."""
+    jvm = spark.sparkContext._jvm
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{root}/{dataset}/*/load=*")
+    system = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    kept = {jvm.org.apache.hadoop.fs.Path(b.data).toUri().getPath() for b in batches(spark, dataset, root).collect()}
+    gone = [s.getPath() for s in system.globStatus(pattern) or [] if s.getPath().toUri().getPath() not in kept]
+    for path in gone:
+        system.delete(path, True)
+    return len(gone)
+
+
 def latest_batch(df: DataFrame, key: str = "batch_id") -> DataFrame:
     """Rows of the last batch by name; the scalar subquery prunes partitions."""
     return df.where(F.col(key) == df.agg(F.max(key)).scalar())

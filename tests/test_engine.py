@@ -411,6 +411,31 @@ def test_files_are_read_by_their_own_headers(spark, tmp_path):
     assert kept == {"e.csv": (1, ["x", "y"]), "a.csv": (1, ["x", "y"]), "b.csv": (1, ["Y", "x ", "Z z"]), "c.csv": (3, ["x", "y\n1"]), "d d.csv": (0, ["x", "y"])}
 
 
+def test_stores_that_only_hadoop_opens(spark, tmp_path):
+    """A view of file systems that executors' Python does not know gives the same batch and the same hashes."""
+    (tmp_path / "in" / "drop").mkdir(parents=True)
+    (tmp_path / "in" / "drop" / "a b.csv").write_bytes(b'x,"y ""1"""\r\n1,"2\n3"\r\n')
+    spark.range(2).selectExpr("id AS x").coalesce(1).write.parquet(f"file://{tmp_path}/in/table")
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.sight.link./in", f"file://{tmp_path}/in")
+    root = f"file://{tmp_path}/store"
+    out = G.ingest(spark, "history", "viewfs://sight/in/drop", root, "b1", "t")
+    assert [(r.x, r['y_"1"']) for r in out.collect()] == [("1", "2\n3")]
+    with pytest.raises(S.ContractError, match="has been ingested"):
+        G.ingest(spark, "history", f"file://{tmp_path}/in/drop", root, "b2", "t")
+    assert [r.rows for r in G.read_manifest(spark, root).collect()] == [1]
+    assert G.ingest(spark, "open", "viewfs://sight/in/table", root, "b1", "t").count() == 2
+
+
+def test_vacuum_deletes_what_no_batch_reads(spark, tmp_path):
+    root, name = f"file://{tmp_path}/store", "stock_20240101.csv"
+    for n in (1, 2, 3):
+        (tmp_path / name).write_text("a\n" + f"{n}\n" * n)
+        G.ingest_inventory(spark, f"file://{tmp_path}/{name}", root, "t", force=True)
+    (tmp_path / "store" / "inventory" / "snapshot_date=20240102" / "load=lost").mkdir(parents=True)
+    assert G.vacuum(spark, "inventory", root) == 3 and G.vacuum(spark, "inventory", root) == 0
+    assert [r.a for r in G.committed(spark, "inventory", root, "snapshot_date").collect()] == ["3"] * 3
+
+
 @pytest.mark.parametrize("body", ["x,y\n1\n", "x,y\n1,2,3\n", 'x,y\n1,"2"\n3\n'])
 def test_ragged_rows_end_the_job(spark, tmp_path, body):
     (tmp_path / "x.csv").write_text(body)
