@@ -468,6 +468,48 @@ def whole_history(spark, d) -> DataFrame:
     return history_out(spark, d).groupBy("row_hash").agg(F.count("*").alias("n")).groupBy("n").agg(F.count("*").alias("hashes"))
 
 
+def profiles_written(spark, d) -> DataFrame:
+    """The profiles as files; that of the categories read again."""
+    products, root = I.profile_products(history(spark, d)), T.new_folder(spark, "profiles")
+    G.write_profiles(I.profile_customers(history(spark, d)), products, I.category_profile(products), root)
+    return spark.read.schema("product_category string, products bigint").parquet(f"{root}/category_profile")
+
+
+def refusals(spark, d) -> DataFrame:
+    """Tables that a stage must refuse, with their rows and whether it did: a header with a name twice, a column that is
+    missing, no rows, stock of two days."""
+    facts, stock = history(spark, d), inventory(spark, d)
+    folder, root = _dropped(spark, d, "orH_1", _raw(D.raw_history(spark, d)).withColumn(" ORNUM", F.lit("x")))
+    two_days = stock.withColumn("snapshot_date", F.when(F.col("pallet_number") == "1", F.lit("20240102")).otherwise(F.col("snapshot_date")))
+    products, customers = skus_first(spark, d), customers_first(spark, d)
+    tries = {
+        "name twice": (facts, lambda: G.ingest(spark, "history", f"{folder}/orH_1", root, BATCH, RUN_TIME)),
+        "column missing": (facts, lambda: P.pseudonymize_orders(facts.drop("unique_sku_code"), products, customers, RUN_TIME)),
+        "no rows": (facts.where("order_number < ''"), lambda: P.pseudonymize_orders(facts.where("order_number < ''"), products, customers, RUN_TIME)),
+        "two days": (two_days, lambda: P.pseudonymize_inventory(two_days, products, RUN_TIME)),
+    }
+    out = None
+    for rule, (table, stage) in tries.items():
+        try:
+            stage()
+            refused = False
+        except S.ContractError:
+            refused = True
+        row = table.agg(F.count("*").alias("rows")).select(F.lit(rule).alias("rule"), "rows", F.lit(refused).alias("refused"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def constant_column(spark, d) -> DataFrame:
+    stock = inventory(spark, d)
+    return stock.agg(F.count("*").alias("rows")).withColumn("snapshot", F.lit(S.constant(stock, "snapshot_date")))
+
+
+def hash_without_columns(spark, d) -> DataFrame:
+    """Row hashes of a history that lacks columns of the hash, and how often each occurs."""
+    return P.hashed(history(spark, d).drop("order_date", "quantity_short"), C.HISTORY_HASH, RUN_TIME).groupBy("row_hash").agg(F.count("*").alias("n"))
+
+
 QUERIES = {
     "null_identities": lambda s, d: I.null_counts(_holes(s, d), I.IDENTITY),
     "critical_product_nulls": lambda s, d: I.null_counts(_holes(s, d), I.PRODUCT),
@@ -496,6 +538,10 @@ QUERIES = {
     "mapping_versions": mapping_versions,
     "one_to_one_tiers": one_to_one_tiers,
     "dataset_types": dataset_types,
+    "profiles_written": profiles_written,
+    "refusals": refusals,
+    "constant_column": constant_column,
+    "hash_without_columns": hash_without_columns,
     "standardize_history": history,
     "standardize_open": open_orders,
     "standardize_inventory": inventory,
@@ -710,6 +756,10 @@ _SELECT = {
         for t, k, p in (("p2", "first_half_sku_code", "pseudo_first_half_sku_code"), ("c2", "customer_hash_key", "pseudo_customer_name")) for a, b in ((k, p), (p, k))
     ),
     "dataset_types": "SELECT (SELECT count(*) FROM lineitem) AS rows, 11::BIGINT AS columns, name, type, filled FROM (" + " UNION ALL ".join(f"SELECT '{c}' AS name, '{t}' AS type, count({c}) AS filled FROM lineitem" for c, t in (("l_orderkey", "bigint"), ("l_partkey", "bigint"), ("l_suppkey", "bigint"), ("l_linenumber", "int"), ("l_quantity", "double"), ("l_extendedprice", "double"), ("l_discount", "double"), ("l_tax", "double"), ("l_returnflag", "string"), ("l_linestatus", "string"), ("l_shipdate", "timestamp_ntz"))) + ")",
+    "profiles_written": "SELECT product_category, count(*) AS products FROM pb GROUP BY 1",
+    "refusals": "SELECT 'name twice' AS rule, count(*) AS rows, true AS refused FROM h UNION ALL SELECT 'column missing', count(*), true FROM h UNION ALL SELECT 'no rows', 0, true UNION ALL SELECT 'two days', count(*), true FROM iv",
+    "constant_column": "SELECT count(*) AS rows, max(snapshot_date) AS snapshot FROM iv",
+    "hash_without_columns": f"SELECT {_NAN([c for c in C.HISTORY_HASH if c not in ('order_date', 'quantity_short')])} AS row_hash, count(*) AS n FROM h GROUP BY 1",
     "standardize_history": "SELECT * FROM h",
     "standardize_open": "SELECT * FROM o",
     "standardize_inventory": "SELECT * EXCLUDE (first_half_sku_code, unique_sku_code, full_sku_code) FROM iv",

@@ -21,7 +21,7 @@ def rows(df):
     return sorted(tuple("-" if str(v) in ("None", "nan", "<NA>", "NaT") else str(v).removesuffix(".0") for v in r) for r in df[columns].to_numpy(dtype=object).tolist())
 
 
-@pytest.mark.parametrize("name", ["standardize_open", "schema_drift", "scalar_functions", "customer_mapping_incremental", "product_mapping_incremental", "backfill_products_inventory", "pseudonymize_history", "mapping_violations", "quality_checks_dirty", "land_authorized", "numbering_keeps_nulls", "ingested_history", "ingested_inventory", "manifest_records", "whole_history", "landed", "report_sink", "validated_dirty", "extract_headers", "batch_schemas", "late_drift", "reused_batch", "file_hashes", "mapping_versions", "one_to_one_tiers", "dataset_types", "duplicate_rows_export"])
+@pytest.mark.parametrize("name", ["standardize_open", "schema_drift", "scalar_functions", "customer_mapping_incremental", "product_mapping_incremental", "backfill_products_inventory", "pseudonymize_history", "mapping_violations", "quality_checks_dirty", "land_authorized", "numbering_keeps_nulls", "ingested_history", "ingested_inventory", "manifest_records", "whole_history", "landed", "report_sink", "validated_dirty", "extract_headers", "batch_schemas", "late_drift", "reused_batch", "file_hashes", "mapping_versions", "one_to_one_tiers", "dataset_types", "duplicate_rows_export", "profiles_written", "refusals", "constant_column", "hash_without_columns", "batch_metadata", "snapshot_dates", "newest_file", "new_files", "snapshot_guard"])
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
     for t in ("part", "orders", "customer", "lineitem", "supplier", "nation", "region"):
