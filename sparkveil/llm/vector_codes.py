@@ -1,6 +1,7 @@
 """Vectors as short codes by per-dimension value dictionaries (operator 12)."""
 
 import hashlib
+import heapq
 import math
 from collections.abc import Callable, Iterator
 
@@ -114,16 +115,21 @@ def over_blocks(found: DataFrame, schema: dict[str, pa.DataType], ddl: str, star
 
 def first_books(found: DataFrame, parts: int, entries: int) -> Books:
     """The parts of the vectors with the smallest ids, for each length of vectors; null ids come last, equal ids by
-    vector. A task keeps no more than the first entries of each block and length."""
+    vector. A task keeps and sends no more than the first entries of each length."""
 
     def start():
+        held: dict[int, list[tuple]] = {}
+
         def take(dimension, ids, labels, columns):
             x = np.stack([distinct[places] for distinct, places in columns], axis=1) if columns else np.zeros((len(ids), 0), dtype=np.int64)
-            rows = x.tolist()
-            order = sorted(range(len(ids)), key=lambda k: (ids[k] is None, ids[k] or 0, rows[k]))[:entries]
-            return [[dimension] * len(order), [ids[k] for k in order], [rows[k] for k in order]]
+            own = [(i is None, i or 0, v) for i, v in zip(ids, x.tolist(), strict=True)]
+            held[dimension] = heapq.nsmallest(entries, held.get(dimension, []) + own)
 
-        return take, lambda: None
+        def end():
+            rows = [(dimension, None if none else i, v) for dimension, some in held.items() for none, i, v in some]
+            return [list(c) for c in zip(*rows, strict=True)] if rows else None
+
+        return take, end
 
     few = over_blocks(found, {"dimension": pa.int32(), "id": pa.int64(), "x": pa.list_(pa.int64())}, "dimension int, id bigint, x array<bigint>", start)
     place = F.row_number().over(Window.partitionBy("dimension").orderBy(F.col("id").asc_nulls_last(), "x"))
