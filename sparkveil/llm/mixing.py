@@ -89,7 +89,7 @@ def mix(docs: DataFrame, source: str = "source", text: str = "text", id_column:
     order = Window.partitionBy("source").orderBy(F.xxhash64(F.lit(seed), "source", "b"), "b")
     running = sized.select("*", F.row_number().over(order).cast("bigint").alias("block"), F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("upto"))
     before = F.col("upto") - F.col("size")
-    taken = saved(running.select("source", "b", "block", (F.col("upto") <= F.col("rest")).alias("taken"), F.greatest(F.lit(0), F.col("rest") - before).alias("left"), ((F.col("upto") > F.col("rest")) & (before < F.col("rest"))).alias("cut")))
+    taken = saved(running.select("source", "b", "block", ((F.col("upto") <= F.col("rest")) & (F.col("rest") > 0)).alias("taken"), F.greatest(F.lit(0), F.col("rest") - before).alias("left"), ((F.col("upto") > F.col("rest")) & (before < F.col("rest"))).alias("cut")))
     cut = dealt.join(taken.where("cut").select("source", "b", "left"), ["source", "b"])
     within = Window.partitionBy("source", "b").orderBy("row_key").rowsBetween(Window.unboundedPreceding, 0)
     extra = saved(cut.withColumn("upto", F.sum("tokens").over(within)).where("upto <= left and tokens > 0").groupBy("source", "row_key").agg(F.lit(True).alias("more")))

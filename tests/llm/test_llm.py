@@ -387,6 +387,26 @@ def test_mix_meets_its_limits(spark):
     assert mixing.realised(mixing.mix(hard_documents(spark))).columns == [*hard_documents(spark).columns, "epoch", "turn", "position"]
 
 
+def test_a_source_without_texts_beside_others(spark):
+    rows = [(i, "a b c " * (1 + i % 4), "full" if i % 4 else "small") for i in range(200)] + [(1000 + i, None if i % 2 else "  ", "empty") for i in range(40)]
+    out = mixing.mix(spark.createDataFrame(rows, "doc_id bigint, text string, source string")).toPandas()
+    empty, others = out[out.source == "empty"], out[out.source != "empty"]
+    assert len(out) == 240 and (empty.copies == 1).all() and (empty.weight == 0).all()
+    assert abs(others.groupby("source").weight.first().sum() - 1) < 1e-9 and (others.copies >= 1).all()
+
+
+def test_many_equal_vectors(spark):
+    same, other = [0.5, -0.25, 0.75, 0.125], [0.0, 1.0, 0.0, 0.0]
+    rows = [(i, same if i % 3 else [2 * x for x in same]) for i in range(300)] + [(1000, other), (1001, other)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    out = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in embedding_dedup.similar_vectors(df).collect()}
+    assert all(out[i] == (299, 0, i == 0) for i in range(300)) and out[1000] == (1, 1000, True) and out[1001] == (1, 1000, False)
+    top = topk_search.top_products(df, F.col("vec_id") % 100 == 0, 5).toPandas()
+    for q in (0, 100, 200):
+        own = top[top.query_id == q].sort_values("rank")
+        assert own.vec_id.tolist() == [i for i in range(300) if i % 3 == 0 and i != q][:5]
+
+
 @pytest.mark.parametrize("entropy, repeats, budget", [(0.5, 9.0, None), (0.9, 1.3, None), (0.3, 9.0, 2_500), (0.0, 1.0, None)])
 def test_mix_equals_brute_force(spark, entropy, repeats, budget):
     rng = random.Random(4)
