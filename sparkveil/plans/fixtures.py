@@ -26,11 +26,16 @@ def _money(c: str) -> F.Column:
 IN_HISTORY = "coalesce(o_orderstatus <> 'O' AND p_brand <> 'Brand#25' AND NOT (c_mktsegment = 'MACHINERY' AND c_acctbal < 1000), false)"
 
 
+# The same as conjuncts, which Spark takes to the tables before it joins them.
+HISTORY_PARTS = "o_orderstatus <> 'O' AND p_brand <> 'Brand#25' AND NOT (c_mktsegment = 'MACHINERY' AND c_acctbal < 1000)"
+
+
 def _lines(spark: SparkSession, sf_dir: str, where: str) -> DataFrame:
-    """Order lines with their customer and part; the joins' strategy is left to Spark."""
-    orders = read(spark, sf_dir, "orders")
-    lines = read(spark, sf_dir, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(read(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(read(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-    return lines.where(where).withColumn("__sku", X.full_sku(_sku_number("p_partkey").cast("string")))
+    """Order lines with their customer and part; the joins' strategy is left to Spark. Orders get their customers first, so
+    that lines move once less, and what a part alone decides is made once a part."""
+    orders = read(spark, sf_dir, "orders").join(read(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    parts = read(spark, sf_dir, "part").select("p_partkey", "p_type", "p_brand", X.full_sku(_sku_number("p_partkey").cast("string")).alias("__sku"), F.concat_ws(" ", "p_name", "p_brand").alias("__text"))
+    return read(spark, sf_dir, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(parts, F.col("l_partkey") == F.col("p_partkey")).where(where)
 
 
 def _day(c: str) -> F.Column:
@@ -42,14 +47,14 @@ def _common() -> dict[str, F.Column]:
         "orcomp": F.lit("01"), "orsocs": F.col("o_custkey").cast("string"), "orshcs": F.col("c_nationkey").cast("string"), "orshnm": F.col("c_name"),
         "orpo": F.concat(F.lit("PO-"), F.col("o_orderkey").cast("string")), "ornum": F.col("o_orderkey").cast("string"), "ortype": F.substring("o_orderpriority", 1, 1),
         "orodt8": _day("o_orderdate"), "orsdt8": _day("l_shipdate"), "orsdat": _day("l_shipdate"), "oruser": F.concat(F.lit("user"), F.col("l_suppkey").cast("string")),
-        "orstat": F.col("o_orderstatus"), "orman": F.substring("__sku", 1, 6), "orprod": F.substring("__sku", 8, 5), "ordes1": F.concat_ws(" ", "p_name", "p_brand"),
+        "orstat": F.col("o_orderstatus"), "orman": F.substring("__sku", 1, 6), "orprod": F.substring("__sku", 8, 5), "ordes1": F.col("__text"),
         "orroq": _money("l_quantity"), "orpsqt": _money("l_quantity"), "orpswt": F.lit("1.00"), "orpamt": _money("l_extendedprice"), "batch_id": F.lit(BATCH), "ingested_at": F.lit(RUN_TIME),
     }
 
 
 def raw_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = {"ordrte": F.lit("R1"), "orpoq": _money("l_quantity"), "00015": F.col("__sku"), "orpoq2": F.lit("0.00"), "00022": F.lit("0.00"), "00025": F.col("p_type")}
-    return _lines(spark, sf_dir, IN_HISTORY).select(*(v.alias(k) for k, v in {**_common(), **own}.items()))
+    return _lines(spark, sf_dir, HISTORY_PARTS).select(*(v.alias(k) for k, v in {**_common(), **own}.items()))
 
 
 def raw_open(spark: SparkSession, sf_dir: str) -> DataFrame:

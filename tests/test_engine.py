@@ -624,3 +624,32 @@ def test_fixed_lists_stand_as_written():
     assert {k: " ".join(v) for k, v in C.VALIDATED.items()} == {k: "customer_name product_description product_category row_hash pseudonymized_at" for k in ("history", "open")} | {"inventory": "product_description product_category full_sku_code row_hash pseudonymized_at"}
     assert " ".join(C.CUSTOMER_MAPPING) == "customer_hash_key source_customer_code ship_to_customer_code customer_name pseudo_customer_name"
     assert " ".join(C.PRODUCT_MAPPING) == "full_sku_code first_half_sku_code unique_sku_code product_description product_category pseudo_category pseudo_product_description pseudo_full_sku_code pseudo_first_half_sku_code pseudo_unique_sku_code"
+
+
+def test_guards_stay_where_they_stand(spark):
+    plan = I.profile_products(R.history(spark, SF))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("null in product column full_sku_code") == 1  # not inferred for the lines, whose keys equal those of parts
+    assert "97" in plan and "l_partkey" in plan and not any("97" in x for x in plan.splitlines() if "l_partkey" in x)  # SKUs are made of parts alone
+    plan = I.profile_customers(R.history(spark, SF))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("md5(") < plan.index("Aggregate [", 1)  # keys are made of distinct customers
+
+
+def test_white_space_of_any_kind_leaves_both_ends(spark):
+    texts = ["", " ", "\t a b \r\n", "\x0b\fx\n", "a \u0085", "a \r\n\u2028", " \u2029", "\u00a0a\u00a0", "a", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(D.X.strip("t")).collect()]
+    assert got == [r[0] for r in df.select(D.F.regexp_replace("t", r"^\s+|\s+$", "")).collect()] and got[2:4] == ["a b", "x"]
+    assert "trim(" in df.select(D.X.strip("t"))._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_authorized_facts_stay_where_they_are(spark):
+    facts = spark.range(1000).selectExpr("id", "concat('b', id % 3) AS batch_id")
+    reports = facts.selectExpr("batch_id AS batch", "'passed' AS overall_status").where("batch <> 'b0'")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = Q.authorized(facts, reports)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan  # a shuffle by batch would send each to one task
+        assert found.count() == 666
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
