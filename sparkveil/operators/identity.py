@@ -58,15 +58,14 @@ def with_customer_key(df: DataFrame) -> DataFrame:
 def profile_customers(history: DataFrame) -> DataFrame:
     """One row a customer: the key and the cleaned values it is made of. A null identity value ends the job."""
     require_columns(history, IDENTITY)
-    named = guarded(history, IDENTITY, "null in identity column").select(*IDENTITY).distinct()  # few are left to clean
-    return with_customer_key(named.select(*(X.clean(c).alias(c) for c in IDENTITY)).distinct()).select("customer_hash_key", *IDENTITY)
+    named = guarded(history, IDENTITY, "null in identity column").select(*(X.clean(c).alias(c) for c in IDENTITY))
+    return with_customer_key(named.distinct()).select("customer_hash_key", *IDENTITY)
 
 
 def profile_products(history: DataFrame) -> DataFrame:
     """One row a SKU; of several descriptions or categories the least pair. A null in a product column ends the job."""
     require_columns(history, PRODUCT)
-    named = guarded(history, PRODUCT, "null in product column", "full_sku_code").select(*PRODUCT).distinct()  # few are left to clean
-    rows = named.select(*((X.clean(c) if c == "product_category" else X.strip(c)).alias(c) for c in PRODUCT))
+    rows = guarded(history, PRODUCT, "null in product column", "full_sku_code").select(*((X.clean(c) if c == "product_category" else X.strip(c)).alias(c) for c in PRODUCT))
     return rows.groupBy("full_sku_code").agg(F.min(F.struct("product_description", "product_category", "first_half_sku_code", "unique_sku_code")).alias("v")).select("full_sku_code", "v.first_half_sku_code", "v.unique_sku_code", "v.product_description", "v.product_category")
 
 
