@@ -21,7 +21,8 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents but those whose runs of five words are at least 0.8 similar to those of a kept one with a smaller id."""
+    """Documents but those whose runs of five words are at least 0.8 similar to those of a kept one with a smaller id, met by
+    SimHash balls or bands of least hashes."""
     gone = common.saved(simhash.removed_copies(docs).select("doc_id").distinct())
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 

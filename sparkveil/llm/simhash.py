@@ -108,12 +108,21 @@ def similar_in_tile(rows: pd.DataFrame, alone: bool, similarity: float) -> pd.Da
     return pd.DataFrame(found, columns=["low", "node", "other_low", "other_node"])
 
 
+def in_balls(signed: DataFrame) -> DataFrame:
+    """(own, band, key) of the nodes of signed (id, node, fingerprint) by the components of their fingerprints' balls, as one
+    more band. Equal sets whose texts repeat runs in other numbers may have several fingerprints: each counts."""
+    nodes = signed.groupBy("node").agg(F.min("id").alias("low")).join(signed.select("node", "fingerprint").distinct(), "node")
+    met = nodes.join(ball_components(signed), "fingerprint", "left").withColumn("key", F.coalesce("component", "fingerprint"))
+    return met.select(F.struct("low", "node").alias("own"), F.lit(BANDS).alias("band"), "key").distinct()
+
+
 def removed_copies(docs: DataFrame, text: str = "text", id_column: str = "doc_id", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """(id, kept_id) of documents of which a smaller id is kept, the sets of whose runs of words have at least this Jaccard
     similarity to its own. No two kept ones that meet are as similar.
 
-    At similarity 0.8 fingerprints differ in up to 14 of 64 bits on sf0.1, too many for balls: documents meet in bands of
-    least hashes instead, and each link is verified on the whole sets. Equal sets are one node. A root is a node that meets no
+    Documents meet by SimHash, whose fingerprints of these runs link within two bits and make one band of each component of
+    balls, and in bands of least hashes, as at similarity 0.8 fingerprints differ in up to 14 of 64 bits on sf0.1, too many
+    for balls. Each link is verified on the whole sets. Equal sets are one node. A root is a node that meets no
     smaller one, and stays for certain. First each other node is compared with the least root that it meets, alone, which
     clears large groups; while that clears many, with the roots of what is left. Then the nodes of a band are compared with
     its least; those similar to a kept one go. Of what is left all in a band are compared; only similar pairs are put out.
@@ -127,7 +136,7 @@ def removed_copies(docs: DataFrame, text: str = "text", id_column: str = "doc_id
 
         def make(ids, texts):
             sets = [shingles(t or "", shingle) for t in texts]
-            return [xxh3_128_digest(x.tobytes()) for x in sets], [bands(x, factors, terms) for x in sets]
+            return [xxh3_128_digest(x.tobytes()) for x in sets], [fingerprint(t or "", shingle, 42) for t in texts], [bands(x, factors, terms) for x in sets]
 
         return make
 
@@ -138,9 +147,10 @@ def removed_copies(docs: DataFrame, text: str = "text", id_column: str = "doc_id
 
         return make
 
-    signed = saved(map_slices(source, {"node": "binary", "bands": "array<bigint>"}, sign, keep=["id"]))
+    signed = saved(map_slices(source, {"node": "binary", "fingerprint": "bigint", "bands": "array<bigint>"}, sign, keep=["id"]))
     classes = signed.groupBy("node").agg(F.min("id").alias("low"), F.min_by("bands", "id").alias("bands"))
     dealt = classes.select(F.struct("low", "node").alias("own"), F.posexplode("bands").alias("band", "key"))
+    dealt = dealt.unionByName(in_balls(signed))
     counted = dealt.withColumn("n", F.count("*").over(Window.partitionBy("band", "key"))).where("n > 1")
     entries = saved(counted.select("own", "band", "key"))
     firsts = entries.select(F.col("own.low").alias("id"), "own.node").distinct()

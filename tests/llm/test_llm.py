@@ -566,6 +566,17 @@ def test_near_copies_leave_the_pipeline(spark):
     assert simhash.removed_copies(hard_documents(spark)).count() and not simhash.removed_copies(docs.limit(0)).count()
 
 
+def test_near_copies_meet_by_simhash(spark):
+    # Five sixths of their runs are the same, their fingerprints differ in one bit, and no band of least hashes agrees.
+    passage = " ".join([f"w54193x{i}" for i in range(40)] * 6)
+    texts = [f"{passage} one", f"{passage} two of many words that end it"]
+    assert jaccard(*map(five_words, texts)) == 40 / 48
+    import corpus_pipeline
+
+    docs = spark.createDataFrame([(i, t, "en", "a", 0, "") for i, t in enumerate([*texts, "other words than these"])], DOCS)
+    assert [r.doc_id for r in corpus_pipeline.simhash_stage(spark, docs, SF).orderBy("doc_id").collect()] == [0, 2]
+
+
 def test_repeated_passages_of_lines_leave_whole(spark):
     rng = random.Random(7)
     line = lambda: " ".join(f"w{rng.randrange(10**6)}" for _ in range(30))
