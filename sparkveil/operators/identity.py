@@ -63,9 +63,10 @@ def profile_customers(history: DataFrame) -> DataFrame:
 
 
 def profile_products(history: DataFrame) -> DataFrame:
-    """One row a SKU; of several descriptions or categories the least pair. A null in a product column ends the job."""
+    """One row a SKU; of several descriptions or categories the least pair. A null in a product column ends the job. Lines
+    are made distinct first, by hashes: the least of texts is found by sorting, which is left to a row a product."""
     require_columns(history, PRODUCT)
-    rows = guarded(history, PRODUCT, "null in product column", "full_sku_code").select(*((X.clean(c) if c == "product_category" else X.strip(c)).alias(c) for c in PRODUCT))
+    rows = guarded(history.select(*PRODUCT).distinct(), PRODUCT, "null in product column", "full_sku_code").select(*((X.clean(c) if c == "product_category" else X.strip(c)).alias(c) for c in PRODUCT))
     return rows.groupBy("full_sku_code").agg(F.min(F.struct("product_description", "product_category", "first_half_sku_code", "unique_sku_code")).alias("v")).select("full_sku_code", "v.first_half_sku_code", "v.unique_sku_code", "v.product_description", "v.product_category")
 
 
@@ -235,7 +236,7 @@ def backfill_products(found: DataFrame, products: DataFrame) -> DataFrame:
     state = unknown_state(products).first()
     if state["rows"] and state.prefixes != 1:
         raise ContractError(f"{UNKNOWN}: codes of {state['rows']} products have {state.prefixes} prefixes")
-    named = guarded(found, ["full_sku_code"], "null in").select(*PRODUCT_MAPPING[:4])
+    named = guarded(found.select(*PRODUCT_MAPPING[:4]).distinct(), ["full_sku_code"], "null in")
     new = named.groupBy("full_sku_code").agg(F.min(F.struct("product_description", "first_half_sku_code", "unique_sku_code")).alias("v"))
     new = new.select("full_sku_code", "v.*").join(products.select("full_sku_code"), "full_sku_code", "left_anti")
     text = F.concat(F.lit(f"{UNKNOWN} Product UC-"), X.zero_pad(F.col("seq") + F.lit(state.last), 3))

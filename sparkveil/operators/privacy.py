@@ -28,6 +28,15 @@ def with_customers(facts: DataFrame, customers: DataFrame) -> DataFrame:
     return with_customer_key(facts).join(customers.select("customer_hash_key", "pseudo_customer_name"), "customer_hash_key", "left")
 
 
+def distinct_skus(facts: DataFrame) -> DataFrame:
+    """A row a SKU, enough to ask which SKUs a mapping lacks; facts need not move for it."""
+    return facts.select("full_sku_code").distinct()
+
+
+def distinct_identities(facts: DataFrame) -> DataFrame:
+    return facts.select(*IDENTITY).distinct()
+
+
 def unmapped(joined: DataFrame, key: str, pseudo: str) -> DataFrame:
     return joined.where(F.col(pseudo).isNull()).select(key).distinct()
 

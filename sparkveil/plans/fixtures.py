@@ -28,13 +28,17 @@ IN_HISTORY = "coalesce(o_orderstatus <> 'O' AND p_brand <> 'Brand#25' AND NOT (c
 
 # The same as conjuncts, which Spark takes to the tables before it joins them.
 HISTORY_PARTS = "o_orderstatus <> 'O' AND p_brand <> 'Brand#25' AND NOT (c_mktsegment = 'MACHINERY' AND c_acctbal < 1000)"
+# And by what an order with its customer and what a part says of it. What is not the history no table can decide alone:
+# lines carry one flag to their parts instead of the columns that it is made of.
+ORDER_IN, PART_IN = "o_orderstatus <> 'O' AND NOT (c_mktsegment = 'MACHINERY' AND c_acctbal < 1000)", "p_brand <> 'Brand#25'"
+IN_OPEN = "NOT coalesce(__order_in AND __part_in, false)"
 
 
 def _lines(spark: SparkSession, sf_dir: str, where: str) -> DataFrame:
     """Order lines with their customer and part; the joins' strategy is left to Spark. Orders get their customers first, so
     that lines move once less, and what a part alone decides is made once a part."""
-    orders = read(spark, sf_dir, "orders").join(read(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-    parts = read(spark, sf_dir, "part").select("p_partkey", "p_type", "p_brand", X.full_sku(_sku_number("p_partkey").cast("string")).alias("__sku"), F.concat_ws(" ", "p_name", "p_brand").alias("__text"))
+    orders = read(spark, sf_dir, "orders").join(read(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")).withColumn("__order_in", F.expr(ORDER_IN))
+    parts = read(spark, sf_dir, "part").select("p_partkey", "p_type", "p_brand", F.expr(PART_IN).alias("__part_in"), X.full_sku(_sku_number("p_partkey").cast("string")).alias("__sku"), F.concat_ws(" ", "p_name", "p_brand").alias("__text"))
     return read(spark, sf_dir, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(parts, F.col("l_partkey") == F.col("p_partkey")).where(where)
 
 
@@ -59,7 +63,7 @@ def raw_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_open(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = {"orpewt": F.lit("2.00"), "rtname": F.lit("North"), "rtnumb": F.lit("R2"), "orrqdt": _day("l_shipdate"), "orrvdt": _day("l_shipdate"), "00011": F.col("__sku"), "orpval": _money("l_extendedprice")}
-    return _lines(spark, sf_dir, f"NOT {IN_HISTORY}").select(*(v.alias(k) for k, v in {**_common(), **own}.items()))
+    return _lines(spark, sf_dir, IN_OPEN).select(*(v.alias(k) for k, v in {**_common(), **own}.items()))
 
 
 def raw_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:

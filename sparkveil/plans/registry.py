@@ -218,11 +218,11 @@ def snapshot_guard(spark, d) -> DataFrame:
 
 
 def unmapped_skus(spark, d) -> DataFrame:
-    return P.unmapped(P.with_products(open_orders(spark, d), skus_first(spark, d)), "full_sku_code", "pseudo_full_sku_code")
+    return P.unmapped(P.with_products(P.distinct_skus(open_orders(spark, d)), skus_first(spark, d)), "full_sku_code", "pseudo_full_sku_code")
 
 
 def unmapped_customers(spark, d) -> DataFrame:
-    return P.unmapped(P.with_customers(open_orders(spark, d), customers_first(spark, d)), "customer_hash_key", "pseudo_customer_name")
+    return P.unmapped(P.with_customers(P.distinct_identities(open_orders(spark, d)), customers_first(spark, d)), "customer_hash_key", "pseudo_customer_name")
 
 
 def _broken(spark, d) -> tuple[DataFrame, DataFrame]:
@@ -517,7 +517,7 @@ QUERIES = {
     "sequence_state": sequence_state,
     "unknown_category_state": lambda s, d: I.unknown_state(products_open(s, d)),
     "numbering_keeps_nulls": numbering_keeps_nulls,
-    "first_unmapped_skus": lambda s, d: P.first_unmapped(P.with_products(open_orders(s, d), skus_first(s, d)), "full_sku_code", "pseudo_full_sku_code"),
+    "first_unmapped_skus": lambda s, d: P.first_unmapped(P.with_products(P.distinct_skus(open_orders(s, d)), skus_first(s, d)), "full_sku_code", "pseudo_full_sku_code"),
     "text_nulls": text_nulls,
     "time_and_batch_ids": times,
     "ingested_history": ingested_history,

@@ -653,3 +653,23 @@ def test_authorized_facts_stay_where_they_are(spark):
         assert found.count() == 666
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_lines_are_made_distinct_before_their_least_values_are_sought(spark):
+    plan = optimized(I.profile_products(R.history(spark, SF)))
+    assert plan.count("Aggregate [") == 2 and plan.rindex("Aggregate [") > plan.index("null in product column full_sku_code")
+    facts = spark.createDataFrame([("k", "a", "b", " y ", "small")] * 3 + [("k", "a", "b", "x ", " LARGE"), ("k", "a", "b", "x", "large")], ", ".join(f"{c} string" for c in I.PRODUCT))
+    assert [tuple(r) for r in I.profile_products(facts).collect()] == [("k", "a", "b", "x", "LARGE")]
+
+
+def test_missing_keys_are_sought_among_distinct_ones(spark):
+    R.skus_first(spark, SF), R.customers_first(spark, SF)
+    for name in ("first_unmapped_skus", "unmapped_skus", "unmapped_customers"):
+        plan = optimized(R.QUERIES[name](spark, SF))
+        assert plan.rindex("Aggregate [") > plan.index("Join LeftOuter")  # facts are not moved for the lookup
+    plan = optimized(D.raw_open(spark, SF))
+    assert not any("acctbal" in x and "p_partkey" in x for x in plan.splitlines() if "Join" in x)  # a flag goes to the parts
