@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as X
 from ..plans.contracts import HISTORY_HASH, INVENTORY_HASH, OPEN_HASH
-from ..sources.tables import delete, new_folder
+from ..sources.tables import STORED, delete, new_folder
 from .identity import IDENTITY, with_customer_key
 from .schema import ContractError, constant, require_absent, require_columns, require_rows, require_unique
 
@@ -66,7 +66,7 @@ def written_whole(facts: DataFrame, make: Callable[[DataFrame], DataFrame], path
     difference is believed."""
     given, spark = Observation(), facts.sparkSession
     out = make(facts.observe(given, F.count(F.lit(1)).alias("rows")))
-    out.write.parquet(path)
+    out.write.option("compression", STORED).parquet(path)
     written = spark.read.schema(out.schema).parquet(path)
     require_rows(written, path)  # an empty plan observes nothing
     after = written.count()
@@ -96,8 +96,9 @@ def pseudonymize_orders(facts: DataFrame, products: DataFrame, customers: DataFr
 
 
 def _orders(facts: DataFrame, products: DataFrame, customers: DataFrame, run_time: str, kind: str) -> DataFrame:
-    pseudonyms = {"pseudo_customer_name": "customer_hash_key", "pseudo_full_sku_code": "full_sku_code", "pseudo_product_description": "full_sku_code"}
-    joined = guarded(with_customers(with_products(facts, products), customers), pseudonyms)
+    # Customers first: lines of an order move together, and neither key nor name moves on with the wider rows.
+    named = guarded(with_customers(facts, customers), {"pseudo_customer_name": "customer_hash_key"})
+    joined = guarded(with_products(named, products), {"pseudo_full_sku_code": "full_sku_code", "pseudo_product_description": "full_sku_code"})
     new = {
         "customer_name": F.col("pseudo_customer_name"),
         "full_sku_code": F.col("pseudo_full_sku_code"),

@@ -5,6 +5,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Compression of facts, whose rows hold hashes and codes. Mappings keep the default one: Spark broadcasts by the bytes of a
+# file, and tighter ones would send tables of many times that size.
+STORED = "zstd"
 _own: list[str] = []
 _written: list[tuple[str, str]] = []  # (application, path) of the tables of this process
 

@@ -673,3 +673,13 @@ def test_missing_keys_are_sought_among_distinct_ones(spark):
         assert plan.rindex("Aggregate [") > plan.index("Join LeftOuter")  # facts are not moved for the lookup
     plan = optimized(D.raw_open(spark, SF))
     assert not any("acctbal" in x and "p_partkey" in x for x in plan.splitlines() if "Join" in x)  # a flag goes to the parts
+
+
+def test_facts_meet_customers_first_and_leave_their_keys_behind(spark, tmp_path):
+    facts, products, customers = R.history(spark, SF), R.skus_first(spark, SF), R.customers_first(spark, SF)
+    plan = optimized(P._orders(facts, products, customers, "t", "history")).splitlines()
+    above, below = [i for i, x in enumerate(plan) if "Join LeftOuter" in x]
+    assert "full_sku_code" in plan[above] and "customer_hash_key" in plan[below]
+    assert not any("md5(" in x or "customer_hash_key" in x for x in plan[above:][:2])  # what the lookup of SKUs moves has no key of the customer
+    P.pseudonymize_orders(facts, products, customers, "t", path=f"{tmp_path}/out")
+    assert list(tmp_path.glob("out/*.zstd.parquet"))
