@@ -328,9 +328,9 @@ def times(spark, d) -> DataFrame:
 
 
 def _dropped(spark, d, name: str, df: DataFrame) -> tuple[str, str]:
-    """A drop folder with df as CSV files in a folder of that name, and the root of a store. Both are new."""
+    """A drop folder with df as compressed CSV files in a folder of that name, and the root of a store. Both are new."""
     folder = T.new_folder(spark, "drop")
-    df.write.option("header", True).csv(f"{folder}/{name}")
+    df.write.option("header", True).option("compression", "gzip").csv(f"{folder}/{name}")
     return folder, T.new_folder(spark, "store")
 
 
@@ -437,7 +437,7 @@ def ingested_inventory(spark, d) -> DataFrame:
 def manifest_records(spark, d) -> DataFrame:
     """Rows and columns of each dataset as its manifest has them."""
     folder, root = _dropped(spark, d, "open_1", _raw(D.raw_open(spark, d)))
-    _raw(D.raw_history(spark, d)).write.option("header", True).csv(f"{folder}/orH_1")
+    _raw(D.raw_history(spark, d)).write.option("header", True).option("compression", "gzip").csv(f"{folder}/orH_1")
     for dataset, name in (("open", "open_1"), ("history", "orH_1")):
         G.ingest(spark, dataset, f"{folder}/{name}", root, BATCH, RUN_TIME)
     return G.read_manifest(spark, root).groupBy("dataset", "batch_id", "column_count").agg(F.sum("rows").alias("rows"))

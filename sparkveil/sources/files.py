@@ -2,6 +2,7 @@
 
 import codecs
 import csv
+import gzip
 import hashlib
 import io
 import re
@@ -58,24 +59,38 @@ def header_of(stream) -> tuple[list[str], bytes, bool]:
             raise ContractError("a header without end")
 
 
+class Counted:
+    """A stream whose bytes are hashed and counted as they pass."""
+
+    def __init__(self, stream):
+        self.stream, self.total, self.size = stream, hashlib.md5(), 0
+
+    def read(self, n: int) -> bytes:
+        held = self.stream.read(n)
+        self.total.update(held)
+        self.size += len(held)
+        return held
+
+
 def scanned_file(path: str) -> tuple[str, int, list[str], bool, str]:
-    """MD5, bytes, header, whether a cell may hold a line feed, and format of a file of any size, in the memory of a chunk."""
+    """MD5, bytes, header, whether a cell may hold a line feed, and format of a file of any size, in the memory of a chunk.
+    MD5 and bytes are those of the file as it lies there, the rest is of what a .gz file holds."""
     system, place = pa.fs.FileSystem.from_uri(quote(re.sub(r"^s3[an]://", "s3://", path), safe="/:@"))
-    total, size, quoted = hashlib.md5(), 0, False
+    quoted = False
     with system.open_input_file(place) as stream:
+        raw = Counted(stream)
+        text = gzip.GzipFile(fileobj=raw) if path.endswith(".gz") else raw
         if path.endswith(".parquet"):
             schema = pa.parquet.read_schema(stream)
             header, held, kind = list(schema.names), b"", f"parquet {schema.remove_metadata()}"
             stream.seek(0)
         else:
-            header, held, returns = header_of(stream)
+            header, held, returns = header_of(text)
             kind = "csv crlf" if returns else "csv"
-        while held or (held := stream.read(CHUNK)):
-            total.update(held)
-            size += len(held)
+        while held or (held := text.read(CHUNK)):
             quoted = quoted or b'"' in held
             held = b""
-    return total.hexdigest(), size, header, quoted, kind
+    return raw.total.hexdigest(), raw.size, header, quoted, kind
 
 
 def reachable(path: str) -> bool:
@@ -110,7 +125,8 @@ def scanned_by_hadoop(spark: SparkSession, path: str) -> tuple[str, int, list[st
             schema = spark.read.parquet(path).schema
             return total, size, schema.names, False, f"parquet {schema.simpleString()}"
         stream.seek(0)
-        header, _, returns = header_of(HadoopStream(jvm, stream))
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark.sparkContext._jsc.hadoopConfiguration()).getCodec(target)
+        header, _, returns = header_of(HadoopStream(jvm, codec.createInputStream(stream) if codec and path.endswith(".gz") else stream))
     finally:
         stream.close()
     return total, size, header, True, "csv crlf" if returns else "csv"

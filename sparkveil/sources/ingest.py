@@ -12,7 +12,7 @@ from ..operators.quality import authorized, contradictory, unauthorized
 from ..operators.schema import ContractError, require_rows
 from . import files
 from .ledger import Ledger
-from .tables import delete
+from .tables import STORED, delete
 
 # stored_columns and data: the columns of the batch as stored, and its folder. Readers follow them.
 MANIFEST = "dataset string, batch_id string, source_file string, source_file_hash string, rows bigint, column_count int, column_names array<string>, ingested_at string, duration_seconds double, stored_columns array<string>, data string"
@@ -74,7 +74,7 @@ def _commit(spark: SparkSession, rows: DataFrame, found: list, dataset: str, bat
     place = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(batch)
     data = f"{root}/{dataset}/{key}={place}/load={uuid.uuid4().hex}"
     try:
-        rows.write.parquet(data)
+        rows.write.option("compression", STORED).parquet(data)
         plain = lambda c: F.regexp_replace(c, "^file:/+", "/")
         counts = spark.read.schema(f"{files.SOURCE} string").parquet(data).groupBy(plain(F.col(files.SOURCE)).alias("place")).agg(F.count("*").alias("rows"))
         known = spark.createDataFrame([(f.path, _uri(spark, f.path), f.source_file_hash, list(f.header)) for f in found], "source_file string, uri string, source_file_hash string, column_names array<string>")
@@ -237,7 +237,7 @@ def land(facts: DataFrame, reports: DataFrame, destination: str, dataset: str, k
     load = f"{destination}/{dataset}/load={uuid.uuid4().hex}"
     data, report = f"{load}/facts", f"{load}/quality_reports"
     try:
-        authorized(facts, reports, key).write.partitionBy(key).parquet(data)
+        authorized(facts, reports, key).write.option("compression", STORED).partitionBy(key).parquet(data)
         own.write.parquet(report)
         counts = spark.read.schema(f"{facts.schema[key].name} string").parquet(data).groupBy(F.col(key).alias("batch")).agg(F.count("*").alias("rows"))
         return Ledger(spark, f"{destination}/{dataset}/landings", LANDED).append(counts.select("batch", "rows", F.lit(data).alias("data"), F.lit(report).alias("report")))

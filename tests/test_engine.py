@@ -1,3 +1,6 @@
+import gzip
+import hashlib
+
 import duckdb
 import pytest
 
@@ -683,3 +686,14 @@ def test_facts_meet_customers_first_and_leave_their_keys_behind(spark, tmp_path)
     assert not any("md5(" in x or "customer_hash_key" in x for x in plan[above:][:2])  # what the lookup of SKUs moves has no key of the customer
     P.pseudonymize_orders(facts, products, customers, "t", path=f"{tmp_path}/out")
     assert list(tmp_path.glob("out/*.zstd.parquet"))
+
+
+def test_compressed_extracts_are_read_as_what_they_hold(spark, tmp_path):
+    text, more = b'a,b\n1,"two\nlines"\n', b"3,4\n"
+    packed = gzip.compress(text) + gzip.compress(more)  # two members, as writers that append make them
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "x.csv.gz").write_bytes(packed)
+    for scan in (Z.scanned_file(f"file://{tmp_path}/in/x.csv.gz"), Z.scanned_by_hadoop(spark, f"file://{tmp_path}/in/x.csv.gz")):
+        assert scan == (hashlib.md5(packed).hexdigest(), len(packed), ["a", "b"], True, "csv")
+    got = G.ingest(spark, "x", f"{tmp_path}/in", f"{tmp_path}/store", "b1", "t")
+    assert sorted((r.a, r.b) for r in got.collect()) == [("1", "two\nlines"), ("3", "4")]
